@@ -32,27 +32,44 @@ def add_range(df: DataFrame, column: str, out: str, splits: list[float]) -> Data
             .transform(df).withColumn(out, F.col(out).cast("int")))
 
 
-def running_totals(df: DataFrame, order: str, totals: list[str], groups: list[str] = (),
-                   ranges: int | None = None) -> DataFrame:
-    """Add ``<total>_before``: the sum of each total over rows that sort before this one.
-
-    ``df`` must hold one row per (groups, order) value; the order column is numeric.
-    """
-    groups = list(groups)
+def _running(df: DataFrame, order: str, columns: list[str], groups: list[str], fold, inclusive: bool,
+             suffix: str, ranges: int | None) -> DataFrame:
+    """Combine ``fold`` (sum or max) over earlier ranges with a window inside each range."""
     splits = cut_points(df, order, ranges or range_count(df))
     sliced = add_range(df, order, "_range", splits)
 
     earlier = (Window.partitionBy(*groups).orderBy("_range")
                .rowsBetween(Window.unboundedPreceding, -1))
     starts = (sliced.groupBy(*groups, "_range")
-              .agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
+              .agg(*[fold(c).alias(f"_part_{c}") for c in columns])
               .select(*groups, "_range",
-                      *[F.coalesce(F.sum(f"_sum_{t}").over(earlier), F.lit(0)).alias(f"_start_{t}")
-                        for t in totals]))
+                      *[fold(f"_part_{c}").over(earlier).alias(f"_start_{c}") for c in columns]))
     inside = (Window.partitionBy(*groups, "_range").orderBy(order)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    within = sliced.withColumns({f"_in_{t}": F.coalesce(F.sum(t).over(inside), F.lit(0))
-                                 for t in totals})
+              .rowsBetween(Window.unboundedPreceding,
+                           Window.currentRow if inclusive else -1))
+    within = sliced.withColumns({f"_in_{c}": fold(c).over(inside) for c in columns})
+
+    def joined(c: str):
+        start, here = F.col(f"_start_{c}"), F.col(f"_in_{c}")
+        if fold is F.max:
+            return F.greatest(start, here)
+        return F.coalesce(start, F.lit(0)) + F.coalesce(here, F.lit(0))
+
     return (within.join(starts, [*groups, "_range"])
-            .withColumns({f"{t}_before": F.col(f"_start_{t}") + F.col(f"_in_{t}") for t in totals})
-            .drop("_range", *[f"_start_{t}" for t in totals], *[f"_in_{t}" for t in totals]))
+            .withColumns({f"{c}{suffix}": joined(c) for c in columns})
+            .drop("_range", *[f"_start_{c}" for c in columns], *[f"_in_{c}" for c in columns]))
+
+
+def running_totals(df: DataFrame, order: str, totals: list[str], groups: list[str] = (),
+                   ranges: int | None = None) -> DataFrame:
+    """Add ``<total>_before``: the sum of each total over rows that sort before this one.
+
+    ``df`` must hold one row per (groups, order) value; the order column is numeric.
+    """
+    return _running(df, order, totals, list(groups), F.sum, False, "_before", ranges)
+
+
+def running_max(df: DataFrame, order: str, column: str, groups: list[str] = (),
+                ranges: int | None = None) -> DataFrame:
+    """Add ``<column>_so_far``: the largest value up to and including this row."""
+    return _running(df, order, [column], list(groups), F.max, True, "_so_far", ranges)
