@@ -196,15 +196,17 @@ class PrepModel:
     literals: dict | None = field(default=None, repr=False)
 
     def transform(self, df: DataFrame, keep: list[str] = ("app_id", "default"),
-                  stats_from: str = "fit") -> DataFrame:
-        """Feature table in frozen order. ``stats_from="batch"`` recomputes medians, modes and
-        clip bounds on ``df`` itself instead of using the stored ones."""
+                  stats_from: str = "fit", raw: str | None = None) -> DataFrame:
+        """Feature table in frozen order, behind the kept columns.
+
+        ``stats_from="batch"`` recomputes medians, modes and clip bounds on ``df`` itself.
+        ``raw`` names a struct column that carries the features in their original units.
+        """
         if stats_from not in ("fit", "batch"):
             raise ValueError("stats_from must be 'fit' or 'batch'")
         kept = [k for k in keep if k in df.columns]
-        # a copy under another name keeps the label and the id out of the feature steps
+        # kept columns travel under another name, out of reach of the feature steps
         work = df.withColumnsRenamed({k: f"_keep_{k}" for k in kept})
-        work = work.withColumns({k: F.col(f"_keep_{k}") for k in kept if k in self.features})
         bounds, fill = self.bounds, self.fill
         if stats_from == "batch":
             fill = {**medians(work, [c for c in self.numeric if c in work.columns]),
@@ -215,9 +217,16 @@ class PrepModel:
                                  self.spec.outlier_std)
         work = clip(work, bounds)
         work = encode(work, self.classes, self.categorical, self.literals)
-        work = scale(work, self.scaling)
-        out = align(work, self.features, [f"_keep_{k}" for k in kept])
-        return out.withColumnsRenamed({f"_keep_{k}": k for k in kept})
+        carried = [f"_keep_{k}" for k in kept]
+        if raw:
+            have = set(work.columns)
+            units = [(F.col(c) if c in have else F.lit(0)).cast("double").alias(c)
+                     for c in self.features]
+            work = work.withColumn("_keep_raw", F.struct(*units))
+            carried.append("_keep_raw")
+        out = align(scale(work, self.scaling), self.features, carried)
+        names = {f"_keep_{k}": k for k in kept}
+        return out.withColumnsRenamed({**names, "_keep_raw": raw} if raw else names)
 
     def _state(self) -> str:
         return json.dumps({
