@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendmill.operators.quantiles import exact_quantiles
 from lendmill.schema import numeric_columns
 
 
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, distinct_count), exact. Values go through narrow (feature, value) keys: hot
+    values combine before the shuffle and no key ever spans several columns."""
+    exact_as_double = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
+    numbers = [f.name for f in df.schema.fields
+               if f.name in columns and isinstance(f.dataType, exact_as_double)]
+    texts = [c for c in columns if c not in numbers]
+    parts = []
+    for names, kind in ((numbers, "double"), (texts, "string")):
+        if names:
+            cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast(kind).alias("v"))
+                              for c in names])
+            parts.append(df.select(F.explode(cells).alias("c")).groupBy("c.feature", "c.v").agg(
+                F.lit(1).alias("one")).groupBy("feature").agg(F.count("v").alias("distinct_count")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def feature_profile(df: DataFrame, id_col: str = "app_id", approximate: bool = False,
                     rsd: float = 0.02) -> DataFrame:
     """One row per column: type, nulls, null %, distinct values and the value at the smallest id.
@@ -17,26 +37,25 @@ def feature_profile(df: DataFrame, id_col: str = "app_id", approximate: bool = F
     and needs no shuffle beyond the final merge.
     """
     fields = [f for f in df.schema.fields if f.name != id_col]
-    if approximate:
-        distinct = lambda c: F.approx_count_distinct(c, rsd)
-    else:
-        distinct = F.count_distinct
     row = df.agg(
         F.count("*").alias("rows"),
         *[e for i, f in enumerate(fields) for e in (
             F.count_if(F.col(f.name).isNull()).alias(f"n{i}"),
-            distinct(F.col(f.name)).alias(f"d{i}"),
             F.min_by(f.name, id_col).cast("string").alias(f"s{i}"),
+            *([F.approx_count_distinct(f.name, rsd).alias(f"d{i}")] if approximate else []),
         )])
     records = F.array(*[F.struct(
         F.lit(f.name).alias("feature"),
         F.lit(f.dataType.simpleString()).alias("dtype"),
         F.col(f"n{i}").alias("null_count"),
         F.coalesce(F.try_divide(F.col(f"n{i}") * 100.0, F.col("rows")), F.lit(0.0)).alias("null_pct"),
-        F.col(f"d{i}").alias("distinct_count"),
+        *([F.col(f"d{i}").alias("distinct_count")] if approximate else []),
         F.col(f"s{i}").alias("sample"),
     ) for i, f in enumerate(fields)])
-    return row.select(F.inline(records))
+    table = row.select(F.inline(records))
+    if not approximate:
+        table = table.join(distinct_counts(df, [f.name for f in fields]), "feature")
+    return table.select("feature", "dtype", "null_count", "null_pct", "distinct_count", "sample")
 
 
 def table_summary(df: DataFrame, exclude: list[str] = ()) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendmill.config import SPLIT, SplitSpec
 
@@ -46,15 +47,19 @@ def _cuts(df: DataFrame, stratum: str | None, id_col: str, seed: int,
     if not edges:
         return {s: [None] * len(ranks) for s, ranks in at.items()}
 
-    in_edge, pick = F.lit(False), F.lit(False)
-    for e in edges:
-        here = F.col("s").eqNullSafe(F.lit(e.s)) & (F.col("b") == e.b)
-        in_edge = in_edge | here
-        for k in at[e.s]:
-            if e.below < k <= e.below + e.n:
-                pick = pick | (here & (F.col("r") == k - e.below))
+    # one row per (class, position): a lookup of fixed size, and no filter that would be
+    # pushed into (and repeat) whatever computes the label
+    spots = [(e.s, e.b, k - e.below) for e in edges for k in at[e.s] if e.below < k <= e.below + e.n]
+    schema = T.StructType([keyed.schema["s"], T.StructField("b", T.StringType()),
+                           T.StructField("r", T.IntegerType())])
+    lookup = F.broadcast(df.sparkSession.createDataFrame(sorted(set(spots), key=str), schema))
+    in_edge = keyed.join(F.broadcast(lookup.select("s", "b").distinct()),
+                         keyed["s"].eqNullSafe(lookup["s"]) & (keyed["b"] == lookup["b"]),
+                         "left_semi")
     order = Window.partitionBy("s", "b").orderBy("h", "id")
-    rows = (keyed.where(in_edge).withColumn("r", F.row_number().over(order)).where(pick).collect())
+    placed = in_edge.withColumn("r", F.row_number().over(order))
+    rows = placed.join(lookup, placed["s"].eqNullSafe(lookup["s"]) & (placed["b"] == lookup["b"])
+                       & (placed["r"] == lookup["r"]), "left_semi").collect()
     start = {(e.s, e.b): e.below for e in edges}
     found = {(r.s, start[(r.s, r.b)] + r.r): (r.h, r.id) for r in rows}
     return {s: [found.get((s, k)) for k in ranks] for s, ranks in at.items()}

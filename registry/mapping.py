@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lendmill.functions import finance, policy
 from lendmill.schema import PREDICTORS
+from lendmill.session import materialise
 
 STORED = [
     "app_id", "loan_amnt", "int_rate", "term", "purpose", "age", "annual_inc", "emp_length",
@@ -94,16 +95,27 @@ apps AS (
 )"""
 
 
-def requests(spark: SparkSession, sf_dir: str, keep_draw: bool = False) -> DataFrame:
-    """The request columns of every application (plus the label's random draw ``u3``)."""
+def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests with the derived predictors and the binary target, as one lazy plan."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
               for t in ("orders", "customer", "lineitem")}
-    df = spark.sql(f"WITH {BASE_CTE} SELECT * FROM apps", **tables)
-    return df if keep_draw else df.drop("u3")
+    df = finance.derive(spark.sql(f"WITH {BASE_CTE} SELECT * FROM apps", **tables))
+    df = df.withColumn("default", (F.col("u3") < policy.scorecard_pd()).cast("int"))
+    return df.select("app_id", *PREDICTORS, "default")
+
+
+_stored: dict[tuple[str, str], DataFrame] = {}
 
 
 def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests with the derived predictors and the binary target, in training column order."""
-    df = finance.derive(requests(spark, sf_dir, keep_draw=True))
-    df = df.withColumn("default", (F.col("u3") < policy.scorecard_pd()).cast("int"))
-    return df.select("app_id", *PREDICTORS, "default")
+    """The whole applications table, stored once per session so that queries scan Parquet
+    with their own column pruning and filters, as they would on a real table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        _stored[key] = materialise(build(spark, sf_dir), "applications")
+    return _stored[key]
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request columns of every application."""
+    return applications(spark, sf_dir).select(*STORED)
