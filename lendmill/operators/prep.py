@@ -152,7 +152,7 @@ def low_variance(df: DataFrame, columns: list[str], limit: float = 0.01) -> list
 
 def correlation_matrix(df: DataFrame, columns: list[str]):
     """Pearson matrix; MLlib sums per-partition Gram matrices, so only columns^2 numbers move."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="skip").transform(df)
+    vectors = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="keep").transform(df)
     return Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
 
 
@@ -248,10 +248,10 @@ class PrepModel:
         spec = PrepSpec(**raw.pop("spec"))
         classes = spark.read.schema(CLASS_SCHEMA).parquet(f"{path}/classes")
         return PrepModel(spec=spec, classes=classes,
-                         literals=_literals(classes, spec.literal_classes), **raw)
+                         literals=class_literals(classes, spec.literal_classes), **raw)
 
 
-def _literals(classes: DataFrame, limit: int) -> dict | None:
+def class_literals(classes: DataFrame, limit: int) -> dict | None:
     """Class maps when their checked number is small, else None (encode by join)."""
     rows = classes.limit(limit + 1).collect()
     if len(rows) > limit:
@@ -277,7 +277,7 @@ def fit_prep(df: DataFrame, target: str = "default", ids: list[str] = ("app_id",
         work = clip(work, bounds)
         classes = (class_table(work, categorical, spec.literal_classes) if categorical
                    else df.sparkSession.createDataFrame([], CLASS_SCHEMA))
-        literals = _literals(classes, spec.literal_classes)
+        literals = class_literals(classes, spec.literal_classes)
         scaling = scale_stats(work, numeric)
         work = scale(encode(work, classes, categorical, literals), scaling)
         constant = low_variance(work, work.columns, spec.min_variance)

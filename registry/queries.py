@@ -292,7 +292,7 @@ def t3(spark, sf):
 def t4(spark, sf):
     df = requests(spark, sf)
     classes = prep.class_table(df, CATEGORICAL, 400)
-    literals = prep._literals(classes, 400)
+    literals = prep.class_literals(classes, 400)
     coded = prep.encode(variants.with_unseen(df), classes, CATEGORICAL, literals)
     return coded.select("app_id", *CATEGORICAL)
 
