@@ -136,7 +136,7 @@ def expected_profit(p: Column, amount: Column, rate: Column | None = None,
 
 def round_decimal(x: Column, digits: int) -> Column:
     """Half-up rounding of the decimal value, after removing binary noise below 1e-8."""
-    return F.round(x.cast("decimal(28,8)"), digits).cast("double")
+    return F.round(x.try_cast("decimal(28,8)"), digits).cast("double")
 
 
 def assess(df: DataFrame, p: str = "p_final", amount: str | None = "loan_amnt",

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendmill.config import POLICY, RiskPolicy, threshold_grid
-from lendmill.operators.ordering import running_totals
+from lendmill.operators.ordering import cut_points, running_totals
 
 
 def class_counts(df: DataFrame, label: str = "default") -> DataFrame:
@@ -61,7 +61,8 @@ def _score_counts(df: DataFrame, label: str, score: str, by: list[str]) -> DataF
 def roc_auc(df: DataFrame, label: str = "default", score: str = "score",
             by: list[str] = ()) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null when a class is absent."""
-    ranked = running_totals(_score_counts(df, label, score, list(by)), "score", ["neg"], by)
+    ranked = running_totals(_score_counts(df, label, score, list(by)), "score", ["neg"], by,
+                            cut_points(df, score))
     wins = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)
     return (ranked.groupBy(*by)
             .agg(F.sum(wins).alias("_wins"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
@@ -75,7 +76,7 @@ def roc_curve(df: DataFrame, label: str = "default", score: str = "score",
     counts = _score_counts(df, label, score, list(by)).withColumn("_all", F.lit(0))
     keys = [*by, "_all"]
     totals = counts.groupBy(*keys).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    ranked = running_totals(counts, "score", ["pos", "neg"], keys)
+    ranked = running_totals(counts, "score", ["pos", "neg"], keys, cut_points(df, score))
     return (ranked.join(totals, keys)
             .select(*by, F.col("score").alias("threshold"),
                     _ratio(F.col("_n") - F.col("neg_before"), F.col("_n")).alias("fpr"),
@@ -86,7 +87,8 @@ def evaluate(df: DataFrame, label: str = "default", score: str = "score",
              by: list[str] = ("model", "split"), cutoff: float = 0.5) -> DataFrame:
     """ROC-AUC, precision, recall, F1 and the confusion counts for every group."""
     by = list(by)
-    ranked = running_totals(_score_counts(df, label, score, by), "score", ["neg"], by)
+    ranked = running_totals(_score_counts(df, label, score, by), "score", ["neg"], by,
+                            cut_points(df, score))
     called = F.col("score") >= cutoff
 
     def total(c: str, condition: Column | None = None) -> Column:

@@ -1,9 +1,10 @@
 """Running totals over a global order without a single-partition window.
 
-Rows are cut into value ranges with about equal row counts. Totals of earlier ranges (a table
-of at most groups x ranges rows) give each range its starting value, and an ordinary window
-inside the range does the rest. Callers pass pre-aggregated rows (one per distinct value), so
-a value that holds a third of the input is still one row here.
+Rows are cut into value ranges. Totals of earlier ranges (a table of at most groups x ranges
+rows) give each range its starting value, and an ordinary window inside the range does the
+rest. Callers pass pre-aggregated rows (one per distinct value), so a value that holds a third
+of the input is still one row here. Cut points only affect balance, never results: taken from
+the raw rows, they leave at most rows / ranges distinct values in a range.
 """
 
 from __future__ import annotations
@@ -20,22 +21,31 @@ def range_count(df: DataFrame) -> int:
     return max(2, min(MAX_RANGES, 4 * shuffle))
 
 
-def cut_points(df: DataFrame, column: str, ranges: int) -> list[float]:
-    """Splits for ``ranges`` slices of about equal size (approximate; only balance depends on it)."""
+def cut_points(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
+    """Splits into slices of about equal row counts: one narrow pass that merges sketches."""
+    ranges = ranges or range_count(df)
     wanted = [k / ranges for k in range(1, ranges)]
-    inner = df.approxQuantile(column, wanted, 1 / (4 * ranges))
+    values = df.select(F.col(column).cast("double").alias("v"))
+    inner = values.approxQuantile("v", wanted, 1 / (4 * ranges))
     return [float("-inf"), *sorted(set(inner)), float("inf")]
 
 
+def even_cuts(low: float, high: float, ranges: int) -> list[float]:
+    """Equal-width splits, for orders that are known to be spread evenly (such as ranks)."""
+    step = (high - low) / ranges
+    inner = {low + step * k for k in range(1, ranges)} if step > 0 else set()
+    return [float("-inf"), *sorted(inner), float("inf")]
+
+
 def add_range(df: DataFrame, column: str, out: str, splits: list[float]) -> DataFrame:
     return (Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep")
             .transform(df).withColumn(out, F.col(out).cast("int")))
 
 
 def _running(df: DataFrame, order: str, columns: list[str], groups: list[str], fold, inclusive: bool,
-             suffix: str, ranges: int | None) -> DataFrame:
+             suffix: str, splits: list[float] | None) -> DataFrame:
     """Combine ``fold`` (sum or max) over earlier ranges with a window inside each range."""
-    splits = cut_points(df, order, ranges or range_count(df))
+    splits = cut_points(df, order) if splits is None else splits
     sliced = add_range(df, order, "_range", splits)
 
     earlier = (Window.partitionBy(*groups).orderBy("_range")
@@ -61,15 +71,15 @@ def _running(df: DataFrame, order: str, columns: list[str], groups: list[str], f
 
 
 def running_totals(df: DataFrame, order: str, totals: list[str], groups: list[str] = (),
-                   ranges: int | None = None) -> DataFrame:
+                   splits: list[float] | None = None) -> DataFrame:
     """Add ``<total>_before``: the sum of each total over rows that sort before this one.
 
     ``df`` must hold one row per (groups, order) value; the order column is numeric.
     """
-    return _running(df, order, totals, list(groups), F.sum, False, "_before", ranges)
+    return _running(df, order, totals, list(groups), F.sum, False, "_before", splits)
 
 
 def running_max(df: DataFrame, order: str, column: str, groups: list[str] = (),
-                ranges: int | None = None) -> DataFrame:
+                splits: list[float] | None = None) -> DataFrame:
     """Add ``<column>_so_far``: the largest value up to and including this row."""
-    return _running(df, order, [column], list(groups), F.max, True, "_so_far", ranges)
+    return _running(df, order, [column], list(groups), F.max, True, "_so_far", splits)

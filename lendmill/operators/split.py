@@ -31,8 +31,8 @@ def _cuts(df: DataFrame, stratum: str | None, id_col: str, seed: int,
     keyed = df.select((F.col(stratum) if stratum else F.lit(0)).alias("s"),
                       F.col(id_col).alias("id"), hash_key(id_col, seed).alias("h"))
     keyed = keyed.withColumn("b", F.substring("h", 1, PREFIX_DIGITS))
-    counts = keyed.groupBy("s", "b").agg(F.count("*").alias("n"))
-    # at most classes x 65,536 rows from here on
+    # at most classes x 65,536 rows, kept so that the table is scanned once for them
+    counts = keyed.groupBy("s", "b").agg(F.count("*").alias("n")).persist()
     before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     ranked = counts.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
     totals = {r.s: r["n"] for r in counts.groupBy("s").agg(F.sum("n").alias("n")).collect()}
@@ -44,6 +44,7 @@ def _cuts(df: DataFrame, stratum: str | None, id_col: str, seed: int,
             wanted = wanted | (F.col("s").eqNullSafe(F.lit(s)) & (F.col("below") < k)
                                & (F.col("below") + F.col("n") >= k))
     edges = ranked.where(wanted).collect()
+    counts.unpersist()
     if not edges:
         return {s: [None] * len(ranks) for s, ranks in at.items()}
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lendmill.config import threshold_grid
 from lendmill.operators import evaluate, split
-from lendmill.operators.ordering import running_max, running_totals
+from lendmill.operators.ordering import cut_points, even_cuts, running_max, running_totals
 
 
 def as_dict(df, key, value):
@@ -76,8 +76,9 @@ def test_running_sums_and_maxima_over_many_ranges(spark):
             for g in "ab" for v in np.unique(rng.normal(size=400).round(2))]
     df = spark.createDataFrame(rows, "g string, v double, n long, m double")
     sums = {(r.g, r.v): r.n_before
-            for r in running_totals(df, "v", ["n"], ["g"], ranges=37).collect()}
-    tops = {(r.g, r.v): r.m_so_far for r in running_max(df, "v", "m", ["g"], ranges=37).collect()}
+            for r in running_totals(df, "v", ["n"], ["g"], cut_points(df, "v", 37)).collect()}
+    tops = {(r.g, r.v): r.m_so_far
+            for r in running_max(df, "v", "m", ["g"], even_cuts(-3.0, 3.0, 41)).collect()}
     for g in "ab":
         total, top = 0, None
         for _, v, n, m in [r for r in rows if r[0] == g]:
