@@ -99,9 +99,9 @@ def floor_applied(p: Column) -> Column:
 
 def fired_floors(p: Column) -> Column:
     """Names of the rules whose floor exceeds ``p``."""
-    return F.array_compact(F.array(*[
-        F.when(_holds(c, op, b) & (F.lit(v) > p), F.lit(f"{c}{op}{b}"))
-        for c, op, b, v in REGULATORY_FLOORS]))
+    return F.array_remove(F.array(*[
+        F.when(_holds(c, op, b) & (F.lit(v) > p), F.lit(f"{c}{op}{b}")).otherwise("")
+        for c, op, b, v in REGULATORY_FLOORS]), "")
 
 
 def risk_category(p: Column, policy: RiskPolicy = POLICY) -> Column:

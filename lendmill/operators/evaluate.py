@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendmill.config import POLICY, RiskPolicy, threshold_grid
-from lendmill.operators.ordering import cut_points, running_totals
+from lendmill.operators.ordering import running_totals
 
 
 def class_counts(df: DataFrame, label: str = "default") -> DataFrame:
@@ -51,21 +54,24 @@ def precision_recall_f1(counts: DataFrame) -> DataFrame:
     })
 
 
-def _score_counts(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    """Positives and negatives per distinct score: ties and hot scores collapse map-side."""
-    return df.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"),
-        F.count_if(F.col(label) == 0).alias("neg"))
+def _flags(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
+    return df.select(*by, F.col(score).cast("double").alias("score"),
+                     (F.col(label) == 1).cast("long").alias("pos"),
+                     (F.col(label) == 0).cast("long").alias("neg"))
+
+
+# pairs a positive wins against the negatives below it, ties counted half
+WINS = "pos * (neg_before + neg / 2D)"
 
 
 def roc_auc(df: DataFrame, label: str = "default", score: str = "score",
             by: list[str] = ()) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null when a class is absent."""
-    ranked = running_totals(_score_counts(df, label, score, list(by)), "score", ["neg"], by,
-                            cut_points(df, score))
-    wins = F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)
+    by = list(by)
+    ranked = running_totals(_flags(df, label, score, by), "score", ["pos", "neg"], by)
     return (ranked.groupBy(*by)
-            .agg(F.sum(wins).alias("_wins"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+            .agg(F.sum(F.expr(WINS)).alias("_wins"), F.sum("pos").alias("_p"),
+                 F.sum("neg").alias("_n"))
             .select(*by, F.try_divide(F.col("_wins"), F.col("_p").cast("double") * F.col("_n"))
                     .alias("roc_auc")))
 
@@ -73,11 +79,13 @@ def roc_auc(df: DataFrame, label: str = "default", score: str = "score",
 def roc_curve(df: DataFrame, label: str = "default", score: str = "score",
               by: list[str] = ()) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, predicting positive at score >= threshold."""
-    counts = _score_counts(df, label, score, list(by)).withColumn("_all", F.lit(0))
-    keys = [*by, "_all"]
-    totals = counts.groupBy(*keys).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    ranked = running_totals(counts, "score", ["pos", "neg"], keys, cut_points(df, score))
-    return (ranked.join(totals, keys)
+    by = list(by)
+    flags = _flags(df, label, score, by)
+    totals = flags.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    totals = totals.withColumnsRenamed({k: f"_by_{k}" for k in by})
+    ranked = running_totals(flags, "score", ["pos", "neg"], by)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by], F.lit(True))
+    return (ranked.join(totals, same)  # one totals row per group
             .select(*by, F.col("score").alias("threshold"),
                     _ratio(F.col("_n") - F.col("neg_before"), F.col("_n")).alias("fpr"),
                     _ratio(F.col("_p") - F.col("pos_before"), F.col("_p")).alias("tpr")))
@@ -87,18 +95,16 @@ def evaluate(df: DataFrame, label: str = "default", score: str = "score",
              by: list[str] = ("model", "split"), cutoff: float = 0.5) -> DataFrame:
     """ROC-AUC, precision, recall, F1 and the confusion counts for every group."""
     by = list(by)
-    ranked = running_totals(_score_counts(df, label, score, by), "score", ["neg"], by,
-                            cut_points(df, score))
+    ranked = running_totals(_flags(df, label, score, by), "score", ["pos", "neg"], by)
     called = F.col("score") >= cutoff
 
-    def total(c: str, condition: Column | None = None) -> Column:
-        kept = F.col(c) if condition is None else F.when(condition, F.col(c)).otherwise(0)
-        return F.coalesce(F.sum(kept), F.lit(0))
+    def total(c: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(c)).otherwise(0)), F.lit(0))
 
     counts = ranked.groupBy(*by).agg(
         total("neg", ~called).alias("tn"), total("neg", called).alias("fp"),
         total("pos", ~called).alias("fn"), total("pos", called).alias("tp"),
-        F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)).alias("_wins"))
+        F.sum(F.expr(WINS)).alias("_wins"))
     p, n = F.col("tp") + F.col("fn"), F.col("tn") + F.col("fp")
     return precision_recall_f1(counts).withColumn(
         "roc_auc", F.try_divide(F.col("_wins"), p.cast("double") * n)).select(

@@ -1,19 +1,22 @@
 """Running totals over a global order without a single-partition window.
 
-Rows are cut into value ranges. Totals of earlier ranges (a table of at most groups x ranges
-rows) give each range its starting value, and an ordinary window inside the range does the
-rest. Callers pass pre-aggregated rows (one per distinct value), so a value that holds a third
-of the input is still one row here. Cut points only affect balance, never results: taken from
-the raw rows, they leave at most rows / ranges distinct values in a range.
+Rows are cut into value ranges. Totals per range (at most groups x ranges rows, combined on the
+map side straight from the input) give each range its starting value; inside a range the rows
+collapse to one per distinct value and an ordinary window does the rest. A value that holds a
+third of the input is one row by then. Cut points only affect balance, never results: taken
+from the rows themselves, they leave at most rows / ranges distinct values in a range.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RANGES = 4096
+MAX_RANGES = 16_384
 
 
 def range_count(df: DataFrame) -> int:
@@ -26,7 +29,7 @@ def cut_points(df: DataFrame, column: str, ranges: int | None = None) -> list[fl
     ranges = ranges or range_count(df)
     wanted = [k / ranges for k in range(1, ranges)]
     values = df.select(F.col(column).cast("double").alias("v"))
-    inner = values.approxQuantile("v", wanted, 1 / (4 * ranges))
+    inner = values.approxQuantile("v", wanted, 1 / (2 * ranges))
     return [float("-inf"), *sorted(set(inner)), float("inf")]
 
 
@@ -38,26 +41,27 @@ def even_cuts(low: float, high: float, ranges: int) -> list[float]:
 
 
 def add_range(df: DataFrame, column: str, out: str, splits: list[float]) -> DataFrame:
+    """Range number of a value; values that fit no range (null) get -1."""
     return (Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep")
-            .transform(df).withColumn(out, F.col(out).cast("int")))
+            .transform(df).withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(-1))))
 
 
-def _running(df: DataFrame, order: str, columns: list[str], groups: list[str], fold, inclusive: bool,
-             suffix: str, splits: list[float] | None) -> DataFrame:
+def _running(rows: DataFrame, order: str, columns: list[str], groups: list[str], fold,
+             inclusive: bool, suffix: str, splits: list[float] | None) -> DataFrame:
     """Combine ``fold`` (sum or max) over earlier ranges with a window inside each range."""
-    splits = cut_points(df, order) if splits is None else splits
-    sliced = add_range(df, order, "_range", splits)
+    splits = cut_points(rows, order) if splits is None else splits
+    sliced = add_range(rows, order, "_range", splits)
 
     earlier = (Window.partitionBy(*groups).orderBy("_range")
                .rowsBetween(Window.unboundedPreceding, -1))
-    starts = (sliced.groupBy(*groups, "_range")
-              .agg(*[fold(c).alias(f"_part_{c}") for c in columns])
-              .select(*groups, "_range",
+    keys = [*groups, "_range"]
+    starts = (sliced.groupBy(*keys).agg(*[fold(c).alias(f"_part_{c}") for c in columns])
+              .select(*[F.col(k).alias(f"_key_{k}") for k in keys],
                       *[fold(f"_part_{c}").over(earlier).alias(f"_start_{c}") for c in columns]))
-    inside = (Window.partitionBy(*groups, "_range").orderBy(order)
-              .rowsBetween(Window.unboundedPreceding,
-                           Window.currentRow if inclusive else -1))
-    within = sliced.withColumns({f"_in_{c}": fold(c).over(inside) for c in columns})
+    inside = (Window.partitionBy(*keys).orderBy(order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
+    within = (sliced.groupBy(*keys, order).agg(*[fold(c).alias(c) for c in columns])
+              .withColumns({f"_in_{c}": fold(c).over(inside) for c in columns}))
 
     def joined(c: str):
         start, here = F.col(f"_start_{c}"), F.col(f"_in_{c}")
@@ -65,21 +69,20 @@ def _running(df: DataFrame, order: str, columns: list[str], groups: list[str], f
             return F.greatest(start, here)
         return F.coalesce(start, F.lit(0)) + F.coalesce(here, F.lit(0))
 
-    return (within.join(starts, [*groups, "_range"])
-            .withColumns({f"{c}{suffix}": joined(c) for c in columns})
-            .drop("_range", *[f"_start_{c}" for c in columns], *[f"_in_{c}" for c in columns]))
+    # null-safe, so that a group named null keeps its rows
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return within.join(starts, same).select(
+        *groups, order, *columns, *[joined(c).alias(f"{c}{suffix}") for c in columns])
 
 
-def running_totals(df: DataFrame, order: str, totals: list[str], groups: list[str] = (),
+def running_totals(rows: DataFrame, order: str, totals: list[str], groups: list[str] = (),
                    splits: list[float] | None = None) -> DataFrame:
-    """Add ``<total>_before``: the sum of each total over rows that sort before this one.
-
-    ``df`` must hold one row per (groups, order) value; the order column is numeric.
-    """
-    return _running(df, order, totals, list(groups), F.sum, False, "_before", splits)
+    """One row per (groups, order) with its totals and ``<total>_before``: the sums over all
+    rows that sort strictly before it. The order column is numeric; ``rows`` may repeat values."""
+    return _running(rows, order, totals, list(groups), F.sum, False, "_before", splits)
 
 
-def running_max(df: DataFrame, order: str, column: str, groups: list[str] = (),
+def running_max(rows: DataFrame, order: str, column: str, groups: list[str] = (),
                 splits: list[float] | None = None) -> DataFrame:
-    """Add ``<column>_so_far``: the largest value up to and including this row."""
-    return _running(df, order, [column], list(groups), F.max, True, "_so_far", splits)
+    """One row per (groups, order) with ``<column>_so_far``: the largest value up to it."""
+    return _running(rows, order, [column], list(groups), F.max, True, "_so_far", splits)

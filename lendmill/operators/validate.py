@@ -30,15 +30,15 @@ TERMS = [12, 24, 36, 48, 60]
 
 def rejection_reasons() -> Column:
     """``field:missing``, ``field:range`` or ``term:choice`` for every violated rule."""
-    missing = [F.when(F.col(n).isNull(), F.lit(f"{n}:missing")) for n, _ in REQUEST_FIELDS]
-    ranges = []
+    found = [F.when(F.col(n).isNull(), F.lit(f"{n}:missing")).otherwise("")
+             for n, _ in REQUEST_FIELDS]
     for name, low, allowed, high in BOUNDS:
         c = F.col(name)
         # NaN sorts above every number, so it also lands outside the upper bound
         outside = ((c < low) if allowed else (c <= low)) | (c > high)
-        ranges.append(F.when(outside, F.lit(f"{name}:range")))
-    choice = F.when(~F.col("term").isin(TERMS), F.lit("term:choice"))
-    return F.array_compact(F.array(*missing, *ranges, choice))
+        found.append(F.when(outside, F.lit(f"{name}:range")).otherwise(""))
+    found.append(F.when(~F.col("term").isin(TERMS), F.lit("term:choice")).otherwise(""))
+    return F.array_remove(F.array(*found), "")
 
 
 def validate_applications(df: DataFrame) -> DataFrame:
@@ -48,7 +48,13 @@ def validate_applications(df: DataFrame) -> DataFrame:
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    return validate_applications(df).where("is_valid").drop("reasons", "is_valid")
+    """Valid rows only, as plain comparisons that reach the Parquet scan as pushed filters."""
+    for name, _ in REQUEST_FIELDS:
+        df = df.where(F.col(name).isNotNull())
+    for name, low, allowed, high in BOUNDS:
+        c = F.col(name)
+        df = df.where((c >= low) if allowed else (c > low)).where(c <= high)
+    return df.where(F.col("term").isin(TERMS))
 
 
 def quarantined(df: DataFrame) -> DataFrame:

@@ -87,6 +87,14 @@ def test_running_sums_and_maxima_over_many_ranges(spark):
             total += n
 
 
+def test_groups_named_null_are_kept(spark):
+    rows = [(None, 1, 0.9), (None, 0, 0.1), ("a", 1, 0.2), ("a", 0, 0.4), ("a", 1, 0.4)]
+    df = spark.createDataFrame(rows, "g string, default int, score double")
+    got = as_dict(evaluate.evaluate(df, by=["g"]), "g", "roc_auc")
+    assert got == {None: 1.0, "a": 0.25}
+    assert evaluate.roc_curve(df, by=["g"]).count() == 4
+
+
 def test_sweep_equals_direct_scans(spark, apps):
     rng = np.random.default_rng(2)
     # scores that sit exactly on thresholds, too
