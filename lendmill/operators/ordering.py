@@ -30,14 +30,18 @@ def cut_points(df: DataFrame, column: str, ranges: int | None = None) -> list[fl
     wanted = [k / ranges for k in range(1, ranges)]
     values = df.select(F.col(column).cast("double").alias("v"))
     inner = values.approxQuantile("v", wanted, 1 / (2 * ranges))
-    return [float("-inf"), *sorted(set(inner)), float("inf")]
+    return _splits(inner)
 
 
 def even_cuts(low: float, high: float, ranges: int) -> list[float]:
     """Equal-width splits, for orders that are known to be spread evenly (such as ranks)."""
     step = (high - low) / ranges
-    inner = {low + step * k for k in range(1, ranges)} if step > 0 else set()
-    return [float("-inf"), *sorted(inner), float("inf")]
+    return _splits(low + step * k for k in range(1, ranges))
+
+
+def _splits(inner) -> list[float]:
+    finite = sorted(v for v in set(inner) if abs(v) != float("inf"))
+    return [float("-inf"), *(finite or [0.0]), float("inf")]
 
 
 def add_range(df: DataFrame, column: str, out: str, splits: list[float]) -> DataFrame:
