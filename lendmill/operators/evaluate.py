@@ -82,13 +82,18 @@ def roc_curve(df: DataFrame, label: str = "default", score: str = "score",
     by = list(by)
     flags = _flags(df, label, score, by)
     totals = flags.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    totals = totals.withColumnsRenamed({k: f"_by_{k}" for k in by})
     ranked = running_totals(flags, "score", ["pos", "neg"], by)
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by], F.lit(True))
-    return (ranked.join(totals, same)  # one totals row per group
-            .select(*by, F.col("score").alias("threshold"),
-                    _ratio(F.col("_n") - F.col("neg_before"), F.col("_n")).alias("fpr"),
-                    _ratio(F.col("_p") - F.col("pos_before"), F.col("_p")).alias("tpr")))
+    if by:
+        totals = totals.withColumnsRenamed({k: f"_by_{k}" for k in by})
+        ranked = ranked.join(totals, reduce(and_, [
+            F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by]))
+    else:
+        row = totals.first()  # one row of two numbers
+        ranked = ranked.withColumns({"_p": F.lit(row["_p"]), "_n": F.lit(row["_n"])})
+    return ranked.select(
+        *by, F.col("score").alias("threshold"),
+        _ratio(F.col("_n") - F.col("neg_before"), F.col("_n")).alias("fpr"),
+        _ratio(F.col("_p") - F.col("pos_before"), F.col("_p")).alias("tpr"))
 
 
 def evaluate(df: DataFrame, label: str = "default", score: str = "score",

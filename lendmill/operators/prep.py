@@ -22,9 +22,10 @@ from lendmill.config import PREP, PrepSpec
 from lendmill.functions.finance import engineer
 from lendmill.operators.quantiles import exact_quantiles
 from lendmill.schema import numeric_columns, string_columns
-from lendmill.session import scratch
+from lendmill.session import materialise
 
 CLASS_SCHEMA = "feature string, value string, code int"
+COUNT_SCHEMA = "feature string, value string, n long"
 
 
 # ---- single steps ------------------------------------------------------------------------
@@ -41,10 +42,14 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
             .groupBy("c.feature", "c.value").agg(F.count("*").alias("n")))
 
 
+def modes_of(counts: DataFrame) -> DataFrame:
+    """Most frequent value per feature; ties go to the smallest value."""
+    return counts.groupBy("feature").agg(
+        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
+
+
 def modes_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Most frequent value per column; ties go to the smallest value."""
-    return (value_counts(df, columns).groupBy("feature")
-            .agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")))
+    return modes_of(value_counts(df, columns))
 
 
 def modes(df: DataFrame, columns: list[str]) -> dict[str, str]:
@@ -89,10 +94,21 @@ def clip(df: DataFrame, bounds: dict) -> DataFrame:
 
 def scale_stats(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation; a zero deviation becomes one."""
-    row = df.agg(*[e for i, c in enumerate(columns) for e in (
-        F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"))]).first()
-    return {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(columns)
-            if row[f"m{i}"] is not None}
+    return _scale_and_variance(df, columns, [])[0]
+
+
+def _scale_and_variance(df: DataFrame, scaled: list[str], others: list[str]):
+    """One pass for the scaling and for the sample variance every column has after it."""
+    row = df.agg(F.count("*").alias("n"), *[e for i, c in enumerate(scaled) for e in (
+        F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"))],
+        *[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(others)]).first()
+    stats = {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(scaled)
+             if row[f"m{i}"] is not None}
+    # a scaled column has population variance one, or zero when it is constant
+    inflation = row.n / (row.n - 1) if row.n > 1 else None
+    after = {c: inflation if row[f"s{i}"] else 0.0 for i, c in enumerate(scaled) if c in stats}
+    after.update({c: row[f"v{i}"] for i, c in enumerate(others)})
+    return stats, after
 
 
 def scale(df: DataFrame, stats: dict) -> DataFrame:
@@ -102,15 +118,16 @@ def scale(df: DataFrame, stats: dict) -> DataFrame:
 
 def class_table(df: DataFrame, columns: list[str], literal_classes: int) -> DataFrame:
     """(feature, value, code): distinct values numbered 0.. in string order within a feature."""
-    spark = df.sparkSession
-    distinct = value_counts(df, columns).select("feature", "value")
-    path = scratch(spark, "classes")
-    distinct.write.parquet(path)
-    distinct = spark.read.schema(distinct.schema).parquet(path)
-    per_feature = {r.feature: r["count"] for r in distinct.groupBy("feature").count().collect()}
+    return classes_of(materialise(value_counts(df, columns), "classes"), literal_classes)
+
+
+def classes_of(counts: DataFrame, literal_classes: int) -> DataFrame:
+    """Number the distinct values of a stored (feature, value, n) table."""
+    spark = counts.sparkSession
+    per_feature = {r.feature: r["count"] for r in counts.groupBy("feature").count().collect()}
     if sum(per_feature.values()) <= literal_classes:
         seen: dict[str, list[str]] = {}
-        for r in distinct.collect():
+        for r in counts.collect():
             seen.setdefault(r.feature, []).append(r.value)
         rows = [(f, v, i) for f, vs in seen.items() for i, v in enumerate(sorted(vs))]
         return spark.createDataFrame(rows, CLASS_SCHEMA)
@@ -118,7 +135,7 @@ def class_table(df: DataFrame, columns: list[str], literal_classes: int) -> Data
     start, offset = {}, 0
     for f in sorted(per_feature):
         start[f], offset = offset, offset + per_feature[f]
-    ordered = distinct.orderBy("feature", "value").rdd.zipWithIndex()
+    ordered = counts.select("feature", "value").orderBy("feature", "value").rdd.zipWithIndex()
     numbered = ordered.map(lambda p: (p[0].feature, p[0].value, p[1] - start[p[0].feature]))
     return spark.createDataFrame(numbered, CLASS_SCHEMA)
 
@@ -146,8 +163,12 @@ def variances(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     return {c: row[f"v{i}"] for i, c in enumerate(columns)}
 
 
+def constant_columns(found: dict[str, float | None], limit: float = 0.01) -> list[str]:
+    return [c for c, v in found.items() if v is not None and v < limit]
+
+
 def low_variance(df: DataFrame, columns: list[str], limit: float = 0.01) -> list[str]:
-    return [c for c, v in variances(df, columns).items() if v is not None and v < limit]
+    return constant_columns(variances(df, columns), limit)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]):
@@ -271,16 +292,20 @@ def fit_prep(df: DataFrame, target: str = "default", ids: list[str] = ("app_id",
     raw = df.select(*[c for c in df.columns if c in {*numeric, *categorical}])
     raw = raw.persist(StorageLevel.MEMORY_AND_DISK)  # read by every fitting pass below
     try:
-        fill = {**medians(raw, numeric), **modes(raw, categorical)}
+        # modes and classes share one count of the category values; imputing adds no new class
+        counts = (materialise(value_counts(raw, categorical), "classes") if categorical
+                  else df.sparkSession.createDataFrame([], COUNT_SCHEMA))
+        modes_found = {r.feature: r["mode"] for r in modes_of(counts).collect()}
+        classes = classes_of(counts, spec.literal_classes)
+        literals = class_literals(classes, spec.literal_classes)
+        fill = {**medians(raw, numeric), **modes_found}
         work = engineer(impute(raw, fill))
         bounds = clip_bounds(work, numeric, spec.outlier_std)
-        work = clip(work, bounds)
-        classes = (class_table(work, categorical, spec.literal_classes) if categorical
-                   else df.sparkSession.createDataFrame([], CLASS_SCHEMA))
-        literals = class_literals(classes, spec.literal_classes)
-        scaling = scale_stats(work, numeric)
-        work = scale(encode(work, classes, categorical, literals), scaling)
-        constant = low_variance(work, work.columns, spec.min_variance)
+        work = encode(clip(work, bounds), classes, categorical, literals)
+        others = [c for c in work.columns if c not in numeric]
+        scaling, spread = _scale_and_variance(work, numeric, others)
+        work = scale(work, scaling)
+        constant = constant_columns(spread, spec.min_variance)
         rest = [c for c in work.columns if c not in constant]
         related = correlated(work, rest, spec.max_correlation)
     finally:
