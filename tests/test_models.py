@@ -233,6 +233,40 @@ def test_lime_does_not_depend_on_partitioning(spark, result):
     assert a == b and len(a) == rows.count()
 
 
+def test_lime_block_equals_single_regressions():
+    rng = np.random.default_rng(4)
+    same = rng.random((3, 300, 9)) < 0.4
+    same[:, 0] = True
+    p = rng.random((3, 300))
+    spec = LimeSpec(top=7)
+    for g, fit in enumerate(lime.surrogates(same, p, 7, spec)):
+        x = same[g].astype(float)
+        w = np.sqrt(np.exp(-(1 - x).sum(1) / (np.sqrt(9) * spec.kernel_factor) ** 2))
+        used = lime.select_features(x, p[g], w, 7, spec)
+        weights, intercept = lime.ridge(x[:, used], p[g], w, spec.ridge)
+        assert set(fit["features"]) == set(used)
+        expected = dict(zip(used, weights))
+        assert all(v == pytest.approx(expected[f]) for f, v in zip(fit["features"], fit["weights"]))
+        assert fit["intercept"] == pytest.approx(intercept)
+        assert fit["score"] == pytest.approx(lime._r2(x[:, used], p[g], w, weights, intercept))
+
+
+def test_lime_samples_follow_the_bins(spark):
+    values = [0.0] * 50 + [float(v) for v in range(1, 151)]
+    df = spark.createDataFrame([(v, -v) for v in values], "a double, b double")
+    bins = lime.fit_bins(df, ["a", "b"])
+    sampler = lime.Sampler.of(bins)
+    rows = np.array([[0.0, 0.0], [150.0, -3.0]])
+    drawn, same = sampler.perturb(rows, [1, 2], 4000)
+    assert (drawn[:, 0] == rows).all() and same[:, 0].all()
+    assert drawn[..., 0].min() >= 0.0 and drawn[..., 0].max() <= 150.0
+    again, _ = sampler.perturb(rows[1:], [2], 4000)
+    assert (again[0] == drawn[1]).all()
+    for i, b in enumerate(bins):
+        hit = np.bincount(sampler.bin_of(drawn[0])[1:, i], minlength=len(b.shares)) / 3999
+        assert np.allclose(hit, b.shares, atol=0.03)
+
+
 def test_lime_forward_selection():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2, (400, 8)).astype(float)
