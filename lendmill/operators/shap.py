@@ -127,29 +127,30 @@ def shap_matrix(trees: list[Tree], x: np.ndarray, tables: dict | None = None) ->
     columns = np.ascontiguousarray(x.T)
     for i, tree in enumerate(trees):
         left = columns[tree.split_feature] <= tree.split_threshold[:, None]
+        turns = np.stack([~left, left]).view(np.uint8)
         for j, leaf in enumerate(tree.leaves):
             m = len(leaf.features)
             if m == 0:
                 continue
-            pattern = np.zeros(x.shape[0], dtype=np.int64)
+            # narrow integers: the loop is bound by memory traffic
+            kind = np.uint8 if m <= 8 else np.uint16 if m <= 16 else np.int64
+            pattern = np.zeros(x.shape[0], dtype=kind)
             for bit, steps in enumerate(leaf.steps):
-                met = None
-                for k, goes_left in steps:
-                    one = left[k] if goes_left else ~left[k]
-                    met = one if met is None else met & one
-                pattern |= met.astype(np.int64) << bit
+                met = np.bitwise_and.reduce([turns[int(goes_left), k] for k, goes_left in steps])
+                pattern |= met.astype(kind) << kind(bit)
             table = tables.get((i, j))
             if table is None:
                 if m <= 12:
-                    table = leaf_table(leaf.value, leaf.shares, np.arange(1 << m))
+                    table = leaf_table(leaf.value, leaf.shares, np.arange(1 << m)).T.copy()
                     if cells + table.size <= TABLE_CELLS:
                         tables[(i, j)] = table
                         cells += table.size
                 else:  # long paths: only the patterns that occur
                     seen, pattern = np.unique(pattern, return_inverse=True)
-                    table = leaf_table(leaf.value, leaf.shares, seen)
+                    table = leaf_table(leaf.value, leaf.shares, seen.astype(np.int64)).T
+            place = pattern.astype(np.intp)
             for bit, f in enumerate(leaf.features):
-                by_feature[f] += table[:, bit][pattern]
+                by_feature[f] += table[bit].take(place)
     return by_feature.T
 
 

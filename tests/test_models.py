@@ -122,6 +122,18 @@ def test_tree_shap_equals_brute_force(spark, result):
             assert np.allclose(got[i], _brute_force(tree, x), atol=1e-12)
 
 
+def test_deep_trees_add_up(spark, result):
+    deep = train.train(result.features, result.prep.features, "boosted",
+                       {"max_depth": 14, "n_estimators": 2})
+    trees = shap.read_trees(deep, spark)
+    assert max(len(leaf.features) for t in trees for leaf in t.leaves) > 8
+    table = shap.add_tree_shap(result.features, deep, trees)
+    total = F.aggregate("shap", F.col("base_value"), lambda a, b: a + b)
+    p = (1 / (1 + F.exp(-total))).alias("p")
+    joined = table.select("app_id", p).join(train.score(deep, result.features), "app_id")
+    assert joined.agg(F.max(F.abs(F.col("p") - F.col("p_model")))).first()[0] < 1e-12
+
+
 def test_long_paths_use_the_same_formula():
     shares = np.linspace(0.2, 0.9, 14)
     patterns = np.array([0, 5, 2 ** 14 - 1])
