@@ -2,6 +2,8 @@
 
 import itertools
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -122,6 +124,20 @@ def test_tree_shap_equals_brute_force(spark, result):
             assert np.allclose(got[i], _brute_force(tree, x), atol=1e-12)
 
 
+def test_task_functions_need_no_installed_package(tmp_path):
+    """What a task receives must load where this package cannot be imported."""
+    from pyspark import cloudpickle
+    tree = shap.Tree(np.array([0]), np.array([0.5]),
+                     [shap.Leaf(1.0, [0], np.array([0.25]), [[(0, True)]]),
+                      shap.Leaf(-1.0, [0], np.array([0.75]), [[(0, False)]])])
+    (tmp_path / "f.bin").write_bytes(cloudpickle.dumps((shap.shap_matrix, [tree])))
+    code = ("import numpy, pickle; f, t = pickle.load(open('f.bin', 'rb')); "
+            "print(f(t, numpy.array([[0.0], [1.0]])).ravel().tolist())")
+    out = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True,
+                         text=True, timeout=60)
+    assert out.stdout.strip() == "[1.5, -0.5]", out.stderr
+
+
 def test_deep_trees_add_up(spark, result):
     deep = train.train(result.features, result.prep.features, "boosted",
                        {"max_depth": 14, "n_estimators": 2})
