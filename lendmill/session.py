@@ -17,6 +17,8 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "lendmill")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # wide projections generate methods above the JIT's default size limit
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         # small test files: weigh a file by its size, so that all cores get some
         .config("spark.sql.files.openCostInBytes", str(256 * 1024))
         .getOrCreate()
