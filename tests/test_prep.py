@@ -84,9 +84,10 @@ def test_model_with_joined_classes(spark, apps):
     few = prep.fit_prep(apps, spec=PrepSpec(literal_classes=0))
     many = prep.fit_prep(apps)
     assert few.literals is None and few.features == many.features
-    a = few.transform(apps).orderBy("app_id").limit(50).collect()
-    b = many.transform(apps).orderBy("app_id").limit(50).collect()
-    assert a == b
+    # two separate fits: averages may differ in the last bit with the order tasks finish in
+    a = np.array(few.transform(apps).orderBy("app_id").collect(), dtype=float)
+    b = np.array(many.transform(apps).orderBy("app_id").collect(), dtype=float)
+    assert a.shape == b.shape and np.allclose(a, b, rtol=1e-9, atol=1e-12)
 
 
 def test_columns_left_after_selection(spark, sf_dir):
