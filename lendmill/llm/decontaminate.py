@@ -21,16 +21,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lendmill.llm.names import unused
+from lendmill.llm.prefilter import bitmap, present
 from lendmill.llm.text import Rolling, mix, steps, utf8, words
 from lendmill.session import materialise
 
-FILTER_BITS = 24  # a bitmap of 2 MB, whatever the size of the benchmark
-
-
 def separators() -> np.ndarray:
     """Per byte value: true for ASCII that is neither a letter nor a digit."""
     code = np.arange(256)
@@ -91,21 +90,6 @@ def passages(items: DataFrame, n: int, passage: int, item_id: str, text: str) ->
         run, f"item_id {kind}, passage int, tokens array<bigint>, grams array<bigint>, width int")
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """Bits of all values of column ``gram``: at most 2**FILTER_BITS / 64 numbers."""
-    slot = F.shiftrightunsigned("gram", 64 - FILTER_BITS)
-    found = keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    out[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
-def present(bits: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    slot = gram >> np.uint64(64 - FILTER_BITS)
-    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
-
-
 def document_counts(docs: DataFrame, bits: np.ndarray, widths: list[int], text: str) -> DataFrame:
     """(gram, documents) over the whole corpus for the n-grams that the bitmap lets through."""
     def run(batches):
@@ -260,7 +244,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, n: i
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that hold no passage of an item, all columns."""
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    marked = contaminated(keyed, items, doc_id="_row", **options).select(
-        F.col("doc_id").alias("_row")).distinct()
-    return keyed.join(marked, "_row", "left_anti").drop("_row")
+    row = unused(docs, "_row")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    marked = contaminated(keyed, items, doc_id=row, **options).select(
+        F.col("doc_id").alias(row)).distinct()
+    return keyed.join(marked, row, "left_anti").drop(row)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lendmill.llm.names import all_columns, unused
 from lendmill.session import materialise
 
 LANDING = 10  # documents per source that the flight leaves to the landing, besides two
@@ -168,13 +169,13 @@ def copies(docs: DataFrame, weights=(3.0, 1.0, 2.0), total_ratio: float = 1.5, c
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents as often as they are taken, all columns; those taken 0 times go."""
-    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{x}`") for x in docs.columns]))
-    taken = copies(keyed, keep=["_row"], **options).groupBy("doc_id", "_row") \
-        .agg(F.sum("times").alias("_times")).where("_times > 0") \
-        .select(F.col("doc_id").alias("_id"), F.col("_row").alias("_key"), "_times")
+    row, own, key, times, n = (unused(docs, x) for x in ("_row", "_id", "_key", "_times", "_n"))
+    keyed = docs.withColumn(row, F.xxhash64(*all_columns(docs)))
+    taken = copies(keyed, keep=[row], **options).groupBy("doc_id", row) \
+        .agg(F.sum("times").alias(times)).where(F.col(times) > 0) \
+        .select(F.col("doc_id").alias(own), F.col(row).alias(key), times)
     # repeated rows are equal: one stands for all, with the sum of their times
-    once = keyed.dropDuplicates(["doc_id", "_row"])
-    return once.join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & (F.col("_row") == F.col("_key"))) \
-        .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))) \
-        .select(*[F.col(f"`{x}`") for x in docs.columns])
+    once = keyed.dropDuplicates(["doc_id", row])
+    return once.join(taken, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(row) == F.col(key))) \
+        .withColumn(n, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))) \
+        .select(*all_columns(docs))

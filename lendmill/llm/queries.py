@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmill.llm import decontaminate, mix, quality, shard, simhash
+from lendmill.llm import (ann, decontaminate, html, license, lines, mix, quality, shard, simhash,
+                          suffix)
 from lendmill.session import materialise
 
 
@@ -13,11 +14,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(table(spark, sf_dir, "documents"), length=50)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=4, shingle=4)
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.summary(table(spark, sf_dir, "documents"), distance=2)
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mix.copies(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target",
@@ -40,6 +61,7 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(table(spark, sf_dir, "documents"), shards=16)
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op7_mix, op8_decontaminate, op9_quality,
-                                   op10_shard)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_license, op2_html, op3_suffix, op4_simhash, op5_ann, op6_lines, op7_mix,
+    op8_decontaminate, op9_quality, op10_shard)}
+ORACLES = {"op1_license": license.oracle()}

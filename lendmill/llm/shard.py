@@ -2,15 +2,15 @@
 
 Groups of equal texts are the keys of the ring. A key goes to the shard of the next virtual node
 clockwise, and on to the next shard that is not full where that shard has reached its bound. The
-bound is the mean load in bytes, so no shard exceeds it by more than the last group it took, and
-sizes come out near equal (law ``bytes``). Larger groups go first, so the last ones are small.
+bound is the mean load in bytes (of the shards that no single group fills), so no other shard
+exceeds it by more than the last group it took, and sizes come out near equal (law ``bytes``). Larger groups go first, so the last ones are small.
 
 All of it is DataFrame work. A round offers every open group to its next shard with room;
 running sums over (size class, hash) buckets find in each shard the bucket in which the bound is
 reached, and only that bucket is ordered row by row. At most one round per shard is needed.
 
 Defined results: null text counts as the empty text (size 1, CRC 0); repeated rows are rows of
-one group; a group larger than the bound is cut into parts of about a quarter of the bound by a
+one group; a group larger than the bound is cut into parts of a 64th of the bound by a
 hash of doc_id, since no shard can hold it; all other equal texts share a shard.
 """
 
@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lendmill.llm.names import all_columns, unused
 from lendmill.session import materialise
 
+PARTS = 64  # a group that no shard can hold is cut into parts of a shard's load through this
 POSITIONS = 1 << 12  # of the ring, for virtual nodes and keys alike
 GROUP = ["h", "crc", "size", "part"]
 
@@ -91,6 +93,15 @@ def place(groups: DataFrame, shards: int, virtual: int, bound: int) -> DataFrame
             return placed.select(*GROUP, "shard")
 
 
+def balanced_bound(groups: DataFrame, shards: int, total: int) -> int:
+    """The mean load of the shards that no single group fills; reads ``shards`` rows at most."""
+    for row in groups.orderBy(F.desc("bytes")).limit(shards - 1).select("bytes").collect():
+        if row["bytes"] * shards <= total:
+            break
+        total, shards = total - row["bytes"], shards - 1
+    return -(-total // shards)
+
+
 def assign(docs: DataFrame, shards: int = 16, virtual: int = 64, doc_id: str = "doc_id",
            text: str = "text", keep=(), bucket_rows: int = 20_000) -> DataFrame:
     """Every row's (doc_id, keep..., size, text_crc32, law, shard, slot, grown_shard)."""
@@ -105,13 +116,13 @@ def assign(docs: DataFrame, shards: int = 16, virtual: int = 64, doc_id: str = "
     groups = rows.groupBy("h", "crc", "size").agg(F.sum("n").alias("n"))
     # fewer than ``shards`` groups can be larger than the mean load
     large = groups.where(F.col("n") * F.col("size") > bound).where("n > 1").select(
-        "h", "crc", "size", F.ceil(F.col("n") * F.col("size") * 4 / max(bound, 1)).alias("cuts"))
+        "h", "crc", "size", F.ceil(F.col("n") * F.col("size") * PARTS / max(bound, 1)).alias("cuts"))
     rows = rows.join(F.broadcast(large), ["h", "crc", "size"], "left").withColumn(
         "part", F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.col("cuts")), F.lit(0))) \
         .drop("cuts")
     units = materialise(rows.groupBy(*GROUP).agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("bytes")), "shard-groups")
-    placed = place(units, shards, virtual, bound)
+    placed = place(units, shards, virtual, balanced_bound(units, shards, total or 0))
     # slots: offsets of hash buckets inside a shard, then a rank inside the bucket
     buckets = max(1, -(-(count or 0) // (bucket_rows * shards)))
     rows = materialise(rows.join(placed, GROUP).withColumn(
@@ -130,13 +141,12 @@ def assign(docs: DataFrame, shards: int = 16, virtual: int = 64, doc_id: str = "
 
 def sharded(docs: DataFrame, shards: int = 16, virtual: int = 64) -> DataFrame:
     """All columns of every row with its shard, slot and size."""
-    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{x}`") for x in docs.columns]))
-    found = assign(keyed, shards, virtual, keep=["_row"]).select(
-        F.col("doc_id").alias("_id"), F.col("_row").alias("_key"),
-        *[F.col(x).alias(f"_{x}") for x in ("size", "shard", "slot")])
-    once = keyed.dropDuplicates(["doc_id", "_row"])
-    return once.join(found, F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & (F.col("_row") == F.col("_key"))) \
-        .select(*[F.col(f"`{x}`") for x in docs.columns],
-                *[F.col(f"_{x}").alias(x if x not in docs.columns else f"shard_{x}")
-                  for x in ("size", "shard", "slot")])
+    row, own, key = (unused(docs, x) for x in ("_row", "_id", "_key"))
+    keyed = docs.withColumn(row, F.xxhash64(*all_columns(docs)))
+    names = {x: unused(docs, x) for x in ("size", "shard", "slot")}
+    found = assign(keyed, shards, virtual, keep=[row]).select(
+        F.col("doc_id").alias(own), F.col(row).alias(key),
+        *[F.col(x).alias(name) for x, name in names.items()])
+    once = keyed.dropDuplicates(["doc_id", row])  # equal rows share all but shard and slot
+    return once.join(found, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(row) == F.col(key))) \
+        .select(*all_columns(docs), *names.values())

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.llm.components import components
+from lendmill.llm.names import all_columns, unused
 from lendmill.session import materialise
 
 BITS = 64
@@ -297,12 +298,13 @@ def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, text:
 
 def one_of_each(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
     """All columns of one row per component: the least doc_id, ties by a hash of the row."""
-    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(f"`{x}`") for x in docs.columns]))
-    found = near_duplicates(keyed, distance, shingle, keep=["_row"])
+    row = unused(docs, "_row")
+    keyed = docs.withColumn(row, F.xxhash64(*all_columns(docs)))
+    found = near_duplicates(keyed, distance, shingle, keep=[row])
     first = found.groupBy("root").agg(F.min(F.struct(
-        F.col("doc_id").isNull(), "doc_id", "_row")).alias("_first")) \
-        .select("_first.doc_id", F.col("_first._row").alias("_chosen"))
-    kept = keyed.join(first.withColumnRenamed("doc_id", "_kept"),
-                      F.col("doc_id").eqNullSafe(F.col("_kept"))
-                      & (F.col("_row") == F.col("_chosen")))
-    return kept.dropDuplicates(["doc_id", "_row"]).select(*[F.col(f"`{x}`") for x in docs.columns])
+        F.col("doc_id").isNull().alias("unnamed"), "doc_id", row)).alias("first"))
+    kept, chosen = unused(docs, "_kept"), unused(docs, "_chosen")
+    first = first.select(F.col("first.doc_id").alias(kept), F.col(f"first.{row}").alias(chosen))
+    both = keyed.join(first, F.col("doc_id").eqNullSafe(F.col(kept))
+                      & (F.col(row) == F.col(chosen)))
+    return both.dropDuplicates(["doc_id", row]).select(*all_columns(docs))
