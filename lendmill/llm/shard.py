@@ -51,7 +51,7 @@ def _offer(open_: DataFrame, room: dict[int, int], parts: int) -> tuple[DataFram
     choice = F.array_except("clockwise", F.array(*full)) if full else F.col("clockwise")
     bucket = ["shard", "class", "slice"]
     offered = open_.withColumns({
-        "shard": F.element_at(choice, 1),
+        "shard": F.get(choice, F.lit(0)),
         "class": -F.floor(F.log2(F.col("bytes").cast("double")) * 4).cast("int"),
         "slice": F.pmod(F.xxhash64("h", "crc", "size", "part", F.lit("slice")), F.lit(parts))})
     sums = offered.groupBy(*bucket).agg(F.sum("bytes").alias("held"))
