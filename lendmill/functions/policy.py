@@ -134,9 +134,9 @@ def expected_profit(p: Column, amount: Column, rate: Column | None = None,
     return amount * rate * years - p * amount
 
 
-def round_decimal(x: Column, digits: int) -> Column:
-    """Half-up rounding of the decimal value, after removing binary noise below 1e-8."""
-    return F.round(x.try_cast("decimal(28,8)"), digits).cast("double")
+def round_half_up(x: Column, digits: int) -> Column:
+    """Half-up rounding, once, of the number as it prints; NaN and infinities stay."""
+    return F.round(x.cast("double"), digits)
 
 
 def assess(df: DataFrame, p: str = "p_final", amount: str | None = "loan_amnt",
@@ -152,7 +152,7 @@ def assess(df: DataFrame, p: str = "p_final", amount: str | None = "loan_amnt",
     profit = (expected_profit(prob, F.col(amount), F.col("_rate"), years, policy)
               if amount else F.lit(None).cast("double"))
     sure = F.abs(prob - 0.5) * 2 if with_confidence else F.lit(None).cast("double")
-    keep = round_decimal if rounded else (lambda x, digits: x)
+    keep = round_half_up if rounded else (lambda x, digits: x)
     return df.withColumns({
         "default_probability": keep(prob, 4),
         "interest_rate": keep(F.col("_rate"), 4),

@@ -1,4 +1,8 @@
-"""Model evaluation on (label, score) tables: one row per scored application."""
+"""Model evaluation on (label, score) tables: one row per scored application.
+
+A score that is null or NaN never reaches a threshold: it counts as a negative prediction
+everywhere and ranks below every number in ROC curves.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lendmill.config import POLICY, RiskPolicy, threshold_grid
 from lendmill.operators.ordering import running_totals
+from lendmill.session import materialise
 
 
 def class_counts(df: DataFrame, label: str = "default") -> DataFrame:
@@ -32,10 +37,16 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
 
 
+def known_score(score: str) -> Column:
+    """The score; minus infinity where it is null or NaN."""
+    p = F.col(score).cast("double")
+    return F.when(F.isnan(p) | p.isNull(), float("-inf")).otherwise(p)
+
+
 def confusion(df: DataFrame, label: str = "default", predicted: str = "prediction",
               by: list[str] = ()) -> DataFrame:
     """tn, fp, fn, tp in one aggregation; a class that does not occur counts as zero."""
-    y, z = F.col(label), F.col(predicted)
+    y, z = F.col(label), F.coalesce(F.col(predicted).cast("int"), F.lit(0))
     return df.groupBy(*by).agg(
         F.count_if((y == 0) & (z == 0)).alias("tn"),
         F.count_if((y == 0) & (z == 1)).alias("fp"),
@@ -55,7 +66,7 @@ def precision_recall_f1(counts: DataFrame) -> DataFrame:
 
 
 def _flags(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    return df.select(*by, F.col(score).cast("double").alias("score"),
+    return df.select(*by, known_score(score).alias("score"),
                      (F.col(label) == 1).cast("long").alias("pos"),
                      (F.col(label) == 0).cast("long").alias("neg"))
 
@@ -80,9 +91,10 @@ def roc_curve(df: DataFrame, label: str = "default", score: str = "score",
               by: list[str] = ()) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, predicting positive at score >= threshold."""
     by = list(by)
-    flags = _flags(df, label, score, by)
-    totals = flags.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    ranked = running_totals(flags, "score", ["pos", "neg"], by)
+    ranked = running_totals(_flags(df, label, score, by), "score", ["pos", "neg"], by)
+    # totals come from the ranked rows, one per distinct score, not from the input again
+    ranked = materialise(ranked, "roc")
+    totals = ranked.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     if by:
         totals = totals.withColumnsRenamed({k: f"_by_{k}" for k in by})
         ranked = ranked.join(totals, reduce(and_, [
@@ -140,8 +152,8 @@ def threshold_sweep(df: DataFrame, label: str = "default", score: str = "score",
     cuts = sorted(set(thresholds))
     spark = df.sparkSession
     gaps = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="_score",
-                      outputCol="_gap", handleInvalid="skip")
-    counted = (gaps.transform(df.withColumn("_score", F.col(score).cast("double")))
+                      outputCol="_gap")
+    counted = (gaps.transform(df.withColumn("_score", known_score(score)))
                .groupBy(F.col("_gap").cast("int").alias("gap"))
                .agg(F.count_if(F.col(label) == 1).alias("pos"),
                     F.count_if(F.col(label) == 0).alias("neg")))

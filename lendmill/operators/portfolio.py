@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.functions.policy import round_decimal
+from lendmill.functions.policy import round_half_up
 
 
 def _exact_sum(c: str):
@@ -31,12 +31,12 @@ def portfolio_flat(df: DataFrame, by: list[str] = ()) -> DataFrame:
     )
     return counted.select(
         *by, "total_applicants", "approved", "review", "rejected", "low", "moderate", "high",
-        F.coalesce(round_decimal(F.try_divide(F.col("approved").cast("double"),
+        F.coalesce(round_half_up(F.try_divide(F.col("approved").cast("double"),
                                               F.col("total_applicants")), 4),
                    F.lit(0.0)).alias("approval_rate"),
-        round_decimal(F.col("_p"), 4).alias("avg_default_probability"),
-        round_decimal(F.col("_rate"), 4).alias("avg_interest_rate"),
-        round_decimal(F.try_divide(F.col("_profit").cast("double"), F.col("_priced")), 2)
+        round_half_up(F.col("_p"), 4).alias("avg_default_probability"),
+        round_half_up(F.col("_rate"), 4).alias("avg_interest_rate"),
+        round_half_up(F.try_divide(F.col("_profit").cast("double"), F.col("_priced")), 2)
         .alias("avg_expected_profit"),
         F.col("_profit").cast("double").alias("total_expected_profit"),
     )

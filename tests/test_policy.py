@@ -163,3 +163,10 @@ def test_validation(spark, change, reason):
 def test_validation_of_the_term(spark):
     row = validate_applications(request(spark, {"term": 7, "age": 5})).first()
     assert row.reasons == ["age:range", "term:choice"]
+
+
+def test_rounding_happens_once(spark):
+    values = [0.123449996, 0.299949996, 0.12345, 1e21, -0.00005, None]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in rows.select(policy.round_half_up(F.col("x"), 4)).collect()]
+    assert got == [0.1234, 0.2999, 0.1235, 1e21, -0.0001, None]
