@@ -1,10 +1,10 @@
 """Running totals over a global order without a single-partition window.
 
-Rows are cut into value ranges. Totals per range (at most groups x ranges rows, combined on the
-map side straight from the input) give each range its starting value; inside a range the rows
-collapse to one per distinct value and an ordinary window does the rest. A value that holds a
-third of the input is one row by then. Cut points only affect balance, never results: taken
-from the rows themselves, they leave at most rows / ranges distinct values in a range.
+Rows collapse to one per distinct value, which is stored once, so whatever computes the input
+runs once; a value that holds a third of the input is one row by then. These rows are cut into
+value ranges, as many as their number asks for. Totals per range give each range its starting
+value, and an ordinary window does the rest inside a range. Cut points only affect balance, never
+results.
 """
 
 from __future__ import annotations
@@ -16,17 +16,19 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RANGES = 16_384
+from lendmill.session import materialise
 
+RANGE_ROWS = 100_000
 
-def range_count(df: DataFrame) -> int:
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_RANGES, 4 * shuffle))
+
+def range_count(rows: int) -> int:
+    """Ranges of about RANGE_ROWS rows; a few at least, so that small inputs use some cores."""
+    return max(8, -(-rows // RANGE_ROWS))
 
 
 def cut_points(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
     """Splits into slices of about equal row counts: one narrow pass that merges sketches."""
-    ranges = ranges or range_count(df)
+    ranges = ranges or range_count(df.count())
     wanted = [k / ranges for k in range(1, ranges)]
     values = df.select(F.col(column).cast("double").alias("v"))
     inner = values.approxQuantile("v", wanted, 1 / (2 * ranges))
@@ -53,6 +55,8 @@ def add_range(df: DataFrame, column: str, out: str, splits: list[float]) -> Data
 def _running(rows: DataFrame, order: str, columns: list[str], groups: list[str], fold,
              inclusive: bool, suffix: str, splits: list[float] | None) -> DataFrame:
     """Combine ``fold`` (sum or max) over earlier ranges with a window inside each range."""
+    rows = materialise(rows.groupBy(*groups, order).agg(*[fold(c).alias(c) for c in columns]),
+                       "running")
     splits = cut_points(rows, order) if splits is None else splits
     sliced = add_range(rows, order, "_range", splits)
 
@@ -64,8 +68,7 @@ def _running(rows: DataFrame, order: str, columns: list[str], groups: list[str],
                       *[fold(f"_part_{c}").over(earlier).alias(f"_start_{c}") for c in columns]))
     inside = (Window.partitionBy(*keys).orderBy(order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
-    within = (sliced.groupBy(*keys, order).agg(*[fold(c).alias(c) for c in columns])
-              .withColumns({f"_in_{c}": fold(c).over(inside) for c in columns}))
+    within = sliced.withColumns({f"_in_{c}": fold(c).over(inside) for c in columns})
 
     def joined(c: str):
         start, here = F.col(f"_start_{c}"), F.col(f"_in_{c}")

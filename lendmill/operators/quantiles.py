@@ -3,7 +3,8 @@
 Each pass counts values into equal-width bins of the interval that still holds a wanted rank
 and keeps the bin containing it. A pass is one map-side-combined aggregation whose result has
 at most (columns x ranks x bins) rows, whatever the table size; an interval ends when it holds
-a single distinct value. A thousandfold larger table costs about one more pass.
+a single distinct value. A thousandfold larger table costs about one more pass. Infinite values
+are counted apart and take the lowest and highest ranks.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 4096
-ONE_PASS_ROWS = 50_000
+INFINITY = float("inf")
 
 
 def _number(c: str):
@@ -25,24 +26,24 @@ def _number(c: str):
 def _interpolate(values: dict[int, float], n: int, p: float) -> float:
     position = (n - 1) * p
     low, high = math.floor(position), math.ceil(position)
+    if values[low] == values[high] or position == low:
+        return values[low]
     return values[low] + (values[high] - values[low]) * (position - low)
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float],
-                    one_pass_rows: int = ONE_PASS_ROWS, bins: int = BINS
-                    ) -> dict[str, list[float | None]]:
+                    bins: int = BINS) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column; nulls and NaN are ignored."""
     data = df.select(*[_number(c).alias(c) for c in columns])
-    facts = data.agg(*[f(c).alias(f"{name}{i}") for i, c in enumerate(columns)
-                       for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
-    counts = [facts[f"n{i}"] for i in range(len(columns))]
 
-    if max(counts, default=0) <= one_pass_rows:
-        # the row count is checked, so the per-column value maps stay small
-        row = data.agg(*[F.percentile(c, F.array(*[F.lit(float(p)) for p in probabilities]))
-                         .alias(f"q{i}") for i, c in enumerate(columns)]).first()
-        return {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probabilities)
-                for i, c in enumerate(columns)}
+    def finite(c: str):
+        return F.when(F.abs(c) < INFINITY, F.col(c))
+
+    facts = data.agg(*[e for i, c in enumerate(columns) for e in (
+        F.count(c).alias(f"n{i}"), F.count_if(F.col(c) == -INFINITY).alias(f"below{i}"),
+        F.count_if(F.col(c) == INFINITY).alias(f"above{i}"),
+        F.min(finite(c)).alias(f"lo{i}"), F.max(finite(c)).alias(f"hi{i}"))]).first()
+    counts = [facts[f"n{i}"] for i in range(len(columns))]
 
     # (column index, rank) -> (low, high, number of values below low)
     open_ranks: dict[tuple[int, int], tuple[float, float, int]] = {}
@@ -51,19 +52,38 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         if n:
             for p in probabilities:
                 for rank in {math.floor((n - 1) * p), math.ceil((n - 1) * p)}:
-                    open_ranks[(i, rank)] = (facts[f"lo{i}"], facts[f"hi{i}"], 0)
+                    if rank < facts[f"below{i}"]:
+                        found[i][rank] = -INFINITY
+                    elif rank >= n - facts[f"above{i}"]:
+                        found[i][rank] = INFINITY
+                    else:
+                        open_ranks[(i, rank)] = (facts[f"lo{i}"], facts[f"hi{i}"],
+                                                 facts[f"below{i}"])
+
+    _settle(data, columns, open_ranks, found, bins)
+    return {c: [_interpolate(found[i], counts[i], p) if counts[i] else None
+                for p in probabilities] for i, c in enumerate(columns)}
 
+
+def _settle(data: DataFrame, columns, open_ranks, found, bins) -> None:
+    """Narrow all open intervals until each holds one distinct value."""
     while True:
         for (i, rank), (low, high, _) in list(open_ranks.items()):
             if low == high:
                 found[i][rank] = low
                 del open_ranks[(i, rank)]
         if not open_ranks:
-            break
+            return
         open_ranks = _narrow(data, columns, open_ranks, bins)
 
-    return {c: [_interpolate(found[i], counts[i], p) if counts[i] else None
-                for p in probabilities] for i, c in enumerate(columns)}
+
+def value_at(df: DataFrame, column: str, rank: int, bins: int = BINS):
+    """The value with ``rank`` smaller or equal values before it, of a column of finite numbers."""
+    data = df.select(F.col(column).cast("double").alias(column)).where(F.col(column).isNotNull())
+    low, high = data.agg(F.min(column), F.max(column)).first()
+    found: dict[int, dict[int, float]] = {0: {}}
+    _settle(data, [column], {(0, rank): (low, high, 0)}, found, bins)
+    return found[0][rank]
 
 
 def _narrow(data: DataFrame, columns, open_ranks, bins):

@@ -3,7 +3,8 @@
 Rows are ordered by a seeded hash of their id, so membership depends on the id alone and not
 on partitioning. Instead of ranking the table, two small aggregations find the hash values at
 the wanted positions; assigning rows is then a projection with a few literals. Only rows whose
-hash prefix equals a boundary bucket (about 1 in 65,536) are ever sorted.
+hash prefix equals a boundary bucket are ever sorted, and the prefix is as long as the number of
+rows asks for, so that a bucket holds about BUCKET_ROWS.
 """
 
 from __future__ import annotations
@@ -16,9 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendmill.config import SPLIT, SplitSpec
+from lendmill.operators.quantiles import value_at
+from lendmill.session import materialise
 
-PREFIX_DIGITS = 4
-TOP_K_ROWS = 10_000
+BUCKET_ROWS = 1_000
+MOST_STRATA = 1_000  # a split is a projection with a literal per class and position
+
+
+def prefix_digits(rows: int) -> int:
+    """Hex digits of the hash that leave about BUCKET_ROWS rows in a bucket."""
+    return max(1, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS, 16)) if rows > BUCKET_ROWS else 1)
 
 
 def hash_key(id_col: str, seed: int) -> Column:
@@ -30,12 +38,15 @@ def _cuts(df: DataFrame, stratum: str | None, id_col: str, seed: int,
     """{stratum value: [(hash, id) of the row at each position]}; None for position 0."""
     keyed = df.select((F.col(stratum) if stratum else F.lit(0)).alias("s"),
                       F.col(id_col).alias("id"), hash_key(id_col, seed).alias("h"))
-    keyed = keyed.withColumn("b", F.substring("h", 1, PREFIX_DIGITS))
-    # at most classes x 65,536 rows, kept so that the table is scanned once for them
-    counts = keyed.groupBy("s", "b").agg(F.count("*").alias("n")).persist()
+    keyed = keyed.withColumn("b", F.substring("h", 1, prefix_digits(df.count())))
+    # about one row per BUCKET_ROWS rows and class, stored so that the table is scanned once
+    counts = materialise(keyed.groupBy("s", "b").agg(F.count("*").alias("n")), "split-counts")
     before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     ranked = counts.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    totals = {r.s: r["n"] for r in counts.groupBy("s").agg(F.sum("n").alias("n")).collect()}
+    strata = counts.groupBy("s").agg(F.sum("n").alias("n")).limit(MOST_STRATA + 1).collect()
+    if len(strata) > MOST_STRATA:
+        raise ValueError(f"more than {MOST_STRATA} classes in {stratum}")
+    totals = {r.s: r["n"] for r in strata}
 
     at = {s: positions(n) for s, n in totals.items()}
     wanted = F.lit(False)
@@ -44,7 +55,6 @@ def _cuts(df: DataFrame, stratum: str | None, id_col: str, seed: int,
             wanted = wanted | (F.col("s").eqNullSafe(F.lit(s)) & (F.col("below") < k)
                                & (F.col("below") + F.col("n") >= k))
     edges = ranked.where(wanted).collect()
-    counts.unpersist()
     if not edges:
         return {s: [None] * len(ranks) for s, ranks in at.items()}
 
@@ -103,14 +113,31 @@ def stratified_folds(df: DataFrame, k: int, label: str = "default", id_col: str
 
 def seeded_sample(df: DataFrame, n: int, id_col: str = "app_id", seed: int = 42) -> DataFrame:
     """``n`` pseudo-random rows; the same rows for any partitioning of the input."""
-    if n <= TOP_K_ROWS:
-        return (df.withColumn("_h", hash_key(id_col, seed)).orderBy("_h", id_col).limit(n)
-                .drop("_h"))
     cuts = _cuts(df, None, id_col, seed, lambda total: [min(n, total)])
-    member = _segment(df, None, id_col, seed, cuts, [True, False])
-    return df.where(member)
+    edge = cuts.get(0, [None])[0]
+    if edge is None:
+        return df.limit(0)
+    key = F.struct(hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+    cut = F.struct(F.lit(edge[0]).alias("h"),
+                   F.lit(edge[1]).cast(df.schema[id_col].dataType).alias("id"))
+    return _up_to(df, key < cut, F.coalesce(key == cut, F.lit(False)), n)
+
+
+def _up_to(df: DataFrame, below: Column, edge: Column, n: int) -> DataFrame:
+    """All rows below a cut and as many of those at it as are missing to ``n``: one row, unless
+    ids repeat."""
+    sure = df.where(below)
+    return sure.unionByName(df.where(edge).limit(max(0, n - sure.count())))
 
 
 def first_rows(df: DataFrame, n: int, id_col: str = "app_id") -> DataFrame:
-    """The ``n`` rows with the smallest ids (a table has no row order of its own)."""
-    return df.orderBy(id_col).limit(n)
+    """The ``n`` rows with the smallest numeric ids (a table has no row order of its own). The
+    n-th id is found by counting, so no task ever gathers n rows of every other."""
+    total = df.where(F.col(id_col).isNotNull()).count()
+    if n <= 0 or total == 0:
+        return df.limit(0)
+    if n >= total:
+        return df.where(F.col(id_col).isNotNull())
+    # the quantile at a whole rank is the value at that rank
+    cut = value_at(df, id_col, n - 1)
+    return _up_to(df, F.col(id_col) < cut, F.col(id_col) == cut, n)

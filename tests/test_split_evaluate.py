@@ -43,12 +43,44 @@ def test_folds_differ_by_at_most_one(spark, apps):
         assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
 
 
-def test_both_sample_paths_agree(spark, apps, monkeypatch):
+def test_sample_depends_on_ids_alone(spark, apps, monkeypatch):
     a = {r.app_id for r in split.seeded_sample(apps, 137).collect()}
-    monkeypatch.setattr(split, "TOP_K_ROWS", 0)
+    monkeypatch.setattr(split, "BUCKET_ROWS", 3)
     b = {r.app_id for r in split.seeded_sample(apps.repartition(5), 137).collect()}
     assert a == b and len(a) == 137
     assert split.seeded_sample(apps, 10 ** 6).count() == apps.count()
+    assert split.seeded_sample(apps, 0).count() == 0
+
+
+def test_repeated_ids_do_not_change_sample_sizes(spark):
+    rows = spark.range(30_000).select((F.col("id") % 100).alias("app_id"))
+    for n in (1, 1000, 12_345):
+        assert split.seeded_sample(rows, n).count() == n
+        assert split.first_rows(rows, n).count() == n
+    assert {r[0] for r in split.first_rows(rows, 600).distinct().collect()} == {0, 1}
+
+
+def test_too_many_classes_are_refused(spark):
+    with pytest.raises(ValueError):
+        split.stratified_split(spark.range(1500).select(
+            F.col("id").alias("app_id"), F.col("id").alias("default")))
+
+
+def test_missing_scores_are_negative_predictions(spark):
+    nan = float("nan")
+    rows = spark.createDataFrame([(1, None), (0, 0.2), (1, 0.9), (0, nan)],
+                                 "default int, score double")
+    counts = ("tn", "fp", "fn", "tp")
+    found = evaluate.evaluate(rows, by=[], cutoff=0.5).first()
+    assert [found[k] for k in counts] == [2, 0, 1, 1]
+    sweep = evaluate.threshold_sweep(rows, thresholds=[0.1, 0.5]).orderBy("position").collect()
+    assert [(r.fp, r.fn) for r in sweep] == [(1, 1), (0, 1)]
+    # missing scores tie at the bottom: 1 wins against 2, the other ties one and loses one
+    assert evaluate.roc_auc(rows).first().roc_auc == (2 + 0.5) / 4
+    flagged = rows.withColumn("prediction", F.when(F.col("score") >= 0.5, 1))
+    assert evaluate.confusion(flagged).first().tp == 1
+    curve = evaluate.roc_curve(rows).collect()
+    assert max(r.tpr for r in curve) == 1 and max(r.fpr for r in curve) == 1
 
 
 def auc(labels, scores):
