@@ -77,12 +77,13 @@ def engineer(df: DataFrame) -> DataFrame:
     have = set(df.columns)
     c = F.col
     new: dict[str, Column] = {}
-    if {"loan_amnt", "annual_inc"} <= have:
-        if "dti" not in have:
-            new["dti"] = percent_of(c("loan_amnt"), c("annual_inc"))
-        new["loan_income_ratio"] = loan_to_income(c("loan_amnt"), c("annual_inc"), 1.0)
+    amounts = {"loan_amnt", "annual_inc"} <= have
+    if amounts and "dti" not in have:
+        new["dti"] = percent_of(c("loan_amnt"), c("annual_inc"))
     if {"revol_util", "revol_bal"} <= have:
         new["credit_utilization_ratio"] = utilisation_share(c("revol_util"))
+    if amounts:
+        new["loan_income_ratio"] = loan_to_income(c("loan_amnt"), c("annual_inc"), 1.0)
     if {"fico_range_low", "fico_range_high"} <= have:
         new["fico_avg"] = score_midpoint(c("fico_range_low"), c("fico_range_high"))
     if "delinq_2yrs" in have:

@@ -11,10 +11,9 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,13 +130,16 @@ def classes_of(counts: DataFrame, literal_classes: int) -> DataFrame:
             seen.setdefault(r.feature, []).append(r.value)
         rows = [(f, v, i) for f, vs in seen.items() for i, v in enumerate(sorted(vs))]
         return spark.createDataFrame(rows, CLASS_SCHEMA)
-    # many classes: a distributed sort numbers them; each feature starts after the previous one
-    start, offset = {}, 0
-    for f in sorted(per_feature):
-        start[f], offset = offset, offset + per_feature[f]
-    ordered = counts.select("feature", "value").orderBy("feature", "value").rdd.zipWithIndex()
-    numbered = ordered.map(lambda p: (p[0].feature, p[0].value, p[1] - start[p[0].feature]))
-    return spark.createDataFrame(numbered, CLASS_SCHEMA)
+    # many classes: value ranges are numbered side by side, each after the rows of those before
+    ranged = materialise(counts.select("feature", "value").repartitionByRange("feature", "value")
+                         .withColumn("part", F.spark_partition_id()), "class-ranges")
+    earlier = Window.partitionBy("feature").orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("feature", "part").agg(F.count("*").alias("n")).withColumn(
+        "start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    place = F.row_number().over(Window.partitionBy("feature", "part").orderBy("value"))
+    return ranged.withColumn("place", place).join(sizes, ["feature", "part"]).select(
+        "feature", "value", (F.col("start") + F.col("place") - 1).cast("int").alias("code"))
 
 
 def encode(df: DataFrame, classes: DataFrame, columns: list[str], literals: dict | None
@@ -290,26 +292,22 @@ def fit_prep(df: DataFrame, target: str = "default", ids: list[str] = ("app_id",
     numeric = numeric_columns(df, skip)
     categorical = string_columns(df, skip)
     raw = df.select(*[c for c in df.columns if c in {*numeric, *categorical}])
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)  # read by every fitting pass below
-    try:
-        # modes and classes share one count of the category values; imputing adds no new class
-        counts = (materialise(value_counts(raw, categorical), "classes") if categorical
-                  else df.sparkSession.createDataFrame([], COUNT_SCHEMA))
-        modes_found = {r.feature: r["mode"] for r in modes_of(counts).collect()}
-        classes = classes_of(counts, spec.literal_classes)
-        literals = class_literals(classes, spec.literal_classes)
-        fill = {**medians(raw, numeric), **modes_found}
-        work = engineer(impute(raw, fill))
-        bounds = clip_bounds(work, numeric, spec.outlier_std)
-        work = encode(clip(work, bounds), classes, categorical, literals)
-        others = [c for c in work.columns if c not in numeric]
-        scaling, spread = _scale_and_variance(work, numeric, others)
-        work = scale(work, scaling)
-        constant = constant_columns(spread, spec.min_variance)
-        rest = [c for c in work.columns if c not in constant]
-        related = correlated(work, rest, spec.max_correlation)
-    finally:
-        raw.unpersist()
+    # modes and classes share one count of the category values; imputing adds no new class
+    counts = (materialise(value_counts(raw, categorical), "classes") if categorical
+              else df.sparkSession.createDataFrame([], COUNT_SCHEMA))
+    modes_found = {r.feature: r["mode"] for r in modes_of(counts).collect()}
+    classes = classes_of(counts, spec.literal_classes)
+    literals = class_literals(classes, spec.literal_classes)
+    fill = {**medians(raw, numeric), **modes_found}
+    work = engineer(impute(raw, fill))
+    bounds = clip_bounds(work, numeric, spec.outlier_std)
+    work = encode(clip(work, bounds), classes, categorical, literals)
+    others = [c for c in work.columns if c not in numeric]
+    scaling, spread = _scale_and_variance(work, numeric, others)
+    work = scale(work, scaling)
+    constant = constant_columns(spread, spec.min_variance)
+    rest = [c for c in work.columns if c not in constant]
+    related = correlated(work, rest, spec.max_correlation)
     return PrepModel(spec, numeric, categorical, fill, bounds, scaling,
                      [c for c in rest if c not in related], constant, related, classes, literals)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lendmill.operators.evaluate import class_counts, class_weights
 from lendmill.operators.split import stratified_folds
-from lendmill.session import shared_dir
+from lendmill.session import materialise, shared_dir
 
 # Search grids under the names the configuration uses.
 GRID_STANDARD = {"max_depth": [3, 4, 5], "n_estimators": [100, 200], "learning_rate": [0.05, 0.1],
@@ -96,6 +96,12 @@ def balanced_weight(df: DataFrame, label: str = "default") -> DataFrame:
     return df.withColumn("weight", out)
 
 
+def _weigher(kind: str, weighting: str | None):
+    """Class weighting by name; boosted trees weigh positives, the others balance, by default."""
+    name = weighting or ("positive" if kind == "boosted" else "balanced")
+    return {"positive": positive_weight, "balanced": balanced_weight}[name]
+
+
 @dataclass
 class Fitted:
     kind: str
@@ -107,23 +113,25 @@ class Fitted:
 
 
 def train(df: DataFrame, features: list[str], kind: str = "boosted", params: dict | None = None,
-          label: str = "default", id_col: str = "app_id", seed: int = 42) -> Fitted:
-    """Fit one learner with its class weighting on the whole of ``df``."""
+          label: str = "default", id_col: str = "app_id", seed: int = 42,
+          weighting: str | None = None) -> Fitted:
+    """Fit one learner on the whole of ``df``; ``weighting`` is "positive" or "balanced"."""
     shared_dir(df.sparkSession)
-    weigh = positive_weight if kind == "boosted" else balanced_weight
-    data = weigh(vectorise(df, features, label, [id_col]), label)
+    data = _weigher(kind, weighting)(vectorise(df, features, label, [id_col]), label)
     return Fitted(kind, learner(kind, params, seed).fit(data), features, dict(params or {}))
 
 
 def grid_search(df: DataFrame, features: list[str], grid: dict, kind: str = "boosted",
                 folds: int = 3, label: str = "default", id_col: str = "app_id", seed: int = 42,
-                parallelism: int = 2) -> Fitted:
+                parallelism: int | None = None, weighting: str | None = None) -> Fitted:
     """Every grid point on every stratified fold by mean ROC-AUC, then a refit on all rows."""
     shared_dir(df.sparkSession)
-    weigh = positive_weight if kind == "boosted" else balanced_weight
-    data = weigh(vectorise(df, features, label, [id_col]), label)
+    # small fits leave cores idle; several run side by side
+    parallelism = parallelism or max(2, df.sparkSession.sparkContext.defaultParallelism // 2)
+    data = _weigher(kind, weighting)(vectorise(df, features, label, [id_col]), label)
     data = stratified_folds(data, folds, label, id_col, seed)
-    data = data.withColumn("fold", F.col("fold").cast("int"))
+    # stored once: every fit and every evaluation reads the vectors from Parquet
+    data = materialise(data.withColumn("fold", F.col("fold").cast("int")), "folds")
     builder = ParamGridBuilder()
     est = learner(kind, _deepest(grid), seed)
     for name, values in grid.items():
@@ -145,13 +153,12 @@ def _deepest(grid: dict) -> dict:
 
 def _cross_validate(est, points: list, data: DataFrame, folds: int, parallelism: int) -> list[float]:
     """Mean exact ROC-AUC per grid point over the ``fold`` column. Folds are plain filters, so
-    no row passes through Python, and one fold is cached at a time."""
+    no row passes through Python."""
     judge = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol="label",
                                           numBins=0)
     sums = [0.0] * len(points)
     for fold in range(folds):
-        fit_on = data.where(F.col("fold") != fold).persist()
-        held = data.where(F.col("fold") == fold).persist()
+        fit_on, held = data.where(F.col("fold") != fold), data.where(F.col("fold") == fold)
         models = est.fitMultiple(fit_on, points)
 
         def fit_and_judge(_):
@@ -161,8 +168,6 @@ def _cross_validate(est, points: list, data: DataFrame, folds: int, parallelism:
         with ThreadPoolExecutor(parallelism) as pool:
             for i, value in pool.map(fit_and_judge, points):
                 sums[i] += value
-        fit_on.unpersist()
-        held.unpersist()
     return [s / folds for s in sums]
 
 
