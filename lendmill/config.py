@@ -50,6 +50,7 @@ class LimeSpec:
     kernel_factor: float = 0.75
     ridge: float = 1.0
     selection_ridge: float = 0.01
+    selection: str = "weights"  # or "forward"
 
 
 POLICY = RiskPolicy()

@@ -1,9 +1,10 @@
-"""SMOTE oversampling (Chawla et al., arXiv:1106.1813) with exact nearest neighbours.
+"""SMOTE oversampling (Chawla et al., arXiv:1106.1813) with neighbours from random hyperplanes.
 
-The minority class is cut into blocks of bounded size by a hash of the id. Every chosen base
-row meets every block once, as block-by-block matrix products inside tasks; only the k best per
-base and block leave a task. Work is (bases x minority rows), spread over block pairs, and no
-task holds more than two blocks.
+The minority class is cut into buckets by the side of the median each row lies on, for a few
+random projections; their number grows with the logarithm of the class, so a bucket holds about
+``block_rows`` rows. Neighbours are exact inside a bucket, and several independent tables of
+buckets make up for borders. Work is (rows x block_rows x tables); a bucket crowded by equal
+rows is dealt out, so no task holds more than about two blocks.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from lendmill.operators.evaluate import class_counts
 from lendmill.operators.shap import feature_array
 from lendmill.operators.split import seeded_sample
+from lendmill.session import materialise
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 4096  # rows of a bucket, not a limit on the class
+TABLES = 4
 
 
 def _unit(*parts) -> Column:
@@ -27,41 +30,64 @@ def _unit(*parts) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / float(1 << 40)
 
 
-def nearest(bases: DataFrame, points: DataFrame, k: int, base_blocks: int, point_blocks: int,
-            id_col: str = "app_id") -> DataFrame:
-    """(id, other, distance, rank 0..k-1): the exact k nearest points, the row itself excluded.
+def _codes(points: DataFrame, bits: int, tables: int, seed: int) -> list[Column]:
+    """Per table the side of the median of each of ``bits`` random projections, as a number."""
+    if not bits:
+        return [F.lit(0)] * tables
+    width = points.select(F.size("x").alias("w")).first()["w"]
+    planes = np.random.default_rng(seed).standard_normal((tables * bits, width))
 
-    ``bases`` and ``points`` carry the id and ``x array<double>``.
+    def project(plane) -> Column:
+        weights = F.array(*[F.lit(float(v)) for v in plane])
+        return F.aggregate(F.zip_with("x", weights, lambda a, b: a * b), F.lit(0.0),
+                           lambda a, b: a + b)
+
+    names = [f"p{i}" for i in range(len(planes))]
+    values = points.select(*[project(p).alias(n) for p, n in zip(planes, names)])
+    medians = [m[0] for m in values.approxQuantile(names, [0.5], 0.01)]
+    sides = [F.when(project(p) > m, 1).otherwise(0) for p, m in zip(planes, medians)]
+    return [sum((F.shiftleft(sides[t * bits + j], j) for j in range(bits)), F.lit(0))
+            for t in range(tables)]
+
+
+def nearest(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS, tables: int = TABLES,
+            seed: int = 42, id_col: str = "app_id") -> DataFrame:
+    """(id, other, distance, rank 0..k-1): near points of every row with ``ask``, without itself.
+
+    ``points`` carry the id, ``x array<double>`` and the flag ``ask``. Exact while all points fit
+    one block.
     """
     id_type = points.schema[id_col].dataType.simpleString()
-
-    def blocks(df: DataFrame, id_name: str, x_name: str, own: str, n: int, other: str, m: int):
-        return df.select(
-            F.col(id_col).alias(id_name), F.col("x").alias(x_name),
-            F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other))
-
-    left = blocks(bases, "base", "bx", "base_block", base_blocks, "point_block", point_blocks)
-    right = blocks(points, "point", "px", "point_block", point_blocks, "base_block", base_blocks)
-
-    def pair(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"base": [], "other": [], "distance": []})
-        x, y = np.stack(a["bx"].to_numpy()), np.stack(b["px"].to_numpy())
-        d = np.maximum((x ** 2).sum(1)[:, None] + (y ** 2).sum(1)[None, :] - 2 * x @ y.T, 0)
-        d[a["base"].to_numpy()[:, None] == b["point"].to_numpy()[None, :]] = np.inf
-        best = np.argsort(d, axis=1, kind="stable")[:, :k]
-        rows, cols = np.repeat(np.arange(len(x)), best.shape[1]), best.ravel()
-        kept = np.isfinite(d[rows, cols])
-        rows, cols = rows[kept], cols[kept]
-        return pd.DataFrame({"base": a["base"].to_numpy()[rows],
-                             "other": b["point"].to_numpy()[cols],
-                             "distance": np.sqrt(d[rows, cols])})
-
-    keys = ["base_block", "point_block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        pair, f"base {id_type}, other {id_type}, distance double")
-    # k rows per base and block arrive here; Spark prunes to k per base before the shuffle
+    bits = max(0, math.ceil(math.log2(max(1, points.count()) / block_rows)))
+    codes = _codes(points, bits, tables if bits else 1, seed)
+    cells = F.inline(F.array(*[F.struct(F.lit(t).alias("table"), code.alias("bucket"))
+                               for t, code in enumerate(codes)]))
+    placed = points.select(F.col(id_col).alias("point"), "x", "ask", cells)
+    deals = placed.groupBy("table", "bucket").agg(
+        F.ceil(F.count("*") / (2 * block_rows)).alias("deals"))
+    placed = placed.join(deals, ["table", "bucket"]).withColumn(
+        "deal", F.pmod(F.xxhash64("point"), "deals")).drop("deals")
+
+    def within(block: pd.DataFrame) -> pd.DataFrame:
+        x, names = np.stack(block["x"].to_numpy()), block["point"].to_numpy()
+        asks = np.flatnonzero(block["ask"].to_numpy())
+        length = (x ** 2).sum(1)
+        out = []
+        for part in np.array_split(asks, max(1, -(-len(asks) // 512))):
+            d = np.maximum(length[part, None] + length - 2 * x[part] @ x.T, 0)
+            d[names[part][:, None] == names] = np.inf
+            most = min(k, d.shape[1])
+            best = np.argpartition(d, most - 1, axis=1)[:, :most]
+            rows, cols = np.repeat(part, most), best.ravel()
+            far = d[np.repeat(np.arange(len(part)), most), cols]
+            kept = np.isfinite(far)
+            out.append(pd.DataFrame({"base": names[rows[kept]], "other": names[cols[kept]],
+                                     "distance": np.sqrt(far[kept])}))
+        return pd.concat(out)
+
+    found = placed.groupBy("table", "bucket", "deal").applyInPandas(
+        within, f"base {id_type}, other {id_type}, distance double")
+    found = found.groupBy("base", "other").agg(F.min("distance").alias("distance"))
     order = Window.partitionBy("base").orderBy("distance", "other")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select(F.col("base").alias(id_col), "other", "distance",
@@ -91,6 +117,9 @@ def smote(df: DataFrame, features: list[str], label: str = "default", id_col: st
 
     points = (df.where(F.col(label) == minority)
               .select(id_col, feature_array(features).alias("x")))
+    missing_values = points.where(F.exists("x", lambda v: v.isNull() | F.isnan(v))).count()
+    if missing_values:
+        raise ValueError(f"{missing_values} minority rows have a feature without a value")
     # every minority row is a base floor(missing/small) times; the rest goes to hash winners
     rounds, extra = divmod(missing, small)
     if rounds:
@@ -104,14 +133,19 @@ def smote(df: DataFrame, features: list[str], label: str = "default", id_col: st
     else:
         bases = seeded_sample(points, extra, id_col, seed).withColumn("copies", F.lit(1))
 
-    n_bases = small if rounds else extra
-    near = nearest(bases, points, k, max(1, math.ceil(n_bases / block_rows)),
-                   max(1, math.ceil(small / block_rows)), id_col)
+    asks = points.join(bases.select(id_col, F.lit(True).alias("_ask")), id_col, "left") \
+        .select(id_col, "x", F.coalesce("_ask", F.lit(False)).alias("ask"))
+    near = nearest(materialise(asks, "smote-points"), k, block_rows, seed=seed, id_col=id_col)
+    near = near.groupBy(id_col).agg(F.transform(F.sort_array(F.collect_list(  # k entries at most
+        F.struct("rank", "other"))), lambda e: e["other"]).alias("near"))
     draws = (bases.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-             .withColumn("rank", F.floor(_unit(F.col(id_col), "copy", F.lit(seed)) * k).cast("int"))
              .withColumn("u", _unit(F.col(id_col), "copy", F.lit(seed + 1))))
+    place = F.floor(_unit(F.col(id_col), "copy", F.lit(seed)) * F.size("near")).cast("int")
+    draws = draws.join(near, id_col, "left").withColumn("other", F.get("near", place)).drop("near")
     partners = points.select(F.col(id_col).alias("other"), F.col("x").alias("vector"))
-    mixed = draws.join(near, [id_col, "rank"]).join(partners, "other")
+    # left joins: a row without a neighbour in its buckets repeats itself, so none is lost
+    mixed = draws.join(partners, "other", "left").withColumn(
+        "vector", F.coalesce("vector", "x"))
 
     new = {}
     for i, c in enumerate(features):

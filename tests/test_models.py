@@ -299,24 +299,44 @@ def test_lime_forward_selection():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 2, (400, 8)).astype(float)
     y = 3 * x[:, 2] - 2 * x[:, 5] + 0.1 * rng.normal(size=400)
-    assert set(lime.select_features(x, y, np.ones(400), 2, LimeSpec())) == {2, 5}
+    for selection in ("forward", "weights"):
+        spec = LimeSpec(selection=selection)
+        assert set(lime.select_features(x, y, np.ones(400), 2, spec)) == {2, 5}
 
 
 # ---- SMOTE -----------------------------------------------------------------------------------------------
 
 def test_neighbours_are_exact(spark, result):
     features = result.prep.features
-    points = result.features.where("default = 0").select("app_id", shap.feature_array(features).alias("x"))
+    points = result.features.where("default = 0").select(
+        "app_id", shap.feature_array(features).alias("x"), F.lit(True).alias("ask"))
     rows = points.collect()
     x, ids = np.stack([r.x for r in rows]), [r.app_id for r in rows]
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
     expected = {i: np.sort(d[k])[:5] for k, i in enumerate(ids)}
     got: dict = {}
-    for r in smote.nearest(points, points, 5, 3, 4).orderBy("app_id", "rank").collect():
+    for r in smote.nearest(points, 5).orderBy("app_id", "rank").collect():
         got.setdefault(r.app_id, []).append(r.distance)
     assert set(got) == set(expected)
-    assert all(np.allclose(got[i], expected[i], atol=1e-9) for i in ids)
+    assert all(np.allclose(got[i], expected[i], atol=1e-6) for i in ids)
+    # many small buckets: near neighbours, never nearer than the nearest
+    near: dict = {}
+    for r in smote.nearest(points, 5, block_rows=100).orderBy("app_id", "rank").collect():
+        near.setdefault(r.app_id, []).append(r.distance)
+    assert all(near[i][0] >= expected[i][0] - 1e-6 for i in near)
+    assert np.mean([near[i][0] <= expected[i][-1] + 1e-6 for i in near]) > 0.5
+
+
+def test_smote_refuses_missing_features_and_keeps_its_promise(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, int(i < 40), float(rng.normal()), 1.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "app_id bigint, default int, a double, b double")
+    for block_rows in (4096, 2):
+        out, info = smote.smote(df, ["a", "b"], block_rows=block_rows)
+        assert info["added"] == 140 == out.where("synthetic").count()
+    with pytest.raises(ValueError):
+        smote.smote(df.withColumn("a", F.when(F.col("app_id") != 3, F.col("a"))), ["a", "b"])
 
 
 @pytest.mark.parametrize("ratio", [0.5, 1.0])
