@@ -59,8 +59,11 @@ def feature_profile(df: DataFrame, id_col: str = "app_id", approximate: bool = F
 
 
 def table_summary(df: DataFrame, exclude: list[str] = ()) -> DataFrame:
-    """Count, nulls, mean, sample deviation, min, exact quartiles and max per numeric column."""
+    """One row per column: type, count and nulls; for numbers also mean, sample deviation, min,
+    exact quartiles and max."""
     columns = numeric_columns(df, exclude)
+    others = [c for c in df.columns if c not in columns and c not in exclude]
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     row = df.agg(*[e for i, c in enumerate(columns) for e in (
         F.count(c).alias(f"n{i}"),
@@ -69,9 +72,16 @@ def table_summary(df: DataFrame, exclude: list[str] = ()) -> DataFrame:
         F.stddev_samp(c).alias(f"s{i}"),
         F.min(c).cast("double").alias(f"lo{i}"),
         F.max(c).cast("double").alias(f"hi{i}"),
-    )])
-    return row.select(F.inline(F.array(*[F.struct(
+    )], *[e for i, c in enumerate(others) for e in (
+        F.count(c).alias(f"on{i}"), F.count_if(F.col(c).isNull()).alias(f"oz{i}"))])
+    none = F.lit(None).cast("double")
+    plain = [F.struct(F.lit(c).alias("feature"), F.lit(kinds[c]).alias("dtype"),
+                      F.col(f"on{i}").alias("count"), F.col(f"oz{i}").alias("nulls"),
+                      *[none.alias(n) for n in ("mean", "stddev", "min", "q25", "q50", "q75",
+                                                "max")]) for i, c in enumerate(others)]
+    return row.select(F.inline(F.array(*plain, *[F.struct(
         F.lit(c).alias("feature"),
+        F.lit(kinds[c]).alias("dtype"),
         F.col(f"n{i}").alias("count"),
         F.col(f"z{i}").alias("nulls"),
         F.col(f"m{i}").alias("mean"),
@@ -84,6 +94,12 @@ def table_summary(df: DataFrame, exclude: list[str] = ()) -> DataFrame:
     ) for i, c in enumerate(columns)])))
 
 
+def table_shape(df: DataFrame) -> DataFrame:
+    """Rows and columns of the table."""
+    return df.agg(F.count("*").alias("rows")).withColumn(
+        "columns", F.lit(len(df.columns)).cast("long"))
+
+
 def dtype_counts(df: DataFrame) -> DataFrame:
     """How many columns of each type the table has (schema only, no scan)."""
     counts: dict[str, int] = {}

@@ -15,7 +15,7 @@ from lendmill.functions.finance import derive
 from lendmill.operators.portfolio import portfolio_metrics
 from lendmill.operators.prep import PrepModel
 from lendmill.operators.train import Fitted, score
-from lendmill.operators.validate import accepted
+from lendmill.operators.validate import accepted, quarantined
 
 
 def finish(df: DataFrame, policy: RiskPolicy = POLICY, years=3) -> DataFrame:
@@ -46,6 +46,12 @@ def score_applications(requests: DataFrame, prep: PrepModel, fitted: Fitted,
     return finish(scored.select("request.*", "p_model"), policy)
 
 
+def score_with_rejects(requests: DataFrame, scorer) -> tuple[DataFrame, DataFrame]:
+    """(assessed valid requests, rejected requests with their ``reasons``): every request is in
+    one of the two. ``scorer`` takes requests and drops invalid ones, as the scorers here do."""
+    return scorer(requests), quarantined(requests).drop("is_valid")
+
+
 def score_batch(requests: DataFrame, prep: PrepModel, fitted: Fitted,
                 policy: RiskPolicy = POLICY) -> tuple[DataFrame, DataFrame]:
     """(assessed applications, portfolio metrics of the batch)."""

@@ -26,15 +26,26 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     writer.csv(path, header=True) if fmt == "csv" else writer.format(fmt).save(path)
 
 
-def read_requests(spark: SparkSession, path: str, schema: T.StructType = REQUEST) -> DataFrame:
+RAW = "raw_record"
+
+
+def with_raw(schema: T.StructType) -> T.StructType:
+    """The schema with a column for the text of records that do not parse."""
+    return T.StructType([*schema.fields, T.StructField(RAW, T.StringType())])
+
+
+def read_requests(spark: SparkSession, path: str, schema: T.StructType = REQUEST,
+                  keep_raw: bool = False) -> DataFrame:
     """Request records, one JSON object per line; unparsable lines surface as all-null rows,
-    which validation then rejects."""
-    return spark.read.schema(schema).json(path, mode="PERMISSIVE")
+    which validation then rejects. ``keep_raw`` adds their text as ``raw_record``."""
+    reader = spark.read.schema(with_raw(schema) if keep_raw else schema)
+    return reader.option("columnNameOfCorruptRecord", RAW).json(path, mode="PERMISSIVE")
 
 
 def read_request_stream(spark: SparkSession, path: str, schema: T.StructType = REQUEST,
-                        files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+                        files_per_batch: int | None = None, keep_raw: bool = False) -> DataFrame:
+    reader = spark.readStream.schema(with_raw(schema) if keep_raw else schema) \
+        .option("columnNameOfCorruptRecord", RAW)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path)

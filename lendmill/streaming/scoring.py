@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lendmill.operators.portfolio import portfolio_flat
+from lendmill.plans.scoring import score_with_rejects
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -27,6 +28,21 @@ def score_stream(requests: DataFrame, scorer: Scorer, out_path: str, checkpoint:
     return writer.trigger(**trigger).start()
 
 
+def score_stream_with_rejects(requests: DataFrame, scorer: Scorer, out_path: str,
+                              rejects_path: str, checkpoint: str, available_now: bool = False,
+                              interval: str = "10 seconds") -> StreamingQuery:
+    """As ``score_stream``, and the rejected requests of every micro-batch with their reasons.
+    Both go to a folder named after the batch, so a replayed batch overwrites itself."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        assessed, rejected = score_with_rejects(batch, scorer)
+        assessed.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    return (requests.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
 def portfolio_stream(requests: DataFrame, scorer: Scorer, out_path: str, checkpoint: str,
                      available_now: bool = False, interval: str = "10 seconds",
                      by: list[str] = ()) -> StreamingQuery:
