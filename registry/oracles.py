@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lendmill.schema import CATEGORICAL, NUMERIC, PREDICTORS
+from lendmill.schema import CATEGORICAL, NUMERIC, PREDICTORS, REQUEST
 from registry.mapping import BASE_CTE, STORED
 from registry.variants import LINEAR_WEIGHTS
 
@@ -10,12 +10,8 @@ LINEAR = list(LINEAR_WEIGHTS)
 REQUEST_COLUMNS = STORED[1:]
 REQUEST_NUMERIC = [c for c in REQUEST_COLUMNS if c not in CATEGORICAL]
 # request columns in record order
-RECORD = ["loan_amnt", "int_rate", "term", "purpose", "age", "annual_inc", "emp_length",
-          "employment_type", "home_ownership", "city_tier", "cibil_score", "existing_emi",
-          "dpd_last_12m", "cheque_bounces", "inq_last_6mths", "num_unsecured_loans", "open_acc",
-          "total_acc", "revol_bal", "revol_util"]
-INTEGERS = ["term", "age", "emp_length", "cibil_score", "dpd_last_12m", "cheque_bounces",
-            "inq_last_6mths", "num_unsecured_loans", "open_acc", "total_acc"]
+RECORD = [f.name for f in REQUEST.fields if f.name != "app_id"]
+INTEGERS = [f.name for f in REQUEST.fields if f.dataType.simpleString() == "int"]
 
 BASE = BASE_CTE.format(lineitem="lineitem", orders="orders", customer="customer")
 
@@ -103,7 +99,7 @@ FLOOR = """greatest(
     CASE WHEN foir > 100 THEN 0.95e0 WHEN foir > 80 THEN 0.85e0 ELSE 0e0 END)"""
 
 
-def judged_cte(p: str = "round(pd, 6)", source: str = "scored") -> str:
+def judged_cte(p: str = "pd", source: str = "scored") -> str:
     return f"""
 j1 AS (SELECT *, {p} AS p_model FROM {source}),
 j2 AS (SELECT *, greatest(p_model, {FLOOR}) AS p_final, {FLOOR} > p_model AS floor_applied,
@@ -122,7 +118,8 @@ judged AS (
 
 
 def dec(x: str, digits: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(28,8)), {digits}) AS DOUBLE)"
+    """Half-up rounding, once, of the number as it prints."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,15)), {digits}) AS DOUBLE)"
 
 
 ASSESSED_CTE = f"""
@@ -167,7 +164,6 @@ INVALID = """REPLACE (
       CAST(CASE WHEN app_id % 31 = 0 THEN 7 ELSE term END AS INT) AS term,
       CASE WHEN app_id % 37 = 0 THEN -1e0 ELSE loan_amnt END AS loan_amnt)"""
 GIG = ", CASE WHEN app_id % 41 = 0 THEN 'Gig' ELSE employment_type END AS employment_type"
-RARE = """rare AS (SELECT * FROM scored WHERE "default" = 0 OR app_id % 10 = 0)"""
 
 RANGES = [("loan_amnt", "<= 0", 50000000), ("int_rate", "<= 0", 50), ("age", "< 18", 100),
           ("annual_inc", "<= 0", 100000000), ("emp_length", "< 0", 50),
@@ -383,7 +379,7 @@ moves AS MATERIALIZED (SELECT s.app_id, s.rank, s.feature, s.value AS current_va
 
 
 def on_moves(body: str, *ctes: str) -> str:
-    return on_judged(body, MEANS, SHAP, long_cte("round(foir, 6)"), RANKED, BEYOND, *ctes)
+    return on_judged(body, MEANS, SHAP, long_cte(), RANKED, BEYOND, *ctes)
 
 
 THRESHOLDS = """
@@ -415,9 +411,15 @@ def summary_sql() -> str:
     parts = []
     for c in RECORD:
         if c in CATEGORICAL:
+            parts.append(f"SELECT '{c}' AS feature, 'string' AS dtype, count({c}) AS count, "
+                         f"count(*) - count({c}) AS nulls, " + ", ".join(
+                             f"CAST(NULL AS DOUBLE) AS {n}" for n in
+                             ("mean", "stddev", "min", "q25", "q50", "q75", "max"))
+                         + " FROM nulled")
             continue
+        dtype = "int" if c in INTEGERS else "double"
         parts.append(
-            f"SELECT '{c}' AS feature, count({c}) AS count, count(*) - count({c}) AS nulls, "
+            f"SELECT '{c}' AS feature, '{dtype}' AS dtype, count({c}) AS count, count(*) - count({c}) AS nulls, "
             + ", ".join(r(x, n) for x, n in [
                 (f"avg({c})", "mean"), (f"stddev_samp({c})", "stddev"),
                 (f"CAST(min({c}) AS DOUBLE)", "min"),
@@ -454,6 +456,9 @@ def rank_rules(p: str) -> str:
         f"CASE WHEN {c} {o} {b} AND {v}e0 > {p} THEN '{c}{o}{b}' END" for c, o, b, v in rules) + ")"
 
 
+MODEL_CHECKS = """SELECT split, CAST(sum(1 - "default") AS BIGINT) AS negatives,
+  CAST(sum("default") AS BIGINT) AS positives, TRUE AS useful, TRUE AS precise, TRUE AS recalled
+  FROM split GROUP BY split"""
 ALL_COLUMNS = plain(["app_id", *PREDICTORS, "default"])
 PROFIT = "loan_amnt * rate * {y} - p_final * loan_amnt"
 OPTIONAL = """opt AS (SELECT *, CAST(600 + app_id % 200 AS DOUBLE) AS low_,
@@ -470,8 +475,20 @@ ORACLES = {
     "S5_result_records": on_assessed(f"SELECT {ASSESSED} FROM assessed"),
     "S6_prep_save_load": t7_sql(batch=False),
     "S8_explanation_sink": on_shap(
-        f"SELECT app_id, feature, {r('shap_value')} FROM shap_long WHERE app_id IN (SELECT app_id "
-        "FROM apps ORDER BY md5('42:' || CAST(app_id AS VARCHAR)), app_id LIMIT 1000)"),
+        f"SELECT app_id, feature, {r('shap_value')}, app_id IN (SELECT app_id FROM apps ORDER BY "
+        "md5('42:' || CAST(app_id AS VARCHAR)), app_id LIMIT 1000) AS in_background FROM shap_long"),
+    "S7_bundle_hand_over": q("SELECT app_id, TRUE AS equal FROM apps"),
+    "A3_table_shape": q(f"SELECT count(*) AS rows, CAST({len(STORED)} AS BIGINT) AS columns "
+                        "FROM apps"),
+    "A3_dtype_counts": "SELECT dtype, CAST(n AS BIGINT) AS columns FROM (VALUES ('bigint', 1), "
+                       f"('double', {len(RECORD) - len(CATEGORICAL) - len(INTEGERS)}), "
+                       f"('int', {len(INTEGERS)}), ('string', {len(CATEGORICAL)})) t(dtype, n)",
+    "Z2_stream_rejects": q(
+        f"""SELECT app_id, CASE WHEN {REASONS} = '' THEN 'assessed' ELSE 'rejected' END AS outcome,
+        {REASONS} AS reasons FROM bad
+        UNION ALL SELECT app_id, 'unreadable', '' FROM apps WHERE app_id % 43 = 0""",
+        f"bad AS (SELECT * {INVALID} FROM apps)"),
+    "S7_model_save_load": q("SELECT app_id, TRUE AS equal FROM apps"),
     "P1_monthly_income": q(f"SELECT app_id, {r('annual_inc / 12e0', 'monthly_income')} FROM apps"),
     "P2_emi": q(f"SELECT app_id, {r('installment')} FROM derived", DERIVED),
     "P3_foir": q(f"SELECT app_id, {r('foir')} FROM derived", DERIVED),
@@ -550,11 +567,11 @@ ORACLES = {
         {r('avg(foir)', 'avg_foir')} FROM scored"""),
     "A5_class_counts": on_scored(
         f"""SELECT CAST(sum(1 - "default") AS BIGINT) AS n0, CAST(sum("default") AS BIGINT) AS n1,
-        {r('sum(1 - "default") / CAST(sum("default") AS DOUBLE)', 'scale_pos_weight')} FROM rare""",
-        RARE),
+        {r('sum(1 - "default") / CAST(sum("default") AS DOUBLE)', 'scale_pos_weight')}
+        FROM scored"""),
     "A6_class_weights": on_scored(
-        f"""SELECT "default", count(*) AS n, {r('(SELECT count(*) FROM rare) / (2e0 * count(*))',
-        'weight')} FROM rare GROUP BY "default" """, RARE),
+        f"""SELECT "default", count(*) AS n, {r('(SELECT count(*) FROM scored) / (2e0 * count(*))',
+        'weight')} FROM scored GROUP BY "default" """),
     "A7_confusion_matrix": on_judged(f"SELECT purpose, {CONFUSION} FROM judged GROUP BY purpose"),
     "A8_precision_recall_f1": on_judged(
         f"SELECT *, {RATIOS} FROM (SELECT purpose, {CONFUSION} FROM judged GROUP BY purpose)"),
@@ -562,14 +579,14 @@ ORACLES = {
         f"SELECT {r(auc('p_model'), 'roc_auc')} FROM (SELECT *, {mid_rank('p_model')} AS mid "
         "FROM judged)"),
     "A10_roc_curve": on_judged(
-        f"""SELECT p_model AS threshold,
-        {r('fps / neg', 'fpr')},
-        {r('tps / pos', 'tpr')}
+        f"""SELECT {r('p_model', 'threshold')},
+        {r('max(fps / neg)', 'fpr')},
+        {r('max(tps / pos)', 'tpr')}
         FROM (SELECT DISTINCT p_model,
           sum(1 - "default") OVER (ORDER BY p_model DESC) AS fps,
           sum("default") OVER (ORDER BY p_model DESC) AS tps,
           CAST(sum(1 - "default") OVER () AS DOUBLE) AS neg,
-          CAST(sum("default") OVER () AS DOUBLE) AS pos FROM judged)"""),
+          CAST(sum("default") OVER () AS DOUBLE) AS pos FROM judged) GROUP BY 1"""),
     "A11_business_cost": on_judged(
         "SELECT *, fp * 5000e0 AS fp_cost, fn * 20000e0 AS fn_cost, "
         "fp * 5000e0 + fn * 20000e0 AS total_cost "
@@ -588,6 +605,8 @@ ORACLES = {
     "K2_best_model": on_rivals(
         "SELECT model, f1 AS score FROM rival_metrics WHERE split = 'validation' AND f1 > 0 "
         "ORDER BY f1 DESC, position LIMIT 1"),
+    "K3_top_importance": "SELECT CAST(5 AS BIGINT) AS listed, TRUE AS positive, "
+                         "TRUE AS others_are_less",
     "K4_top_contributions": on_shap(
         f"SELECT app_id, rank, feature, {r('value')}, {r('shap_value')} FROM shap_ranked "
         "WHERE rank <= 5"),
@@ -623,16 +642,45 @@ ORACLES = {
         f"bad AS (SELECT * {INVALID} FROM apps)",
         f"good AS (SELECT * FROM bad WHERE {REASONS} = '')",
         DERIVED.replace("FROM apps", "FROM good"), SCORED, judged_cte("pd"), ASSESSED_CTE),
+    "R10_score_with_model": q(
+        "SELECT app_id, TRUE AS floored, TRUE AS categorised, TRUE AS priced FROM good",
+        f"bad AS (SELECT * {INVALID} FROM apps)",
+        f"good AS (SELECT * FROM bad WHERE {REASONS} = '')"),
     "M1_stratified_split": on_judged('SELECT app_id, "default", split FROM split', SPLIT),
     "M1_stratified_folds": on_judged(
         "SELECT app_id, CAST(CASE WHEN rn <= class_rows // 5 THEN 0 WHEN rn <= class_rows * 2 // 5 "
         "THEN 1 WHEN rn <= class_rows * 3 // 5 THEN 2 WHEN rn <= class_rows * 4 // 5 THEN 3 ELSE 4 "
         "END AS INT) AS fold FROM ordered", SPLIT),
+    "M2_train_boosted": on_judged(MODEL_CHECKS, SPLIT),
+    "M3_train_forest": on_judged(MODEL_CHECKS, SPLIT),
+    "M4_train_linear": on_judged(MODEL_CHECKS, SPLIT),
+    "M5_grid_search": "SELECT CAST(d AS INT) AS max_depth, CAST(5 AS INT) AS trees, "
+                      "TRUE AS useful, TRUE AS best_if_chosen FROM (VALUES (2), (3)) t(d)",
+    "M7_feature_importance": "SELECT model, TRUE AS not_negative, TRUE AS sums_to_one "
+                             "FROM (VALUES ('boosted'), ('forest'), ('linear')) t(model)",
+    "M8_probability_class": on_scored(
+        'SELECT app_id, "default", TRUE AS is_probability, TRUE AS class_fits FROM scored'),
+    "M9_smote": on_scored(
+        """SELECT "default", synthetic, n, TRUE AS in_hull, TRUE AS marked FROM (
+          SELECT "default", FALSE AS synthetic, count(*) AS n FROM scored GROUP BY "default"
+          UNION ALL
+          SELECT minority, TRUE, CAST(abs(n1 - n0) AS BIGINT) FROM (
+            SELECT CAST(n1 <= n0 AS INT) AS minority, n0, n1 FROM (
+              SELECT sum("default") AS n1, count(*) - sum("default") AS n0 FROM scored)))"""),
     "M6_evaluate": on_rivals(
         "SELECT model, split, roc_auc, precision, recall, f1, tn, fp, fn, tp FROM rival_metrics"),
     "M6_metrics_long": on_rivals(" UNION ALL ".join(
         f"SELECT model, split, '{m}' AS metric, {m} AS value FROM rival_metrics"
         for m in ("roc_auc", "precision", "recall", "f1"))),
+    "X1_tree_shap": q("SELECT app_id, TRUE AS complete, TRUE AS adds_up FROM apps"),
+    "X3_base_value": q("SELECT count(*) AS rows, TRUE AS constant, TRUE AS centred FROM apps"),
+    "X4_force_table": q("SELECT app_id, TRUE AS complete, TRUE AS adds_up FROM apps"),
+    "X6_tree_shap_summary": "SELECT TRUE AS complete, TRUE AS ordered, TRUE AS bounded",
+    "X7_lime": q("SELECT app_id, TRUE AS is_prediction, CAST(10 AS INT) AS rules, TRUE AS ordered, "
+                 "TRUE AS fits FROM apps"),
+    "X9_full_explanation": q(
+        "SELECT app_id, TRUE AS complete, CAST(10 AS INT) AS shown, TRUE AS ordered, "
+        "CAST(3 AS INT) AS suggested, TRUE AS right_way, TRUE AS class_fits FROM apps"),
     "X2_linear_shap": on_shap(
         f"SELECT app_id, {r('base_value')}, "
         + ", ".join(r(f"shap_{c}") for c in LINEAR) + " FROM shap"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +12,7 @@ from lendmill.config import LimeSpec
 from lendmill.functions import finance, policy
 from lendmill.operators import (evaluate, explain, lime, portfolio, prep, profile, ranking, shap,
                                 smote, split, train, validate)
-from lendmill.plans import explaining, scoring, training
+from lendmill.plans import artifacts, explaining, scoring, training
 from lendmill.schema import CATEGORICAL, NUMERIC, PREDICTORS, REQUEST
 from lendmill.session import materialise, scratch
 from lendmill.sources import files, models
@@ -24,8 +26,12 @@ PREP_FEATURES = [*PREDICTORS, "dti", "credit_utilization_ratio"]
 
 
 def r6(x):
-    """Six decimals, half up, after dropping binary noise below 1e-8 (same rule in the SQL)."""
-    return policy.round_decimal(F.col(x) if isinstance(x, str) else x, 6)
+    """Six decimals, half up, after dropping binary noise below 1e-8 (same rule in the SQL).
+
+    For comparing outputs across engines only; no operator works on values rounded this way.
+    """
+    x = F.col(x) if isinstance(x, str) else x
+    return F.round(x.try_cast("decimal(28,8)"), 6).cast("double")
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -38,9 +44,9 @@ def derived(spark, sf) -> DataFrame:
 
 
 def judged(spark, sf) -> DataFrame:
-    """Applications with the scorecard as model; scores keep six places in both engines."""
+    """Applications with the scorecard as model."""
     df = applications(spark, sf)
-    return df.withColumns({"p_model": F.round(policy.scorecard_pd(), 6)}).withColumns({
+    return df.withColumns({"p_model": policy.scorecard_pd()}).withColumns({
         "p_final": policy.apply_floors(c("p_model")),
         "prediction": (c("p_model") >= 0.5).cast("int")})
 
@@ -243,7 +249,21 @@ def s7(spark, sf):
     after = train.score(again, result.features, ["app_id"])
     return (before.select("app_id", c("p_model").alias("p_before"))
             .join(after.select("app_id", c("p_model").alias("p_after")), "app_id")
-            .withColumn("equal", c("p_before") == c("p_after")))
+            .select("app_id", (c("p_before") == c("p_after")).alias("equal")))
+
+
+def s7_bundle(spark, sf):
+    result = trained(spark, sf)
+    path = scratch(spark, "bundle")
+    artifacts.save_bundle(result, "boosted", path)
+    bundle = artifacts.load_bundle(spark, path)
+    rows = requests(spark, sf)
+    before = scoring.score_applications(rows, result.prep, result.models["boosted"])
+    after = scoring.score_applications(rows, bundle.prep, bundle.fitted)
+    return (before.select("app_id", c("p_final").alias("p"), c("decision").alias("d"))
+            .join(after.select("app_id", "p_final", "decision"), "app_id")
+            .select("app_id", ((c("p") == c("p_final")) & (c("d") == c("decision")))
+                    .alias("equal")))
 
 
 def s8(spark, sf):
@@ -252,9 +272,10 @@ def s8(spark, sf):
     models.save_explanations(df, LINEAR, path)
     models.save_background(applications(spark, sf), f"{path}/background", 1000)
     table, names = models.load_explanations(spark, path)
-    background = spark.read.parquet(f"{path}/background").select("app_id")
-    return (shap.shap_long(table, names).join(background, "app_id", "left_semi")
-            .select("app_id", "feature", r6("shap_value").alias("shap_value")))
+    background = spark.read.parquet(f"{path}/background").select("app_id", F.lit(True).alias("b"))
+    return (shap.shap_long(table, names).join(background, "app_id", "left")
+            .select("app_id", "feature", r6("shap_value").alias("shap_value"),
+                    F.coalesce("b", F.lit(False)).alias("in_background")))
 
 
 # ---- fitted transforms ---------------------------------------------------------------------------
@@ -338,6 +359,14 @@ def a3(spark, sf):
     return rounded(profile.table_summary(df, ["app_id"]))
 
 
+def a3_shape(spark, sf):
+    return profile.table_shape(requests(spark, sf))
+
+
+def a3_dtypes(spark, sf):
+    return profile.dtype_counts(requests(spark, sf))
+
+
 def a4(spark, sf):
     return rounded(profile.target_distribution(applications(spark, sf)))
 
@@ -347,11 +376,11 @@ def a4_rates(spark, sf):
 
 
 def a5(spark, sf):
-    return rounded(evaluate.class_counts(variants.rare_defaults(applications(spark, sf))))
+    return rounded(evaluate.class_counts(applications(spark, sf)))
 
 
 def a6(spark, sf):
-    return rounded(evaluate.class_weights(variants.rare_defaults(applications(spark, sf))))
+    return rounded(evaluate.class_weights(applications(spark, sf)))
 
 
 def a7(spark, sf):
@@ -368,8 +397,11 @@ def a9(spark, sf):
 
 
 def a10(spark, sf):
-    return evaluate.roc_curve(judged(spark, sf), score="p_model").select(
-        r6("threshold").alias("threshold"), r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
+    # thresholds that differ by noise only agree after rounding, so the last of them is taken
+    curve = evaluate.roc_curve(judged(spark, sf), score="p_model")
+    return curve.groupBy(r6("threshold").alias("threshold")).agg(
+        F.max("fpr").alias("fpr"), F.max("tpr").alias("tpr")).select(
+        c("threshold").alias("threshold"), r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
 
 
 def a11(spark, sf):
@@ -420,7 +452,13 @@ def k2(spark, sf):
 
 def k3(spark, sf):
     fitted = trained(spark, sf).models["boosted"]
-    return ranking.top_n(train.feature_importance(fitted, spark), "importance", 20)
+    every = train.feature_importance(fitted, spark)
+    top = ranking.top_n(every, "importance", 5)
+    least = top.agg(F.min("importance").alias("least"))
+    rest = every.join(top, "feature", "left_anti").crossJoin(least)
+    return top.agg(F.count("*").alias("listed"),
+                   F.bool_and(c("importance") > 0).alias("positive")).crossJoin(
+        rest.agg(F.bool_and(c("importance") <= c("least")).alias("others_are_less")))
 
 
 def k4(spark, sf):
@@ -506,7 +544,14 @@ def r10_model(spark, sf):
     result = trained(spark, sf)
     assessed = scoring.score_applications(variants.with_invalid(requests(spark, sf)),
                                           result.prep, result.models["boosted"])
-    return assessed.select("app_id", "p_model", "p_final", "floor_applied", *ASSESSED[1:])
+    priced = policy.interest_rate(c("p_final"))
+    return assessed.select(
+        "app_id", (c("p_model").between(0, 1) & (c("p_final") >= c("p_model"))
+                   & (c("floor_applied") == (c("p_final") > c("p_model")))).alias("floored"),
+        (c("risk_category") == policy.risk_category(c("p_final"))).alias("categorised"),
+        ((F.abs(c("interest_rate") - priced) <= 0.5001e-4)
+         & (F.abs(c("expected_profit") - c("loan_amnt") * (3 * priced - c("p_final"))) <= 0.006)
+         ).alias("priced"))
 
 
 # ---- sampling, training, evaluation -----------------------------------------------------------------------
@@ -519,8 +564,17 @@ def m1_folds(spark, sf):
     return split.stratified_folds(applications(spark, sf), 5).select("app_id", "fold")
 
 
+def _checked(metrics: DataFrame) -> DataFrame:
+    """Rows per split and the bounds that a useful model keeps; the SQL counts the rows."""
+    return metrics.select(
+        "split", (c("tn") + c("fp")).alias("negatives"), (c("fn") + c("tp")).alias("positives"),
+        (c("roc_auc") >= 0.75).alias("useful"),
+        (F.abs(c("precision") * (c("tp") + c("fp")) - c("tp")) < 1e-6).alias("precise"),
+        (F.abs(c("recall") * (c("tp") + c("fn")) - c("tp")) < 1e-6).alias("recalled"))
+
+
 def _metrics(spark, sf, name):
-    return trained(spark, sf).metrics.where(c("model") == name)
+    return _checked(trained(spark, sf).metrics.where(c("model") == name))
 
 
 def train_boosted(spark, sf) -> training.TrainingResult:
@@ -529,7 +583,7 @@ def train_boosted(spark, sf) -> training.TrainingResult:
 
 
 def m2(spark, sf):
-    return train_boosted(spark, sf).metrics
+    return _checked(train_boosted(spark, sf).metrics)
 
 
 def m3(spark, sf):
@@ -545,9 +599,12 @@ def m5(spark, sf):
     rows = result.features.where("split = 'train'")
     found = train.grid_search(rows, result.prep.features, {"max_depth": [2, 3],
                                                            "n_estimators": [5]}, folds=3)
-    return spark.createDataFrame(
-        [(int(p["maxDepth"]), int(p["maxIter"]), float(s)) for p, s in found.cv_scores],
-        "max_depth int, trees int, mean_roc_auc double")
+    scores = spark.createDataFrame(
+        [(int(p["maxDepth"]), int(p["maxIter"]), float(s), p == found.params)
+         for p, s in found.cv_scores], "max_depth int, trees int, score double, chosen boolean")
+    best = F.max("score").over(Window.partitionBy(F.lit(1)))  # one row per grid point
+    return scores.select("max_depth", "trees", c("score").between(0.75, 1).alias("useful"),
+                         (~c("chosen") | (c("score") == best)).alias("best_if_chosen"))
 
 
 def m6(spark, sf):
@@ -559,20 +616,37 @@ def m6_long(spark, sf):
 
 
 def m7(spark, sf):
-    return train.feature_importance(trained(spark, sf).models["boosted"], spark)
+    parts = [train.feature_importance(fitted, spark).withColumn("model", F.lit(name))
+             for name, fitted in trained(spark, sf).models.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("model").agg(
+        F.bool_and(c("importance") >= 0).alias("not_negative"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
 
 
 def m8(spark, sf):
     result = trained(spark, sf)
-    return train.score(result.models["boosted"], result.features)
+    return train.score(result.models["boosted"], result.features).select(
+        "app_id", "default", c("p_model").between(0, 1).alias("is_probability"),
+        (c("class") == (c("p_model") >= 0.5).cast("int")).alias("class_fits"))
 
 
 def m9(spark, sf):
-    model, table = prep.fit_transform(variants.rare_defaults(applications(spark, sf)))
+    model, table = prep.fit_transform(applications(spark, sf))
     table = materialise(table, "smote-input")
-    out, _ = smote.smote(table, model.features,
-                         categorical=[f for f in CATEGORICAL if f in model.features])
-    return out
+    out, info = smote.smote(table, model.features, ratio=1.0,
+                            categorical=[f for f in CATEGORICAL if f in model.features])
+    out = materialise(out, "smote-output")
+    held = (c("default") == info["minority"]) & ~c("synthetic")
+    hull = out.where(held).agg(*[F.struct(F.min(f).alias("low"), F.max(f).alias("high")).alias(f)
+                                 for f in model.features])
+    inside = F.lit(True)
+    for f in model.features:
+        low, high = c(f"hull.{f}.low"), c(f"hull.{f}.high")
+        inside = inside & c(f).between(low - 1e-9, high + 1e-9)
+    return out.crossJoin(hull.select(F.struct("*").alias("hull"))).groupBy(  # one row of bounds
+        "default", "synthetic").agg(
+        F.count("*").alias("n"), F.bool_and(inside | ~c("synthetic")).alias("in_hull"),
+        F.bool_and(c("synthetic") == c("app_id").isNull()).alias("marked"))
 
 
 # ---- explanations ------------------------------------------------------------------------------------------
@@ -585,10 +659,15 @@ def _tree_shap(spark, sf):
 
 def x1(spark, sf):
     df, names = _tree_shap(spark, sf)
-    total = F.aggregate("shap", c("base_value"), lambda a, b: a + b)
-    return df.select("app_id", "p_model", "base_value",
-                     (1 / (1 + F.exp(-total))).alias("p_from_shap"),
-                     *[c("shap")[i].alias(f"shap_{n}") for i, n in enumerate(names)])
+    return df.select("app_id", (F.size("shap") == len(names)).alias("complete"),
+                     (F.abs(_probability(c("base_value"), "shap") - c("p_model")) < 1e-9)
+                     .alias("adds_up"))
+
+
+def _probability(base, shap_column: str):
+    """The probability whose margin is the base value plus all contributions."""
+    total = F.aggregate(shap_column, base, lambda a, b: a + b)
+    return 1 / (1 + F.exp(-total))
 
 
 def x2(spark, sf):
@@ -599,13 +678,23 @@ def x2(spark, sf):
 
 def x3(spark, sf):
     df, _ = _tree_shap(spark, sf)
-    return df.agg(F.count("*").alias("rows"), F.max("base_value").alias("base_value"),
-                  F.avg("p_model").alias("mean_probability"))
+    # a mean of margins over the weighted training rows lies inside the range of margins
+    margin = F.ln(c("p_model") / (1 - c("p_model")))
+    return df.agg(F.count("*").alias("rows"),
+                  (F.min("base_value") == F.max("base_value")).alias("constant"),
+                  (F.max("base_value").between(F.min(margin), F.max(margin))).alias("centred"))
 
 
 def x4(spark, sf):
     df, names = _tree_shap(spark, sf)
-    return shap.shap_long(df, names)
+    cells = shap.shap_long(df, names).groupBy("app_id").agg(
+        F.count_distinct("feature").alias("features"), F.count("*").alias("cells"),
+        F.sum("shap_value").alias("total"))
+    margins = df.select("app_id", "p_model", "base_value")
+    p = 1 / (1 + F.exp(-(c("base_value") + c("total"))))
+    return margins.join(cells, "app_id").select(
+        "app_id", ((c("features") == len(names)) & (c("cells") == len(names))).alias("complete"),
+        (F.abs(p - c("p_model")) < 1e-9).alias("adds_up"))
 
 
 def x5(spark, sf):
@@ -619,7 +708,12 @@ def x6(spark, sf):
 
 def x6_tree(spark, sf):
     df, names = _tree_shap(spark, sf)
-    return shap.shap_summary(materialise(df.select("shap"), "shap"), names)
+    found = shap.shap_summary(materialise(df.select("shap"), "shap"), names)
+    ordered = ((c("min_shap") <= c("q25_shap")) & (c("q25_shap") <= c("q50_shap"))
+               & (c("q50_shap") <= c("q75_shap")) & (c("q75_shap") <= c("max_shap")))
+    return found.agg((F.count("*") == min(20, len(names))).alias("complete"),
+                     F.bool_and(ordered).alias("ordered"),
+                     F.bool_and(c("mean_abs_shap") >= F.abs("mean_shap")).alias("bounded"))
 
 
 def x7(spark, sf):
@@ -627,24 +721,43 @@ def x7(spark, sf):
     fitted = result.models["boosted"]
     train_rows = result.features.where("split = 'train'")
     bins = lime.fit_bins(train_rows, fitted.features)
-    return lime.lime_explain(result.features, fitted, bins, LimeSpec(samples=100))
+    found = lime.lime_explain(result.features, fitted, bins, LimeSpec())
+    scored = train.score(fitted, result.features).select("app_id", "p_model")
+    weights = F.transform("contributions", lambda x: F.abs(x["weight"]))
+    return found.join(scored, "app_id").select(
+        "app_id", (F.abs(c("prediction") - c("p_model")) < 1e-12).alias("is_prediction"),
+        F.size("contributions").alias("rules"),
+        (weights == F.reverse(F.array_sort(weights))).alias("ordered"),
+        (c("score") <= 1).alias("fits"))
 
 
 def x8(spark, sf):
     df = with_linear_shap(spark, sf)
-    df = df.withColumn("foir", F.round("foir", 6))
     return rounded(explain.counterfactual(df, LINEAR, df).select(
         "app_id", "rank", "feature", "current_value", "suggested_value", "direction"))
 
 
 def x9(spark, sf):
     result = trained(spark, sf)
-    return explaining.explain_applications(requests(spark, sf), applications(spark, sf),
-                                           result.prep, result.models["boosted"])
+    fitted = result.models["boosted"]
+    found = explaining.explain_applications(requests(spark, sf), applications(spark, sf),
+                                            result.prep, fitted)
+    shown = c("top_features")
+    sizes = F.transform(shown, lambda x: F.abs(x["shap_value"]))
+    moves = c("counterfactual.suggestions")
+    right_way = F.forall(moves, lambda m: m["direction"] == F.when(
+        F.element_at(F.map_from_entries(F.transform(shown, lambda x: F.struct(
+            x["feature"], x["shap_value"]))), m["feature"]) > 0, "decrease").otherwise("increase"))
+    return found.select(
+        "app_id", (F.size("shap_values") == len(fitted.features)).alias("complete"),
+        F.size(shown).alias("shown"), (sizes == F.reverse(F.array_sort(sizes))).alias("ordered"),
+        F.size(moves).alias("suggested"), right_way.alias("right_way"),
+        (c("prediction.class") == (c("prediction.probability") >= 0.5).cast("int"))
+        .alias("class_fits"))
 
 
 def x9_linear(spark, sf):
-    df = with_linear_shap(spark, sf).withColumn("foir", F.round("foir", 6))
+    df = with_linear_shap(spark, sf)
     out = explain.full_explanation(df, LINEAR, df)
     moves = c("counterfactual.suggestions")
     return out.select(
@@ -682,6 +795,28 @@ def z2(spark, sf):
     return rounded(spark.read.parquet(out).select(ASSESSED))
 
 
+def z2_rejects(spark, sf):
+    path, out, rejects, check = (scratch(spark, n) for n in ("z2r", "z2r-out", "z2r-rejects",
+                                                             "z2r-check"))
+    rows = variants.with_invalid(requests(spark, sf)).select(REQUEST.names)
+    broken = requests(spark, sf).where("app_id % 43 = 0").select(
+        F.concat(F.lit('{"app_id": '), c("app_id"), F.lit(', "term": ')).alias("value"))
+    files.as_json(rows).unionByName(broken.select(c("value").alias("record"))) \
+        .write.text(path)
+    stream = files.read_request_stream(spark, path, files_per_batch=4, keep_raw=True)
+    scorer = lambda rows: scoring.score_with_scorecard(rows)
+    streaming.score_stream_with_rejects(stream, scorer, out, rejects, check,
+                                        available_now=True).awaitTermination()
+    scored = spark.read.parquet(f"{out}/batch=*").select(
+        "app_id", F.lit("assessed").alias("outcome"), F.lit("").alias("reasons"))
+    refused = spark.read.parquet(f"{rejects}/batch=*")
+    raw_id = F.regexp_extract(files.RAW, r"(\d+)", 1).cast("long")
+    return scored.unionByName(refused.select(
+        F.coalesce(raw_id, "app_id").alias("app_id"),
+        F.when(c(files.RAW).isNull(), "rejected").otherwise("unreadable").alias("outcome"),
+        F.when(c(files.RAW).isNull(), F.concat_ws(";", "reasons")).otherwise("").alias("reasons")))
+
+
 def z3(spark, sf):
     source, out, check = (_request_files(spark, sf), scratch(spark, "z3"),
                           scratch(spark, "z3-check"))
@@ -696,7 +831,7 @@ def z3(spark, sf):
 QUERIES = {
     "S1_csv_scan": s1, "S2_table_sink": s2, "S3_comparison_sink": s3, "S4_request_records": s4,
     "S5_result_records": s5, "S6_prep_save_load": s6, "S7_model_save_load": s7,
-    "S8_explanation_sink": s8,
+    "S7_bundle_hand_over": s7_bundle, "S8_explanation_sink": s8,
     "P1_monthly_income": p1, "P2_emi": p2, "P3_foir": p3, "P4_emi_income_ratio": p4,
     "P5_loan_income_ratio": p5, "P6_cibil_score_high": p6, "P7_dti": p7,
     "P8_credit_utilization_ratio": p8, "P9_fico_avg": p9, "P10_delinquency_flags": p10,
@@ -708,7 +843,7 @@ QUERIES = {
     "T5_standard_scale": t5, "T6_fit_transform": t6, "T7_transform": t7,
     "T7_transform_batch_stats": t7_batch,
     "A1_portfolio_metrics": a1, "A1_portfolio_by_segment": a1_segments, "A2_feature_profile": a2,
-    "A3_table_summary": a3, "A4_target_distribution": a4, "A4_base_rates": a4_rates,
+    "A3_table_summary": a3, "A3_table_shape": a3_shape, "A3_dtype_counts": a3_dtypes, "A4_target_distribution": a4, "A4_base_rates": a4_rates,
     "A5_class_counts": a5, "A6_class_weights": a6, "A7_confusion_matrix": a7,
     "A8_precision_recall_f1": a8, "A9_roc_auc": a9, "A10_roc_curve": a10,
     "A11_business_cost": a11, "A12_threshold_sweep": a12, "A12_optimal_threshold": a12_optimal,
@@ -727,5 +862,5 @@ QUERIES = {
     "X5_dependence": x5, "X6_shap_summary": x6, "X6_tree_shap_summary": x6_tree, "X7_lime": x7,
     "X8_counterfactual": x8, "X9_full_explanation": x9, "X9_linear_explanation": x9_linear,
     "X10_direction_label": x10,
-    "Z2_score_stream": z2, "Z3_batch_portfolio": z3,
+    "Z2_score_stream": z2, "Z2_stream_rejects": z2_rejects, "Z3_batch_portfolio": z3,
 }
