@@ -32,6 +32,7 @@ from lendmill.llm.prefilter import bitmap, present
 from lendmill.llm.text import Rolling, mix
 from lendmill.session import materialise
 
+STEP = 1 << 21
 BLANKS = " \t\n\r\x0b\x0c"
 
 
@@ -46,11 +47,11 @@ def identity(line: str) -> bytes:
 class Points:
     """Code points of several lines in one array, with hashes of any ranges."""
 
-    def __init__(self, lines: list[str]):
+    def __init__(self, lines: list[str], rolling: Rolling | None = None):
         self.size = np.fromiter(map(len, lines), np.int64, len(lines))
         self.start = np.cumsum(self.size) - self.size
         self.code = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
-        rolling = Rolling()
+        rolling = rolling or Rolling()
         rolling.reserve(len(self.code) + 1)
         value = mix(self.code.astype(np.uint64) + np.uint64(0x51ED270B))
         self.prefix = np.zeros(len(self.code) + 1, np.uint64)
@@ -213,18 +214,24 @@ def occurrences(docs: DataFrame, min_length: int, doc_id: str, text: str) -> Dat
         run, f"doc_id {kind}, row bigint, at int, line binary, chars bigint, long boolean")
 
 
-def _distinct(batch, min_length: int):
-    seen = {}
-    for value in batch.column(0):
-        for x in pieces(value.as_py()):
-            if len(x) >= min_length:
-                seen.setdefault(x)
-    return list(seen)
+def _distinct(batches, min_length: int):
+    """Lists of distinct lines, of about STEP code points each."""
+    seen, size = {}, 0
+    for batch in batches:
+        for value in batch.column(0):
+            for x in pieces(value.as_py()):
+                if len(x) >= min_length and x not in seen:
+                    seen[x] = None
+                    size += len(x)
+            if size >= STEP:
+                yield list(seen)
+                seen, size = {}, 0
+    if seen:
+        yield list(seen)
 
 
-def _keys(lines: list[str], distance: int):
-    points = Points(lines)
-    return points, *signatures(points, distance, np.arange(len(lines)))
+def _keys(lines: list[str], distance: int, rolling: Rolling):
+    return signatures(Points(lines, rolling), distance, np.arange(len(lines)))
 
 
 def _split(bucket: np.ndarray, *columns):
@@ -251,11 +258,9 @@ def busy_keys(texts: DataFrame, distance: int, min_length: int, buckets: int,
               busy: int) -> DataFrame:
     """Keys (upper halves, as ``gram``) with more than ``busy`` entries in the whole corpus."""
     def count(batches):
-        for batch in batches:
-            lines = _distinct(batch, min_length)
-            if not lines:
-                continue
-            _, index, probe = _keys(lines, distance)
+        rolling = Rolling()
+        for lines in _distinct(batches, min_length):
+            index, probe = _keys(lines, distance, rolling)
             key, n = np.unique(np.concatenate([index[1], probe[1]]), return_counts=True)
             rows = list(_split(key % np.uint64(buckets), (key >> np.uint64(32)).astype("<u4"),
                                n.astype("<u4")))
@@ -284,11 +289,9 @@ def entries(texts: DataFrame, distance: int, min_length: int, buckets: int,
     names = ["bucket", "ikeys", "irows", "pkeys", "prows", "key", "at", "length", "body"]
 
     def run(batches):
-        for batch in batches:
-            lines = _distinct(batch, min_length)
-            if not lines:
-                continue
-            _, index, probe = _keys(lines, distance)
+        rolling = Rolling()
+        for lines in _distinct(batches, min_length):
+            index, probe = _keys(lines, distance, rolling)
             name = np.array([int.from_bytes(identity(x)[:8], "little") for x in lines], np.uint64)
             packed = {}
             for which, (row, key, at, length) in (("i", index), ("p", probe)):
@@ -337,12 +340,11 @@ def candidates(packed: DataFrame) -> DataFrame:
 def named_lines(texts: DataFrame, min_length: int, bits: np.ndarray) -> DataFrame:
     """(name, body) of the lines whose name the bitmap lets through."""
     def run(batches):
-        for batch in batches:
-            lines = _distinct(batch, min_length)
+        for lines in _distinct(batches, min_length):
             name = np.array([int.from_bytes(identity(x)[:8], "little") for x in lines], np.uint64)
-            keep = np.flatnonzero(present(bits, name)) if lines else []
+            keep = np.flatnonzero(present(bits, name))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(name[keep].view(np.int64) if lines else [], pa.int64()),
+                [pa.array(name[keep].view(np.int64)),
                  pa.array([lines[int(i)] for i in keep], pa.string())], names=["name", "body"])
 
     return texts.mapInArrow(run, "name bigint, body string").distinct()
