@@ -283,16 +283,21 @@ def test_lime_samples_follow_the_bins(spark):
     values = [0.0] * 50 + [float(v) for v in range(1, 151)]
     df = spark.createDataFrame([(v, -v) for v in values], "a double, b double")
     bins = lime.fit_bins(df, ["a", "b"])
-    sampler = lime.Sampler.of(bins)
-    rows = np.array([[0.0, 0.0], [150.0, -3.0]])
-    drawn, same = sampler.perturb(rows, [1, 2], 4000)
-    assert (drawn[:, 0] == rows).all() and same[:, 0].all()
-    assert drawn[..., 0].min() >= 0.0 and drawn[..., 0].max() <= 150.0
-    again, _ = sampler.perturb(rows[1:], [2], 4000)
-    assert (again[0] == drawn[1]).all()
+    rows = spark.createDataFrame([(1, [0.0, 0.0]), (2, [150.0, -3.0])],
+                                 "app_id long, x array<double>")
+    out = lime.perturbed(rows, bins, 4000, 42, "app_id").collect()
+    drawn = {i: np.array([r.x for r in out if r.app_id == i]) for i in (1, 2)}
+    assert drawn[1][0].tolist() == [0.0, 0.0] and drawn[2][0].tolist() == [150.0, -3.0]
+    assert all(r.flags == [3] for r in out if r.k == 0)
+    assert drawn[1][:, 0].min() >= 0.0 and drawn[2][:, 0].max() <= 150.0
+    again = lime.perturbed(rows.where("app_id = 2"), bins, 4000, 42, "app_id").collect()
+    assert (np.array([r.x for r in again]) == drawn[2]).all()
     for i, b in enumerate(bins):
-        hit = np.bincount(sampler.bin_of(drawn[0])[1:, i], minlength=len(b.shares)) / 3999
+        found = np.searchsorted(b.cuts, drawn[1][1:, i])
+        hit = np.bincount(found, minlength=len(b.shares)) / 3999
         assert np.allclose(hit, b.shares, atol=0.03)
+        same = np.array([r.flags[0] >> i & 1 for r in out if r.app_id == 1])[1:]
+        assert (same == (found == np.searchsorted(b.cuts, 0.0))).all()
 
 
 def test_lime_forward_selection():
