@@ -9,9 +9,10 @@ exactly; that gives a distance no farther neighbour can beat, and every other ve
 bound lies below it is measured too. So only a vector outside its bound can be missed.
 
 Centroids come from k-means on a bounded sample (``sample`` rows, least hash of the id); all
-rows are indexed. A query probes its ``probes`` nearest lists. Lists are cut into chunks of
-``chunk_rows`` vectors and queries into blocks of ``block_rows``; a chunk meets each block that
-probes its list, so a hot list is spread over many tasks and each task is bounded.
+rows are indexed. A query probes its nearest lists; how many is measured on the sample, so that
+they hold ``recall`` of the true neighbours there (or set by ``probes``). Lists are cut into
+chunks of ``chunk_rows`` vectors and queries into blocks of ``block_rows``; a chunk meets each
+block that probes its list, so a hot list is spread over many tasks and each task is bounded.
 
 Defined results: rows with a null id, a null vector, a zero vector, a null or non-finite
 component, or another dimension than most rows take no part. A repeated row is a candidate of
@@ -71,6 +72,24 @@ def nearest(x: np.ndarray, c: np.ndarray, n: int) -> np.ndarray:
     return np.argsort(far, axis=1, kind="stable")[:, :n]
 
 
+def probes_for(x: np.ndarray, c: np.ndarray, k: int, recall: float, queries: int = 300) -> int:
+    """Lists to probe so that the share ``recall`` of exact neighbours in the sample is in them.
+
+    The sample is thinner than the table, so its neighbours are farther away and the number is
+    rather too large.
+    """
+    if len(c) == 1 or len(x) < 2:
+        return 1
+    q = x[:queries]
+    far = (q * q).sum(1)[:, None] - 2 * q @ x.T + (x * x).sum(1)
+    far[np.arange(len(q)), np.arange(len(q))] = np.inf
+    k = min(k, len(x) - 1)
+    best = np.argpartition(far, k - 1, axis=1)[:, :k]
+    place = np.argsort(nearest(q, c, len(c)), axis=1)  # rank of every list for each query
+    ranks = np.take_along_axis(place, nearest(x, c, 1)[:, 0][best], axis=1)
+    return int(np.sort(ranks, axis=None)[int(np.ceil(recall * ranks.size)) - 1]) + 1
+
+
 def encode(x: np.ndarray, c: np.ndarray, rotate: np.ndarray):
     """Packed sign bits of the rotated unit residuals, their lengths and code products."""
     r = x - c
@@ -121,10 +140,10 @@ def best_of(ids: np.ndarray, x: np.ndarray, estimate: np.ndarray, lower: np.ndar
     return ids[picked][order], distance[order]
 
 
-def search(vectors: DataFrame, is_query, k: int = 10, list_rows: int = 16_384, probes: int = 16,
-           sample: int = 20_000, chunk_rows: int = 8_192, block_rows: int = 2_048,
-           epsilon: float = 3.0, seed: int = 11, vec_id: str = "vec_id",
-           embedding: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 10, list_rows: int = 16_384,
+           probes: int | None = None, recall: float = 0.98, sample: int = 20_000,
+           chunk_rows: int = 8_192, block_rows: int = 2_048, epsilon: float = 3.0,
+           seed: int = 11, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest rows by Euclidean distance.
 
     ``is_query`` is a condition on ``vec_id``.
@@ -140,6 +159,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, list_rows: int = 16_384, p
     lists = max(1, min(-(-n // list_rows), len(x) // 40))
     # bounded by the sample: at most sample / 40 centroids and one rotation
     center, rotate = centroids(x, lists, seed), rotation(x.shape[1], seed)
+    probes = probes or probes_for(x, center, k, recall)
 
     def index(batches):
         for batch in batches:
