@@ -62,3 +62,45 @@ def test_rows_are_sharded(spark, sf_dir, stages):
     for _, part in last.groupby("shard"):
         assert sorted(part["slot"]) == list(range(len(part)))
     assert corpus_pipeline.run(spark, sf_dir).count() == len(last)
+
+
+@pytest.fixture(scope="module")
+def awkward_dir(spark, tmp_path_factory):
+    """Tables with nulls, empty and long texts, repeated rows and clashing extra columns."""
+    from test_documents import SCHEMA, documents
+
+    path = str(tmp_path_factory.mktemp("awkward"))
+    rows = documents(rows=60)
+    docs = spark.createDataFrame([(*r, 1, "z", 2, 0.5) for r in rows],
+                                 f"{SCHEMA}, _row int, size string, shard int, score double")
+    docs.repartition(3).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, int(i % 5 > 0), 0) for i in range(50)] + [(None, 1, 0), (3, None, None)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int") \
+        .write.parquet(f"{path}/labels.parquet")
+    items = [(0, " ".join(rows[10][1].split()[:30])), (1, None), (2, "")]
+    spark.createDataFrame(items, "item_id bigint, text string") \
+        .write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def test_every_stage_takes_awkward_rows(spark, awkward_dir):
+    docs = spark.read.parquet(f"{awkward_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        # each stage on the untouched rows, and on none
+        out = stage(spark, docs, awkward_dir)
+        rows = out.collect()
+        if stage is not corpus_pipeline.sharding:
+            assert out.columns == docs.columns
+            assert {r["_row"] for r in rows} <= {1} and {r["size"] for r in rows} <= {"z"}
+        else:
+            assert out.columns == [*docs.columns, "_size", "_shard", "slot"]
+            assert len(rows) == docs.count()
+        assert stage(spark, docs.limit(0), awkward_dir).count() == 0, name
+    last = corpus_pipeline.run(spark, awkward_dir)
+    assert last.count() > 0
+
+
+def test_leak_stage_drops_the_leaking_row_only(spark, awkward_dir):
+    docs = spark.read.parquet(f"{awkward_dir}/documents.parquet")
+    kept = corpus_pipeline.benchmark_decontamination(spark, docs, awkward_dir).collect()
+    assert len(kept) == docs.where("doc_id is null or doc_id <> 10").count()
