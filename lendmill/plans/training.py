@@ -44,7 +44,8 @@ def prepare(df: DataFrame, target: str = "default", id_col: str = "app_id",
 def run(df: DataFrame, plans: dict[str, dict], target: str = "default", id_col: str = "app_id",
         split: SplitSpec = SPLIT, prep: PrepSpec = PREP, fit_on: str = "train",
         folds: int = 3) -> TrainingResult:
-    """Train every named plan: ``{"kind", "params"}`` for one fit, or ``{"kind", "grid"}``."""
+    """Train every named plan: ``{"kind", "params"}`` for one fit, or ``{"kind", "grid"}``;
+    ``"weighting"`` overrides the learner's own ("positive" or "balanced")."""
     model, features = prepare(df, target, id_col, split, prep, fit_on)
     features = materialise(features, "features")  # read by every fit and every evaluation
     result = TrainingResult(model, features)
@@ -53,10 +54,10 @@ def run(df: DataFrame, plans: dict[str, dict], target: str = "default", id_col:
         kind = plan.get("kind", "boosted")
         if "grid" in plan:
             fitted = grid_search(train_rows, model.features, plan["grid"], kind, folds, target,
-                                 id_col, split.seed)
+                                 id_col, split.seed, weighting=plan.get("weighting"))
         else:
             fitted = train(train_rows, model.features, kind, plan.get("params"), target, id_col,
-                           split.seed)
+                           split.seed, plan.get("weighting"))
         result.models[name] = fitted
     result.metrics = evaluate_models(result, target, id_col)
     return result

@@ -654,6 +654,7 @@ ORACLES = {
     "M2_train_boosted": on_judged(MODEL_CHECKS, SPLIT),
     "M3_train_forest": on_judged(MODEL_CHECKS, SPLIT),
     "M4_train_linear": on_judged(MODEL_CHECKS, SPLIT),
+    "M4_train_balanced_boosted": on_judged(MODEL_CHECKS, SPLIT),
     "M5_grid_search": "SELECT CAST(d AS INT) AS max_depth, CAST(5 AS INT) AS trees, "
                       "TRUE AS useful, TRUE AS best_if_chosen FROM (VALUES (2), (3)) t(d)",
     "M7_feature_importance": "SELECT model, TRUE AS not_negative, TRUE AS sums_to_one "
