@@ -3,7 +3,8 @@
 Groups of equal texts are the keys of the ring. A key goes to the shard of the next virtual node
 clockwise, and on to the next shard that is not full where that shard has reached its bound. The
 bound is the mean load in bytes (of the shards that no single group fills), so no other shard
-exceeds it by more than the last group it took, and sizes come out near equal (law ``bytes``). Larger groups go first, so the last ones are small.
+exceeds it by more than the last group it took, and sizes come out near equal (law ``bytes``).
+Larger groups go first, so the last ones are small.
 
 All of it is DataFrame work. A round offers every open group to its next shard with room;
 running sums over (size class, hash) buckets find in each shard the bucket in which the bound is
