@@ -39,11 +39,6 @@ def with_optional(df: DataFrame) -> DataFrame:
                            "pub_rec": (app_id() % 3).cast("int")})
 
 
-def rare_defaults(df: DataFrame) -> DataFrame:
-    """All non-defaults and a tenth of the defaults: the imbalanced case SMOTE is made for."""
-    return df.where((F.col("default") == 0) | (app_id() % 10 == 0))
-
-
 # A linear score over raw columns, used where SHAP must be expressible in SQL.
 LINEAR_WEIGHTS = {
     "cibil_score": -0.004,
