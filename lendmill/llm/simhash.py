@@ -273,7 +273,8 @@ def forest(codes: DataFrame, distance: int = 4, group_rows: int = 20_000) -> Dat
         .select(*node, "a", "b", F.lit(0).alias("side"), "fp")
     second = ranged.join(pairs.where("a <> b").withColumn("block", F.col("b")), [*node, "block"]) \
         .select(*node, "a", "b", F.lit(1).alias("side"), "fp")
-    return _forest_of(small.union(first), distance).union(_forest_of(
+    # a step looks at sides or at whole groups, so the two kinds never share a call
+    return _forest_of(small.union(first.where("a = b")), distance).union(_forest_of(
         first.where("a <> b").union(second), distance))
 
 

@@ -112,6 +112,24 @@ def test_simhash_links_of_clustered_codes():
     assert len(set(zip(label.tolist(), want))) == len(set(want)) == len(set(label.tolist()))
 
 
+def test_simhash_links_inside_large_nodes(spark):
+    """Thousands of codes under one node; each has a partner that only this node can find."""
+    rng = np.random.default_rng(6)
+    base = (rng.integers(0, 1 << 63, 2000, dtype=np.uint64) >> np.uint64(12)) << np.uint64(12)
+    flip = np.uint64(sum(1 << lo for lo, _ in simhash.segments(4)[1:]))
+    loose = rng.integers(0, 1 << 63, 500, dtype=np.uint64) << np.uint64(1)
+    codes = np.unique(np.concatenate([base, base ^ flip, loose, loose ^ np.uint64(1)]))
+    table = spark.createDataFrame([(int(c),) for c in codes.view(np.int64)], "fp bigint")
+    place = {int(c): i for i, c in enumerate(codes.view(np.int64))}
+    found = [(place[r["u"]], place[r["v"]])
+             for r in simhash.forest(table, 4, group_rows=300).collect()]
+    near = np.concatenate([np.argwhere(np.bitwise_count(codes[a:a + 500, None] ^ codes) <= 4)
+                           + [a, 0] for a in range(0, len(codes), 500)])
+    names = lines.roots(len(codes), near[:, 0], near[:, 1])
+    u, v = (np.array(x, np.int64) for x in zip(*found))
+    assert (lines.roots(len(codes), u, v) == names).all()
+
+
 def test_one_document_of_each_group_stays(docs, empty):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
