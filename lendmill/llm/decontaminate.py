@@ -1,15 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Texts are lower-cased and read as tokens: runs of letters and digits, so case, punctuation and
-line breaks do not matter. Test items are cut into passages of at most ``passage`` tokens. A
-first scan of the corpus counts, for every n-gram of the benchmark, the documents that hold it.
-Each passage takes its rarest half of n-grams (eight at least) as seeds; rarity is relative to
-the passage, so an item leaked into very many documents keeps its seeds. A second scan cuts the
-regions around seed hits out of the documents, seeds join them to passages, and every joined
-pair is aligned. Score: best local alignment (match 2, mismatch and gap -1) as a share of the
-passage's perfect score.
-
-Both scans test n-grams against a bitmap of fixed size before anything is shuffled; the join on
+line breaks do not matter. Test items are cut into passages of at most ``passage`` tokens. Every
+n-gram of a passage is a seed, however common, so a leaked part finds its passage wherever it
+stands in it. A scan cuts the regions around seed hits out of the documents, seeds join them to
+passages, and every joined pair is aligned whose region holds enough of the passage's tokens to
+reach the threshold at all. Score: best local alignment (match 2, mismatch and gap -1) as a share
+of the passage's perfect score.
+
+The scan tests n-grams against a bitmap of fixed size before anything is shuffled; the join on
 the n-gram itself is exact. Whole texts are read; a region is as long as its hits make it.
 
 Defined results: null and empty texts and items hit nothing; items with fewer tokens than n use
@@ -22,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lendmill.llm.names import unused
@@ -90,32 +88,6 @@ def passages(items: DataFrame, n: int, passage: int, item_id: str, text: str) ->
         run, f"item_id {kind}, passage int, tokens array<bigint>, grams array<bigint>, width int")
 
 
-def document_counts(docs: DataFrame, bits: np.ndarray, widths: list[int], text: str) -> DataFrame:
-    """(gram, documents) over the whole corpus for the n-grams that the bitmap lets through."""
-    def run(batches):
-        rolling, between = Rolling(), separators()
-        for batch in batches:
-            found = []
-            for _, _, row, token in tokens(batch.column(0), rolling, between):
-                for n in widths:
-                    at, gram = grams(row, token, n)
-                    hit = present(bits, gram)
-                    at, gram = row[at[hit]], gram[hit]
-                    order = np.lexsort((at, gram))
-                    at, gram = at[order], gram[order]
-                    new = np.ones(len(gram), bool)
-                    new[1:] = (gram[1:] != gram[:-1]) | (at[1:] != at[:-1])
-                    found.append(gram[new])
-            gram, count = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64),
-                                    return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram.view(np.int64)), pa.array(count.astype(np.int64))],
-                names=["gram", "n"])
-
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "gram bigint, n bigint") \
-        .groupBy("gram").agg(F.sum("n").alias("documents"))
-
-
 def regions(docs: DataFrame, bits: np.ndarray, widths: list[int], reach: int,
             doc_id: str, text: str) -> DataFrame:
     """Token ranges around seed hits: (doc_id, row, start, tokens, grams).
@@ -186,14 +158,16 @@ def align(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def aligned(pairs: DataFrame, keep: list[str]) -> DataFrame:
-    """Column ``score`` for pairs with array columns ``tokens`` (region) and ``wanted``."""
+def aligned(pairs: DataFrame, keep: list[str], threshold: float) -> DataFrame:
+    """Column ``score`` for pairs with array columns ``tokens`` (region) and ``wanted``; zero if
+    the tokens in common rule out a score of ``threshold``."""
     def run(batches):
         for batch in batches:
             wanted = [np.asarray(x.values) for x in batch.column("wanted")]
             have = [np.asarray(x.values) for x in batch.column("tokens")]
             scores = np.zeros(len(wanted))
             order = np.argsort([len(x) for x in have], kind="stable")
+            order = [i for i in order if np.isin(wanted[i], have[i]).mean() >= threshold]
             at = 0
             while at < len(order):
                 # at most about four million cells at once; a long region goes alone
@@ -217,19 +191,13 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, n: i
     """(doc_id, item_id, score) of every document that holds a passage of an item."""
     items = materialise(passages(items, n, passage, item_id, item_text), "bench-passages")
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # 1 to n
-    every = items.select("item_id", "passage", F.posexplode("grams").alias("at", "gram"))
+    every = items.select("item_id", "passage", F.explode("grams").alias("gram"))
     kind = docs.schema[doc_id].dataType.simpleString()
     if not widths:
         return docs.sparkSession.createDataFrame(
             [], f"doc_id {kind}, item_id {items.schema['item_id'].dataType.simpleString()}, "
                 "score double")
-    counts = document_counts(docs, bitmap(every), widths, text)
-    ranked = every.join(counts, "gram").withColumn("rank", F.row_number().over(
-        W.partitionBy("item_id", "passage").orderBy("documents", "at")))
-    seeds = ranked.join(items.select("item_id", "passage", F.size("grams").alias("k")),
-                        ["item_id", "passage"]) \
-        .where("rank <= greatest(8, ceil(k / 2))").select("gram", "item_id", "passage")
-    seeds = materialise(seeds.distinct(), "bench-seeds")
+    seeds = materialise(every.distinct(), "bench-seeds")
     found = materialise(regions(docs, bitmap(seeds), widths, passage + passage // 4, doc_id, text),
                         "bench-regions")
     key = ["row", "start"]
@@ -237,7 +205,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, n: i
         .select(*key, "item_id", "passage").distinct()
     pairs = pairs.join(items.select("item_id", "passage", F.col("tokens").alias("wanted")),
                        ["item_id", "passage"]).join(found.drop("grams"), key)
-    return aligned(pairs.select("doc_id", "item_id", "wanted", "tokens"), ["doc_id", "item_id"]) \
+    return aligned(pairs.select("doc_id", "item_id", "wanted", "tokens"), ["doc_id", "item_id"],
+                   threshold) \
         .where(F.col("score") >= threshold) \
         .groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
 

@@ -347,6 +347,18 @@ def test_decontamination_finds_edited_copies(spark, empty):
     assert decontaminate.clean(docs, table.limit(0)).count() == len(data)
 
 
+def test_decontamination_finds_the_half_that_leaked_most(spark):
+    """Many documents quote the first half of a passage, one the second: all score 0.5."""
+    tokens = [f"t{k}" for k in range(64)]
+    filler = lambda i: " ".join(f"f{i}x{k}" for k in range(100))
+    data = [(i, f"{filler(i)} {' '.join(tokens[:32])} {filler(i)}") for i in range(1, 30)]
+    data += [(50, " ".join(tokens[30:])), (51, filler(51)), (52, " ".join(tokens[:25]))]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    table = spark.createDataFrame([(1, " ".join(tokens))], "item_id bigint, text string")
+    found = {r[0]: r[2] for r in rows(decontaminate.contaminated(docs, table))}
+    assert found == {**{i: 0.5 for i in range(1, 30)}, 50: 34 / 64}
+
+
 # ---- quality ---------------------------------------------------------------------------------
 
 def test_quality_is_accurate_on_held_out_rows(spark, sf_dir):
