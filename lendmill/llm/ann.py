@@ -10,7 +10,9 @@ bound lies below it is measured too. So only a vector outside its bound can be m
 
 Centroids come from k-means on a bounded sample (``sample`` rows, least hash of the id); all
 rows are indexed. A query probes its nearest lists; how many is measured on the sample, so that
-they hold ``recall`` of the true neighbours there (or set by ``probes``). Lists are cut into
+they hold ``recall`` of the true neighbours there (or set by ``probes``). A query goes on to the
+next nearest lists until these hold 4k rows of other ids, so it gets k rows unless the table has
+fewer. Lists are cut into
 chunks of ``chunk_rows`` vectors and queries into blocks of ``block_rows``; a chunk meets each
 block that probes its list, so a hot list is spread over many tasks and each task is bounded.
 
@@ -179,16 +181,23 @@ def search(vectors: DataFrame, is_query, k: int = 10, list_rows: int = 16_384,
             x = matrix(batch.column("vec"))
             if not len(x):
                 continue
-            near = nearest(x, center, probes)
+            near = nearest(x, center, lists)
+            few = np.cumsum(sizes[near], axis=1) - batch.column("own").to_numpy()[:, None] < 4 * k
+            wide = np.maximum(few.sum(1) + 1, probes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("vec"),
-                 pa.array(near.astype(np.int32).tolist(), pa.list_(pa.int32()))],
+                 pa.array([r[:w].tolist() for r, w in zip(near.astype(np.int32), wide)],
+                          pa.list_(pa.int32()))],
                 names=["query_id", "vec", "lists"])
 
     indexed = materialise(rows.mapInArrow(
         index, "vec_id bigint, list int, vec array<double>, bits binary, length double, "
                "product double"), "ann-index")
-    asked = rows.where(is_query).dropDuplicates(["vec_id"]).mapInArrow(
+    sizes = np.zeros(lists, np.int64)  # as many numbers as centroids
+    for r in indexed.groupBy("list").count().collect():
+        sizes[r["list"]] = r["count"]
+    asked = rows.where(is_query).groupBy("vec_id").agg(
+        F.first("vec").alias("vec"), F.count("*").alias("own")).mapInArrow(
         probe, "query_id bigint, vec array<double>, lists array<int>")
     asked = materialise(asked.select("query_id", "vec", F.explode("lists").alias("list")),
                         "ann-probes")

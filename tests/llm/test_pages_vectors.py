@@ -99,6 +99,21 @@ def test_recall_with_measured_probes(spark):
     assert len({(r[0], r[2]) for r in found} & want) / len(want) >= 0.9
 
 
+def test_a_query_in_a_small_list_goes_on_to_the_next(spark):
+    """Outliers own a list of five rows, three of them one id: still ten neighbours each."""
+    rng = np.random.default_rng(9)
+    x = 1 + 0.01 * rng.standard_normal((2005, 8))
+    x[2000:] = 50 + 0.01 * rng.standard_normal((5, 8))
+    ids = [*range(2000), 7000, 7000, 7000, 7100, 7101]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)],
+                                  "vec_id bigint, embedding array<float>")
+    found = ann.search(table, "vec_id >= 7000", list_rows=100, probes=1).collect()
+    for q in (7000, 7100, 7101):
+        got = sorted((r["rank"], r["vec_id"]) for r in found if r["query_id"] == q)
+        assert [r for r, _ in got] == list(range(1, 11))
+        assert q not in {v for _, v in got} and got[0][1] >= 7000
+
+
 def test_few_and_no_vectors(spark):
     table = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 3.0])],
                                   "vec_id bigint, embedding array<float>")
