@@ -7,7 +7,10 @@ standard deviation of the smoothed ratios) form the content cluster. The cluster
 content region: the article, else main, element that holds most of its text, or without these
 the deepest element that holds nearly all of it. All blocks of the region are kept, short ones
 too, but those in boilerplate elements: menus, headers, footers, sidebars, notices, adverts,
-forms, reader comments, scripts and styles, known by tag, role, or class and id words.
+forms, reader comments, scripts and styles, known by tag, role, or class and id words. Words
+about the layout (``with-sidebar``, ``menu-open``) name nothing, code is never hidden by words,
+and a form or a layout wrapper that holds most of the page's text without links is no boilerplate
+(an element with any other name, if it holds nearly all of it).
 
 Character references are decoded; white space inside a block becomes one space; blocks are
 trimmed and joined in page order by one line feed. Defined results: null or empty html and pages
@@ -51,9 +54,22 @@ UNLESS_CONTENT = frozenset("header notice notices notification banner alert topb
 CONTENT = frozenset("article post entry content story body main".split())
 WRAPPERS = frozenset("nav navbar menu sidebar header banner notice cookie footer modal "
                      "topbar toolbar widget".split())
+NOTICES = ALWAYS - WRAPPERS | frozenset("cookie modal notice".split())
+BEFORE = frozenset("has with without no not hide show".split())
+AFTER = frozenset("open opened closed collapsed expanded enabled disabled".split())
 NAMES = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
 
 
+def name_words(value: str) -> list[str]:
+    """The words of a class or id attribute but those that only tell how the page is laid out."""
+    out = []
+    for name in value.split():
+        words = [w.lower() for w in NAMES.findall(name)]
+        out += [w for before, w, after in zip([""] + words, words, [*words[1:], ""])
+                if before not in BEFORE and after not in AFTER]
+    return out
+
+
 class Blocks(HTMLParser):
     """Collects blocks and the tree of elements they stand in."""
 
@@ -106,11 +122,11 @@ class Blocks(HTMLParser):
             state = 1
         elif attrs and tag not in ("html", "body", "main"):
             found = dict(attrs)
-            words = frozenset(w.lower() for key in ("class", "id")
-                              for w in NAMES.findall(found.get(key) or ""))
+            words = frozenset(w for key in ("class", "id")
+                              for w in name_words(found.get(key) or ""))
             if (found.get("role") or "").lower() in ROLES or words & ALWAYS \
                     or (words & UNLESS_CONTENT and not words & CONTENT):
-                state = 2
+                state = 0 if any(self.tag[e] in ("pre", "code") for e in self.open) else 2
         if tag in ("article", "main") and not state:
             # a wrapper named after its layout is not boilerplate when the article is in it
             for element in self.open:
@@ -140,8 +156,17 @@ class Blocks(HTMLParser):
         else:  # an inline end tag never closes a block
             self.pop_to((tag,), BLOCK)
 
+    def silent(self) -> bool:
+        """Whether text here is dropped; a block inside a named inline element is judged later."""
+        for e in reversed(self.open):
+            if self.tag[e] in BLOCK:
+                return any(self.state[x] == 1 and self.mutes(x) for x in self.open)
+            if self.mutes(e):
+                return True
+        return False
+
     def handle_data(self, data):
-        if self.muted:
+        if self.muted and self.silent():
             return
         self.buffer.append(data)
         if self.in_link:
@@ -155,6 +180,28 @@ def smooth(ratio: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return total / np.convolve(np.ones(len(ratio)), kernel)[reach:reach + len(ratio)]
 
 
+def shown_again(page: Blocks) -> np.ndarray:
+    """State of every element, zero where a form or a named element holds the page's text."""
+    state = np.array(page.state)
+    soft = (state == 2) | (np.array(page.tag) == "form")
+    if not soft.any():
+        return state
+    hard = (state > 0) & ~soft
+    for e, parent in enumerate(page.parent):  # parents come first
+        hard[e] |= hard[parent]
+    inside = np.zeros(len(state))
+    for e, text, _, links in page.blocks:
+        inside[e] += 0 if hard[e] else len(text) - links
+    for e in range(len(state) - 1, 0, -1):
+        inside[page.parent[e]] += inside[e]
+    for e in np.flatnonzero(soft):
+        layout = page.tag[e] == "form" or page.names[e] & (WRAPPERS | UNLESS_CONTENT)
+        share = 0.5 if layout and not page.names[e] & NOTICES else 0.9
+        if inside[e] > share * inside[0]:
+            state[e] = 0
+    return state
+
+
 def main_text(html: str | None, sigma: float = 1.0, spread: float = 1.0) -> str:
     """The page's main text; ``spread`` standard deviations are the threshold of the cluster."""
     if not html:
@@ -166,7 +213,7 @@ def main_text(html: str | None, sigma: float = 1.0, spread: float = 1.0) -> str:
     page.close()
     page.flush()
     tree = range(len(page.tag))
-    hidden = np.array(page.state) > 0
+    hidden = shown_again(page) > 0
     for e in tree:  # parents come first
         hidden[e] |= hidden[page.parent[e]]
     blocks = [b for b in page.blocks if not hidden[b[0]]]

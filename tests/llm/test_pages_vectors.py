@@ -49,6 +49,35 @@ def test_layout_wrapper_is_no_sidebar():
     assert html.main_text(page) == "Text of the page."
 
 
+ARTICLE = "<h1>Title</h1><p>A long paragraph of text.</p><p>Another one that goes on.</p>"
+
+
+@pytest.mark.parametrize("around", [
+    "<div class='layout with-sidebar'>{}</div>", "<div class='page no-sidebar'>{}</div>",
+    "<div class='menu-open'>{}</div>", "<div class='post hasComments'>{}</div>",
+    "<div class='sidebar-layout'>{}</div>", "<form method=post>{}</form>",
+    "<app-root class='sidebar'><div>{}</div></app-root>", "<div id='related'>{}</div>"])
+def test_names_and_forms_do_not_hide_the_article(around):
+    page = around.format(ARTICLE + "<div class='sidebar'>Other things</div>"
+                         "<div class='has-ads ad'>Buy</div><nav>Home</nav>")
+    page = f"<header>Site</header>{page}<div class='comments'>Fine!</div><footer>End</footer>"
+    assert html.main_text(page) == \
+        "Title\nA long paragraph of text.\nAnother one that goes on."
+
+
+def test_small_forms_and_link_menus_stay_hidden():
+    links = "".join(f"<li><a href={k}>A long name of page {k}</a></li>" for k in range(20))
+    page = f"<div class='menu'><ul>{links}</ul></div>{ARTICLE}<form>Your name</form>"
+    assert html.main_text(page) == \
+        "Title\nA long paragraph of text.\nAnother one that goes on."
+
+
+def test_code_keeps_its_comments():
+    page = "<article><pre><code>x = 1 <span class='hljs-comment'># one</span></code></pre>" \
+           "<p>Text <span class='ad'>Buy</span> goes on.</p></article>"
+    assert html.main_text(page) == "x = 1 # one\nText goes on."
+
+
 def test_extract_rows(spark):
     data = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "", "y")]
     table = spark.createDataFrame(data, "page_id bigint, url string, html string, text string")
