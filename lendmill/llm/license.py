@@ -132,7 +132,24 @@ distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; withou
 warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License
 for more details. You should have received a copy of the GNU General Public License along with this
 program. If not, see <https://www.gnu.org/licenses/>.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone
+is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source
+code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any
+and all copyright interest in the software to the public domain. We make this dedication for the
+benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to
+this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A
+PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM,
+DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more
+information, please refer to <https://unlicense.org>""",
 }
+TEXTS["BSD-3-Clause"] = TEXTS["BSD-2-Clause"].replace("THIS SOFTWARE IS PROVIDED BY", """3. Neither
+the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission. THIS SOFTWARE IS
+PROVIDED BY""")
 
 
 def known_texts() -> list[tuple[str, str]]:
@@ -141,7 +158,7 @@ def known_texts() -> list[tuple[str, str]]:
     for spdx, names in NAMES.items():
         for name in [*names, spdx]:
             found += [(spdx, frame.format(name)) for frame in FRAMES]
-    for spdx in ("MIT", "ISC", "BSD-2-Clause"):  # with the usual title line
+    for spdx in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause"):  # with the usual title line
         found.append((spdx, f"{NAMES[spdx][0]}\n{TEXTS[spdx]}"))
     return found
 

@@ -298,6 +298,18 @@ def test_license_digests(spark, empty):
         license.known(spark, [("X", "nothing of the kind")])
 
 
+def test_license_whole_texts(spark):
+    bsd = license.TEXTS["BSD-2-Clause"].replace("THIS SOFTWARE IS", (
+        "3. Neither the name of the copyright holder nor the names of its contributors may be "
+        "used to endorse or promote products derived from this software without specific prior "
+        "written permission.\n\nTHIS SOFTWARE IS"), 1)
+    data = [(1, f"BSD 3-Clause License\n\nCopyright (c) 2020, Some Body\n\n{bsd}"), (2, bsd),
+            (3, license.TEXTS.get("Unlicense", "no license"))]
+    found = license.scan(spark.createDataFrame(data, "doc_id bigint, text string")).collect()
+    assert sorted((r[0], r[1]) for r in found) == [
+        (1, "BSD-3-Clause"), (2, "BSD-3-Clause"), (3, "Unlicense")]
+
+
 # ---- decontamination -------------------------------------------------------------------------
 
 def test_alignment_equals_plain_smith_waterman():
