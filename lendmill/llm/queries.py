@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmill.llm import (ann, decontaminate, html, license, lines, mix, quality, shard, simhash,
-                          suffix)
+from lendmill.llm import (ann, codebooks, decontaminate, divergence, html, license, lines, mix,
+                          pieces, quality, shard, simhash, suffix)
 from lendmill.session import materialise
 
 
@@ -61,7 +61,33 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op11_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    books = codebooks.fit(vectors, positions=16, size=64, rounds=2, scale=256.0)
+    coded = materialise(codebooks.encode(vectors, books), "codes")
+    found = codebooks.with_group_total(coded, "label", "error", "label_error")
+    return found.select("vec_id", codebooks.hex_code().alias("code"), "error", "label_error",
+                        F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=3, top=200)
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's path is a parameter of ``pieces.load``; executors get its table."""
+    import public_tokenizers
+
+    vocabulary = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(numbers, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license, op2_html, op3_suffix, op4_simhash, op5_ann, op6_lines, op7_mix,
-    op8_decontaminate, op9_quality, op10_shard)}
-ORACLES = {"op1_license": license.oracle()}
+    op8_decontaminate, op9_quality, op10_shard, op11_codebooks, op12_divergence, op13_pieces)}
+ORACLES = {"op1_license": license.oracle(), "op12_divergence": divergence.oracle()}

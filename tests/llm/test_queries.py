@@ -7,7 +7,8 @@ from lendmill.llm import queries
 
 ROWS = {"op1_license": "documents", "op2_html": "pages", "op3_suffix": "documents",
         "op4_simhash": "documents", "op6_lines": "documents", "op7_mix": "documents",
-        "op9_quality": "documents", "op10_shard": "documents"}
+        "op9_quality": "documents", "op10_shard": "documents", "op11_codebooks": "embeddings",
+        "op13_pieces": "documents"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -24,7 +25,7 @@ def test_one_row_per_input_row(spark, sf_dir, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_entry_registers_them():
