@@ -235,3 +235,43 @@ def with_group_total(df: DataFrame, group: str, value: str, name: str, hot: int
 def hex_code(code: str = "code"):
     """Two hex digits per entry number, in part order."""
     return F.lower(F.array_join(F.transform(code, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+
+
+def oracle(positions: int = 16, size: int = 64, rounds: int = 2) -> str:
+    """The codes of ``embeddings`` in SQL."""
+    def assigned(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (
+  SELECT r, p, e, d FROM (
+    SELECT x.r, x.p, c.e, list_sum(list_transform(list_zip(x.v, c.v),
+             lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d,
+           row_number() OVER (PARTITION BY x.r, x.p ORDER BY d, c.e) AS place
+    FROM parts x JOIN c{k} c USING (p)) WHERE place = 1)"""
+
+    def updated(k: int) -> str:
+        return f"""t{k} AS (
+  SELECT p, e, i, sum(x.v[i])::BIGINT AS s, count(*) AS n
+  FROM a{k} JOIN parts x USING (r, p), range(1, len(x.v) + 1) AS g(i) GROUP BY ALL),
+u{k} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v
+         FROM t{k} GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(u.v, c.v) AS v
+         FROM c{k} c LEFT JOIN u{k} u USING (p, e))"""
+
+    steps = ",\n".join(f"{assigned(k)},\n{updated(k)}" for k in range(rounds))
+    return f"""
+WITH good AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding,
+         lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // {positions}) + 1:(p + 1) * (len(v) // {positions})] AS v
+  FROM good, range({positions}) AS g(p)),
+c0 AS (SELECT p, r - 1 AS e, v FROM parts WHERE r <= {size}),
+{steps},
+{assigned(rounds)},
+codes AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code,
+                 sum(d)::BIGINT AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM c{rounds})
+         AS codebooks_sha256
+FROM codes JOIN good USING (r)"""

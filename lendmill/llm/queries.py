@@ -90,4 +90,5 @@ def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license, op2_html, op3_suffix, op4_simhash, op5_ann, op6_lines, op7_mix,
     op8_decontaminate, op9_quality, op10_shard, op11_codebooks, op12_divergence, op13_pieces)}
-ORACLES = {"op1_license": license.oracle(), "op12_divergence": divergence.oracle()}
+ORACLES = {"op1_license": license.oracle(), "op11_codebooks": codebooks.oracle(),
+           "op12_divergence": divergence.oracle()}
