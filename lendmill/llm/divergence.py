@@ -39,8 +39,9 @@ SCALE = 1_000_000_000
 TERMS = 1_024      # rows of a block's matrix
 GROUPS = 64        # sources of a block
 TILE = 1_024       # columns of a tile
-HELD = 100_000     # different (group, term) that a task counts before it passes them on
+HELD = 500_000     # different (group, term) that a task counts before it passes them on
 STEP = 1 << 20     # bytes of a text that are split at once
+DOCUMENT = 1 << 40  # one document in a count that holds documents above times
 
 #: per byte: letters in lower case, bytes of other characters as they are, everything else a blank
 _FOLD = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32
@@ -79,31 +80,31 @@ def count_terms(docs: DataFrame, text: str = "text", lang: str = "lang",
     """(lang, source, term, docs, n); one row per group without a term (null) as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple, tuple[Counter, Counter]] = {}
+        groups: dict[tuple, dict[bytes, int]] = {}  # times, and documents above them
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (l, s), (times, docs_) in groups.items():
-                words = list(times)
+            for (l, s), words in groups.items():
+                both = np.fromiter(words.values(), np.int64, len(words))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([l] * (len(words) + 1)), pa.array([s] * (len(words) + 1)),
-                    pa.array([None, *[w.decode() for w in words]], pa.string()),
-                    pa.array([0, *[docs_[w] for w in words]], pa.int64()),
-                    pa.array([0, *[times[w] for w in words]], pa.int64())],
+                    pa.array([None, *words], pa.binary()).cast(pa.string()),
+                    pa.array(np.append(0, both // DOCUMENT)),
+                    pa.array(np.append(0, both % DOCUMENT))],
                     names=["lang", "source", "term", "docs", "n"])
             groups.clear()
 
         for batch in batches:
             for l, s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                batch.column(2)):
-                times, docs_ = groups.setdefault((l, s), (Counter(), Counter()))
+                words = groups.setdefault((l, s), {})
                 own: Counter = Counter()
                 for found in terms_of(t.as_py()):
                     own.update(found)
-                before = len(times)
-                times.update(own)
-                docs_.update(own.keys())
-                held += len(times) - before
+                before, seen = len(words), words.get
+                for word, times in own.items():
+                    words[word] = seen(word, 0) + times + DOCUMENT
+                held += len(words) - before
                 if held > HELD:
                     yield from flush()
                     held = 0
