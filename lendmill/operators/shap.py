@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.operators.quantiles import exact_quantiles
-from lendmill.operators.train import Fitted
 from lendmill.session import scratch
 
+if TYPE_CHECKING:
+    from lendmill.operators.train import Fitted
+
 TABLE_CELLS = 4_000_000
 
 
@@ -53,6 +56,8 @@ def node_table(fitted: Fitted, spark) -> DataFrame:
 
 def read_trees(fitted: Fitted, spark) -> list[Tree]:
     """Trees as leaf paths; leaf values are in log-odds (boosted) or probability (forest)."""
+    if hasattr(fitted.model, "paths"):
+        return fitted.model.paths()
     nodes = node_table(fitted, spark)
     weights = fitted.model.treeWeights
     by_tree: dict[int, dict[int, object]] = {}

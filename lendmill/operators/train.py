@@ -1,4 +1,9 @@
-"""Classifiers on MLlib: weighting, grid search with stratified folds, importances, scores."""
+"""Classifiers: weighting, grid search with stratified folds, importances, scores.
+
+``histogram``, ``leafwise`` and ``ordered`` are boosted here (``operators.boosting``): trees with
+a depth limit; trees with a leaf limit, best leaf first; symmetric trees over ordered target
+statistics of the categories. ``boosted``, ``forest`` and ``linear`` are MLlib's.
+"""
 
 from __future__ import annotations
 
@@ -10,13 +15,15 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendmill.operators import boosting
 from lendmill.operators.evaluate import class_counts, class_weights
 from lendmill.operators.split import stratified_folds
+from lendmill.operators.target_codes import ordered_codes
 from lendmill.session import materialise, shared_dir
 
 # Search grids under the names the configuration uses.
@@ -27,6 +34,9 @@ GRID_QUICK = {"max_depth": [5, 6], "n_estimators": [200, 300], "learning_rate":
 GRID_THOROUGH = {"max_depth": [5, 6, 7], "n_estimators": [300, 500], "learning_rate": [0.05, 0.1],
                  "subsample": [0.8, 0.9], "colsample_bytree": [0.8, 0.9],
                  "min_child_weight": [1, 3], "gamma": [0, 0.1]}
+GRID_LEAFWISE = {"max_depth": [3, 4, 5], "n_estimators": [100, 200], "learning_rate": [0.05, 0.1],
+                 "num_leaves": [31, 50]}
+GRID_ORDERED = {"depth": [3, 4, 5], "iterations": [100, 200], "learning_rate": [0.05, 0.1]}
 GRID_FOREST = {"max_depth": [3, 4, 5], "n_estimators": [100, 200]}
 GRID_LINEAR = {"regularisation": [0.0, 0.01, 0.1]}
 
@@ -98,14 +108,43 @@ def balanced_weight(df: DataFrame, label: str = "default") -> DataFrame:
 
 def _weigher(kind: str, weighting: str | None):
     """Class weighting by name; boosted trees weigh positives, the others balance, by default."""
-    name = weighting or ("positive" if kind == "boosted" else "balanced")
+    name = weighting or ("positive" if kind in ("boosted", "histogram") else "balanced")
     return {"positive": positive_weight, "balanced": balanced_weight}[name]
 
 
+# Kinds boosted by the library itself, with how their trees grow.
+GROWTH = {"histogram": "best", "leafwise": "best", "ordered": "symmetric"}
+
+
+def _boost(df: DataFrame, features: list[str], kind: str, grid: dict, folds: int, label: str,
+           id_col: str, seed: int, weighting: str | None,
+           categorical: list[str] | None) -> "Fitted":
+    """All grid points and folds in one search; ``folds`` 0 fits the only point."""
+    rows = df.select(*features, label, id_col)
+    if folds:
+        rows = stratified_folds(rows, folds, label, id_col, seed).withColumn(
+            "fold", F.col("fold").cast("int"))
+    rows = materialise(rows, "folds")
+    found = _weigher(kind, weighting)(rows, label).groupBy(label).agg(
+        F.first("weight").alias("w")).collect()  # a row per class
+    by_class = {int(r[label]): r.w for r in found}
+    weights = (by_class.get(0, 1.0), by_class.get(1, 1.0))
+    versions = codes = None
+    if kind == "ordered":
+        coded = [c for c in features if c in (categorical or [])]
+        rows, versions, codes = ordered_codes(rows, features, coded, label, id_col, folds, seed)
+    model, point, table = boosting.search(
+        rows, features, grid, GROWTH[kind], folds, label, id_col, seed, weights,
+        versions=versions, codes=codes)
+    score = max((s for _, s, _ in table if s is not None), default=None)
+    return Fitted(kind, model, features, point, score,
+                  [(p, s) for p, s, _ in table] if folds else None)
+
+
 @dataclass
 class Fitted:
     kind: str
-    model: Model
+    model: Model | boosting.BoostedTrees
     features: list[str]
     params: dict
     cv_score: float | None = None
@@ -114,18 +153,24 @@ class Fitted:
 
 def train(df: DataFrame, features: list[str], kind: str = "boosted", params: dict | None = None,
           label: str = "default", id_col: str = "app_id", seed: int = 42,
-          weighting: str | None = None) -> Fitted:
+          weighting: str | None = None, categorical: list[str] | None = None) -> Fitted:
     """Fit one learner on the whole of ``df``; ``weighting`` is "positive" or "balanced"."""
     shared_dir(df.sparkSession)
+    if kind in GROWTH:
+        grid = {name: [value] for name, value in (params or {}).items()}
+        return _boost(df, features, kind, grid, 0, label, id_col, seed, weighting, categorical)
     data = _weigher(kind, weighting)(vectorise(df, features, label, [id_col]), label)
     return Fitted(kind, learner(kind, params, seed).fit(data), features, dict(params or {}))
 
 
 def grid_search(df: DataFrame, features: list[str], grid: dict, kind: str = "boosted",
                 folds: int = 3, label: str = "default", id_col: str = "app_id", seed: int = 42,
-                parallelism: int | None = None, weighting: str | None = None) -> Fitted:
+                parallelism: int | None = None, weighting: str | None = None,
+                categorical: list[str] | None = None) -> Fitted:
     """Every grid point on every stratified fold by mean ROC-AUC, then a refit on all rows."""
     shared_dir(df.sparkSession)
+    if kind in GROWTH:
+        return _boost(df, features, kind, grid, folds, label, id_col, seed, weighting, categorical)
     # small fits leave cores idle; several run side by side
     parallelism = parallelism or max(2, df.sparkSession.sparkContext.defaultParallelism // 2)
     data = _weigher(kind, weighting)(vectorise(df, features, label, [id_col]), label)
@@ -174,10 +219,15 @@ def _cross_validate(est, points: list, data: DataFrame, folds: int, parallelism:
 def score(fitted: Fitted, df: DataFrame, keep: list[str] = ("app_id", "default"),
           with_features: bool = False) -> DataFrame:
     """Append ``p_model`` (probability of default) and ``class`` (at 0.5) to the kept columns."""
-    rows = vectorise(df, fitted.features, None, list(keep))
-    out = fitted.model.transform(rows)
-    p = vector_to_array("probability")[1]
     columns = [c for c in keep if c in df.columns]
+    if fitted.kind in GROWTH:
+        values = F.array(*[F.col(c).cast("double") for c in fitted.features])
+        p, out = fitted.model.probability(values), df
+        if with_features:
+            out = df.withColumn("features", array_to_vector(values))
+    else:
+        rows = vectorise(df, fitted.features, None, list(keep))
+        out, p = fitted.model.transform(rows), vector_to_array("probability")[1]
     if with_features:
         columns.append("features")
     return out.select(*columns, p.alias("p_model")).withColumn(
@@ -186,7 +236,9 @@ def score(fitted: Fitted, df: DataFrame, keep: list[str] = ("app_id", "default")
 
 def feature_importance(fitted: Fitted, spark) -> DataFrame:
     """(feature, importance): tree importances, or absolute coefficients scaled to sum to one."""
-    if fitted.kind == "linear":
+    if fitted.kind in GROWTH:
+        values = fitted.model.importance().tolist()
+    elif fitted.kind == "linear":
         raw = [abs(float(v)) for v in fitted.model.coefficients.toArray()]
         total = sum(raw) or 1.0
         values = [v / total for v in raw]

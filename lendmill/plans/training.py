@@ -54,10 +54,11 @@ def run(df: DataFrame, plans: dict[str, dict], target: str = "default", id_col:
         kind = plan.get("kind", "boosted")
         if "grid" in plan:
             fitted = grid_search(train_rows, model.features, plan["grid"], kind, folds, target,
-                                 id_col, split.seed, weighting=plan.get("weighting"))
+                                 id_col, split.seed, weighting=plan.get("weighting"),
+                                 categorical=model.categorical)
         else:
             fitted = train(train_rows, model.features, kind, plan.get("params"), target, id_col,
-                           split.seed, plan.get("weighting"))
+                           split.seed, plan.get("weighting"), model.categorical)
         result.models[name] = fitted
     result.metrics = evaluate_models(result, target, id_col)
     return result

@@ -8,15 +8,20 @@ from pyspark.ml.classification import (GBTClassificationModel, LogisticRegressio
                                        RandomForestClassificationModel)
 from pyspark.sql import DataFrame, SparkSession
 
+from lendmill.operators.boosting import BoostedTrees
 from lendmill.operators.split import seeded_sample
-from lendmill.operators.train import Fitted
+from lendmill.operators.train import GROWTH, Fitted
 
 LOADERS = {"boosted": GBTClassificationModel, "forest": RandomForestClassificationModel,
            "linear": LogisticRegressionModel}
 
 
 def save_classifier(fitted: Fitted, path: str, spark: SparkSession) -> None:
-    fitted.model.write().overwrite().save(f"{path}/model")
+    if fitted.kind in GROWTH:
+        (spark.createDataFrame([(fitted.model.state(),)], "state string").coalesce(1)
+         .write.mode("overwrite").parquet(f"{path}/model"))
+    else:
+        fitted.model.write().overwrite().save(f"{path}/model")
     info = json.dumps({"kind": fitted.kind, "features": fitted.features,
                        "params": fitted.params, "cv_score": fitted.cv_score}, default=float)
     (spark.createDataFrame([(info,)], "info string").coalesce(1)
@@ -25,8 +30,12 @@ def save_classifier(fitted: Fitted, path: str, spark: SparkSession) -> None:
 
 def load_classifier(spark: SparkSession, path: str) -> Fitted:
     info = json.loads(spark.read.schema("info string").parquet(f"{path}/info").first().info)
-    return Fitted(info["kind"], LOADERS[info["kind"]].load(f"{path}/model"), info["features"],
-                  info["params"], info["cv_score"])
+    if info["kind"] in GROWTH:
+        stored = spark.read.schema("state string").parquet(f"{path}/model").first().state
+        model = BoostedTrees.of_state(stored)
+    else:
+        model = LOADERS[info["kind"]].load(f"{path}/model")
+    return Fitted(info["kind"], model, info["features"], info["params"], info["cv_score"])
 
 
 def save_explanations(shap_table: DataFrame, features: list[str], path: str) -> None:
