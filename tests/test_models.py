@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lendmill.config import LimeSpec
 from lendmill.operators import explain, lime, ranking, shap, smote, split, train
+from lendmill.operators.scorer import scorer_of
 from lendmill.plans import explaining, scoring, training
 from lendmill.schema import CATEGORICAL
 from lendmill.session import scratch
@@ -395,3 +396,25 @@ def test_background_sample_size(spark, result):
     models.save_background(result.features, path, 100)
     assert spark.read.parquet(path).count() == 100
     assert split.first_rows(result.features, 7).count() == 7
+
+
+@pytest.mark.parametrize("kind", ["boosted", "forest", "linear"])
+def test_scorer_equals_the_model(spark, result, kind):
+    fitted = result.models[kind]
+    rows = result.features.limit(200)
+    x = np.array([r.x for r in rows.select(shap.feature_array(fitted.features).alias("x")).collect()])
+    ours = scorer_of(fitted, spark)()(np.ascontiguousarray(x.T))
+    theirs = np.array([r.p_model for r in train.score(fitted, rows).collect()])
+    assert np.allclose(np.sort(ours), np.sort(theirs), atol=1e-12)
+
+
+@pytest.mark.parametrize("kind,params", [("histogram", {"n_estimators": 12, "max_depth": 6}),
+                                         ("ordered", {"iterations": 5, "depth": 3})])
+def test_scorer_of_own_trees(spark, result, kind, params):
+    rows = result.features.where("split = 'train'")
+    fitted = train.train(rows, result.prep.features, kind, params,
+                         categorical=result.prep.categorical)
+    x = np.array([r.x for r in rows.select(shap.feature_array(fitted.features).alias("x")).collect()])
+    ours = scorer_of(fitted, spark)()(np.ascontiguousarray(x.T))
+    theirs = np.array([r.p_model for r in train.score(fitted, rows).collect()])
+    assert np.allclose(np.sort(ours), np.sort(theirs), atol=1e-12)
