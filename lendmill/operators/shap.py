@@ -8,6 +8,11 @@ For such a product game the Shapley value of feature j is
 
 (the multilinear extension of a game, Owen 1972), a polynomial that Gauss-Legendre nodes
 integrate exactly. Summed over leaves this equals path-dependent TreeSHAP (arXiv:1802.03888).
+The same game with other shares gives the interventional values: against one background row the
+share of a feature is 1 or 0, as the row meets the leaf's conditions or not, and the mean over a
+background only needs the distinct patterns of its rows at each leaf, with counts. The second
+derivative of the extension gives the interaction of two features.
+
 Scoring is one narrow Arrow stage: rows never shuffle, and what travels to the tasks is the
 model's own node table, which MLlib has already shipped once to predict.
 """
@@ -16,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import comb
 from typing import TYPE_CHECKING
 
 import numpy as np
@@ -124,47 +130,157 @@ def leaf_table(value: float, shares: np.ndarray, patterns: np.ndarray) -> np.nda
     return value * (held - shares) * ((whole / factor) * w).sum(axis=2)
 
 
-def shap_matrix(trees: list[Tree], x: np.ndarray, tables: dict | None = None) -> np.ndarray:
+def _turns(tree: Tree, columns: np.ndarray) -> np.ndarray:
+    """(2, splits, rows): whether a row goes right, left."""
+    left = columns[tree.split_feature] <= tree.split_threshold[:, None]
+    return np.stack([~left, left]).view(np.uint8)
+
+
+def _patterns(leaf: Leaf, turns: np.ndarray, rows: int) -> np.ndarray:
+    """Per row, one bit per path feature: does the row meet the leaf's conditions on it?"""
+    m = len(leaf.features)
+    # narrow integers: the loop is bound by memory traffic
+    kind = np.uint8 if m <= 8 else np.uint16 if m <= 16 else np.int64
+    pattern = np.zeros(rows, dtype=kind)
+    for bit, steps in enumerate(leaf.steps):
+        met = np.bitwise_and.reduce([turns[int(goes_left), k] for k, goes_left in steps])
+        pattern |= met.astype(kind) << kind(bit)
+    return pattern
+
+
+def shap_matrix(trees: list[Tree], x: np.ndarray, tables: dict | None = None,
+                background: "Background | None" = None) -> np.ndarray:
     """SHAP values of the rows of ``x`` (rows x features); ``tables`` caches leaf tables."""
     tables = {} if tables is None else tables
     cells = sum(v.size for v in tables.values())
     by_feature = np.zeros((x.shape[1], x.shape[0]))
     columns = np.ascontiguousarray(x.T)
+
+    def game(i: int, j: int, leaf: Leaf, patterns: np.ndarray) -> np.ndarray:
+        if background is None:
+            return leaf_table(leaf.value, leaf.shares, patterns)
+        return background.table(i, j, leaf, patterns)
+
     for i, tree in enumerate(trees):
-        left = columns[tree.split_feature] <= tree.split_threshold[:, None]
-        turns = np.stack([~left, left]).view(np.uint8)
+        turns = _turns(tree, columns)
         for j, leaf in enumerate(tree.leaves):
             m = len(leaf.features)
             if m == 0:
                 continue
-            # narrow integers: the loop is bound by memory traffic
-            kind = np.uint8 if m <= 8 else np.uint16 if m <= 16 else np.int64
-            pattern = np.zeros(x.shape[0], dtype=kind)
-            for bit, steps in enumerate(leaf.steps):
-                met = np.bitwise_and.reduce([turns[int(goes_left), k] for k, goes_left in steps])
-                pattern |= met.astype(kind) << kind(bit)
+            pattern = _patterns(leaf, turns, x.shape[0])
             table = tables.get((i, j))
             if table is None:
                 if m <= 12:
-                    table = leaf_table(leaf.value, leaf.shares, np.arange(1 << m)).T.copy()
+                    table = game(i, j, leaf, np.arange(1 << m)).T.copy()
                     if cells + table.size <= TABLE_CELLS:
                         tables[(i, j)] = table
                         cells += table.size
                 else:  # long paths: only the patterns that occur
                     seen, pattern = np.unique(pattern, return_inverse=True)
-                    table = leaf_table(leaf.value, leaf.shares, seen.astype(np.int64)).T
+                    table = game(i, j, leaf, seen.astype(np.int64)).T
             place = pattern.astype(np.intp)
             for bit, f in enumerate(leaf.features):
                 by_feature[f] += table[bit].take(place)
     return by_feature.T
 
 
+class Background:
+    """Background rows as the distinct patterns they form at every leaf, with their shares."""
+
+    def __init__(self, trees: list[Tree], x: np.ndarray):
+        columns = np.ascontiguousarray(x.T)
+        self.seen: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        self.base = 0.0
+        for i, tree in enumerate(trees):
+            turns = _turns(tree, columns)
+            for j, leaf in enumerate(tree.leaves):
+                m = len(leaf.features)
+                if m == 0:
+                    self.base += leaf.value
+                    continue
+                values, counts = np.unique(_patterns(leaf, turns, len(x)), return_counts=True)
+                self.seen[i, j] = values.astype(np.int64), counts / len(x)
+                self.base += leaf.value * float(counts[values == (1 << m) - 1].sum()) / len(x)
+
+    def table(self, i: int, j: int, leaf: Leaf, patterns: np.ndarray) -> np.ndarray:
+        """Mean contribution over the background of each path feature, for each pattern.
+
+        A feature that neither row meets makes the game zero; of those that only the explained
+        row meets (a of them) and only the background row meets (b), each one adds
+        (a - 1)! b! / (a + b)! or takes a! (b - 1)! / (a + b)! of the leaf's value.
+        """
+        values, shares = self.seen[i, j]
+        m = len(leaf.features)
+        out = np.zeros((len(patterns), m))
+        bits = np.arange(m)
+        for value, share in zip(values, shares):
+            only_row = patterns & ~value
+            only_other = value & ~patterns
+            alive = (patterns | value) == (1 << m) - 1
+            gains = ((only_row[:, None] >> bits) & 1).astype(bool)
+            losses = ((only_other[:, None] >> bits) & 1).astype(bool)
+            a, b = gains.sum(axis=1), losses.sum(axis=1)
+            for k in np.flatnonzero(alive & (a + b > 0)):
+                scale = leaf.value * share / comb(int(a[k] + b[k]), int(a[k]))
+                if a[k]:
+                    out[k, gains[k]] += scale / a[k]
+                if b[k]:
+                    out[k, losses[k]] -= scale / b[k]
+        return out
+
+
+def pair_table(value: float, shares: np.ndarray, patterns: np.ndarray) -> np.ndarray:
+    """(patterns, features, features): half the interaction of each pair of path features."""
+    m = len(shares)
+    nodes, weights = np.polynomial.legendre.leggauss(max(1, m // 2))
+    t, w = (nodes + 1) / 2, weights / 2
+    held = ((patterns[:, None] >> np.arange(m)) & 1).astype(np.float64)
+    factor = held[:, :, None] * t + shares[None, :, None] * (1 - t)
+    out = np.zeros((len(patterns), m, m))
+    for a in range(m):
+        for b in range(a + 1, m):
+            rest = np.delete(factor, [a, b], axis=1).prod(axis=1)
+            both = value * (held[:, a] - shares[a]) * (held[:, b] - shares[b])
+            out[:, a, b] = out[:, b, a] = both * (rest * w).sum(axis=1) / 2
+    return out
+
+
+def interaction_matrix(trees: list[Tree], x: np.ndarray, tables: dict | None = None) -> np.ndarray:
+    """(rows, features, features) interaction values. Off the diagonal: half the interaction of
+    two features; on it: what is left of the feature's SHAP value, so that rows add up to it."""
+    tables = {} if tables is None else tables
+    width = x.shape[1]
+    out = np.zeros((width, width, x.shape[0]))
+    columns = np.ascontiguousarray(x.T)
+    for i, tree in enumerate(trees):
+        turns = _turns(tree, columns)
+        for j, leaf in enumerate(tree.leaves):
+            m = len(leaf.features)
+            if m < 2:
+                continue
+            seen, place = np.unique(_patterns(leaf, turns, x.shape[0]), return_inverse=True)
+            table = tables.get((i, j))
+            if table is None and m <= 8:
+                table = tables[i, j] = pair_table(leaf.value, leaf.shares, np.arange(1 << m))
+            found = table[seen] if table is not None else pair_table(
+                leaf.value, leaf.shares, seen.astype(np.int64))
+            for a in range(m):
+                for b in range(a + 1, m):
+                    out[leaf.features[a], leaf.features[b]] += found[:, a, b].take(place)
+    out = out + out.transpose(1, 0, 2)
+    own = shap_matrix(trees, x).T
+    at = np.arange(width)
+    out[at, at] = own - out.sum(axis=1)
+    return out.transpose(2, 0, 1)
+
+
 def base_value(trees: list[Tree]) -> float:
     """Expected output: leaf values weighted by their share of the training cover."""
     return float(sum(leaf.value * leaf.shares.prod() for tree in trees for leaf in tree.leaves))
 
 
-def tree_shap(trees: list[Tree], width: int, features: Column) -> Column:
+def tree_shap(trees: list[Tree], width: int, features: Column,
+              background: Background | None = None) -> Column:
     """``array<double>`` of SHAP values for an ``array<double>`` feature column."""
 
     @F.arrow_udf("array<double>")
@@ -172,22 +288,88 @@ def tree_shap(trees: list[Tree], width: int, features: Column) -> Column:
         tables: dict = {}
         for rows in batches:
             x = rows.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            values = shap_matrix(trees, x, tables)
+            values = shap_matrix(trees, x, tables, background)
             offsets = np.arange(0, (len(x) + 1) * width, width, dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
 
     return compute(features)
 
 
+def tree_interactions(trees: list[Tree], width: int, features: Column, step: int = 1_000) -> Column:
+    """``array<double>`` of interaction values (features x features, row by row)."""
+
+    @F.arrow_udf("array<double>")
+    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tables: dict = {}
+        for rows in batches:
+            x = rows.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            parts = [interaction_matrix(trees, x[a:a + step], tables).reshape(-1, width * width)
+                     for a in range(0, len(x), step)]
+            values = np.concatenate(parts) if parts else np.zeros((0, width * width))
+            offsets = np.arange(0, len(x) + 1, dtype=np.int32) * (width * width)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
+
+    return compute(features)
+
+
+def background_of(rows: DataFrame, trees: list[Tree], features: list[str]) -> Background:
+    """A saved background sample (``save_background``: its size is that function's argument, so
+    it is small) in the form that ``add_tree_shap`` takes."""
+    found = rows.select(feature_array(features).alias("x")).collect()
+    if not found:
+        raise ValueError("the background has no rows")
+    return Background(trees, np.array([r.x for r in found]))
+
+
 def feature_array(features: list[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in features])
 
 
-def add_tree_shap(df: DataFrame, fitted: Fitted, trees: list[Tree] | None = None) -> DataFrame:
-    """Append ``shap`` (in feature order) and ``base_value`` to a table with the feature columns."""
+def add_tree_shap(df: DataFrame, fitted: Fitted, trees: list[Tree] | None = None,
+                  background: Background | None = None) -> DataFrame:
+    """Append ``shap`` (in feature order) and ``base_value`` to a table with the feature columns.
+
+    Without a background the training cover stands for absent features; with one, its rows do,
+    and the base value is their mean output.
+    """
     trees = read_trees(fitted, df.sparkSession) if trees is None else trees
-    values = tree_shap(trees, len(fitted.features), feature_array(fitted.features))
-    return df.withColumns({"shap": values, "base_value": F.lit(base_value(trees))})
+    values = tree_shap(trees, len(fitted.features), feature_array(fitted.features), background)
+    base = base_value(trees) if background is None else background.base
+    return df.withColumns({"shap": values, "base_value": F.lit(base)})
+
+
+def add_interactions(df: DataFrame, fitted: Fitted, trees: list[Tree] | None = None) -> DataFrame:
+    """Append ``interactions``: features x features values of every row, row by row."""
+    trees = read_trees(fitted, df.sparkSession) if trees is None else trees
+    return df.withColumn("interactions", tree_interactions(
+        trees, len(fitted.features), feature_array(fitted.features)))
+
+
+def strongest_partners(df: DataFrame, features: list[str]) -> DataFrame:
+    """Per feature, the other feature with the largest mean absolute interaction."""
+    n = len(features)
+    pairs = [(i, j) for i in range(n) for j in range(i + 1, n)]
+    wide = df.agg(*[F.avg(F.abs(F.col("interactions")[i * n + j])).alias(f"p{k}")
+                    for k, (i, j) in enumerate(pairs)])
+    cells = [F.struct(F.lit(features[a]).alias("feature"), F.lit(features[b]).alias("partner"),
+                      F.col(f"p{k}").alias("mean_abs_interaction"))
+             for k, (i, j) in enumerate(pairs) for a, b in ((i, j), (j, i))]
+    best = F.max_by(F.struct("partner", "mean_abs_interaction"),
+                    F.struct("mean_abs_interaction", "partner")).alias("b")
+    return wide.select(F.inline(F.array(*cells))).groupBy("feature").agg(best).select("feature", "b.*")
+
+
+def interaction_dependence(df: DataFrame, features: list[str], feature: str,
+                           partner: str | None = None, keep: list[str] = ("app_id",)) -> DataFrame:
+    """(feature value, partner's value, interaction value) for every row; the partner is the one
+    that interacts most, unless it is named."""
+    if partner is None:
+        partner = strongest_partners(df, features).where(F.col("feature") == feature).first().partner
+    i, j = features.index(feature), features.index(partner)
+    return df.select(*keep, F.col(feature).cast("double").alias("value"),
+                     F.lit(partner).alias("partner"),
+                     F.col(partner).cast("double").alias("partner_value"),
+                     (2 * F.col("interactions")[i * len(features) + j]).alias("interaction_value"))
 
 
 def background_means(df: DataFrame, features: list[str]) -> dict[str, float]:

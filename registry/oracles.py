@@ -459,6 +459,13 @@ def rank_rules(p: str) -> str:
 MODEL_CHECKS = """SELECT split, CAST(sum(1 - "default") AS BIGINT) AS negatives,
   CAST(sum("default") AS BIGINT) AS positives, TRUE AS useful, TRUE AS precise, TRUE AS recalled
   FROM split GROUP BY split"""
+SEARCH_CHECKS = MODEL_CHECKS.replace("TRUE AS recalled", "TRUE AS recalled, TRUE AS near_scorecard")
+# The published quick grid.
+QUICK_POINTS = """SELECT CAST(d AS DOUBLE) AS max_depth, CAST(n AS DOUBLE) AS n_estimators,
+  CAST(r AS DOUBLE) AS learning_rate, CAST(s AS DOUBLE) AS subsample,
+  CAST(0.8 AS DOUBLE) AS colsample_bytree, TRUE AS useful, TRUE AS best_if_chosen
+  FROM (VALUES (5), (6)) a(d), (VALUES (200), (300)) b(n), (VALUES (0.05), (0.1)) c(r),
+       (VALUES (0.8), (0.9)) e(s)"""
 ALL_COLUMNS = plain(["app_id", *PREDICTORS, "default"])
 PROFIT = "loan_amnt * rate * {y} - p_final * loan_amnt"
 OPTIONAL = """opt AS (SELECT *, CAST(600 + app_id % 200 AS DOUBLE) AS low_,
@@ -657,6 +664,11 @@ ORACLES = {
     "M4_train_balanced_boosted": on_judged(MODEL_CHECKS, SPLIT),
     "M5_grid_search": "SELECT CAST(d AS INT) AS max_depth, CAST(5 AS INT) AS trees, "
                       "TRUE AS useful, TRUE AS best_if_chosen FROM (VALUES (2), (3)) t(d)",
+    "M2_histogram_boosted": on_judged(SEARCH_CHECKS, SPLIT),
+    "M3_leafwise_grid": on_judged(SEARCH_CHECKS, SPLIT),
+    "M4_ordered_grid": on_judged(SEARCH_CHECKS, SPLIT),
+    "M5_quick_grid": QUICK_POINTS,
+    "M5_quick_grid_model": on_judged(SEARCH_CHECKS, SPLIT),
     "M7_feature_importance": "SELECT model, TRUE AS not_negative, TRUE AS sums_to_one "
                              "FROM (VALUES ('boosted'), ('forest'), ('linear')) t(model)",
     "M8_probability_class": on_scored(
@@ -674,6 +686,8 @@ ORACLES = {
         f"SELECT model, split, '{m}' AS metric, {m} AS value FROM rival_metrics"
         for m in ("roc_auc", "precision", "recall", "f1"))),
     "X1_tree_shap": q("SELECT app_id, TRUE AS complete, TRUE AS adds_up FROM apps"),
+    "X1_background_shap": q("SELECT app_id, TRUE AS base_is_mean, TRUE AS adds_up FROM apps"),
+    "X5_interactions": q("SELECT app_id, TRUE AS adds_up, TRUE AS symmetric FROM apps"),
     "X3_base_value": q("SELECT count(*) AS rows, TRUE AS constant, TRUE AS centred FROM apps"),
     "X4_force_table": q("SELECT app_id, TRUE AS complete, TRUE AS adds_up FROM apps"),
     "X6_tree_shap_summary": "SELECT TRUE AS complete, TRUE AS ordered, TRUE AS bounded",

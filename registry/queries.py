@@ -616,6 +616,65 @@ def m5(spark, sf):
                          (~c("chosen") | (c("score") == best)).alias("best_if_chosen"))
 
 
+def _checked_search(spark, sf, fitted: train.Fitted) -> DataFrame:
+    """Checks of a searched model on every split; ``near_scorecard``: its area comes close to
+    that of the scorecard the labels were drawn from, on the same rows."""
+    features = trained(spark, sf).features
+    scores = train.score(fitted, features, ["app_id", "default", "split"])
+    known = judged(spark, sf).select("app_id", c("p_model").alias("drawn_from"))
+    both = materialise(scores.join(known, "app_id"), "searched")
+    found = evaluate.evaluate(both, "default", "p_model", ["split"])
+    ideal = evaluate.roc_auc(both, "default", "drawn_from", ["split"])
+    near = found.join(ideal.withColumnRenamed("roc_auc", "ideal"), "split")
+    return _checked(near).join(near.select(
+        "split", (c("roc_auc") >= c("ideal") - 0.04).alias("near_scorecard")), "split")
+
+
+def _grid(spark, sf, kind: str, grid: dict) -> train.Fitted:
+    """A whole published grid on three folds, with the refit, searched once per session."""
+    key = (spark.sparkContext.applicationId, sf, kind, str(grid))
+    if key not in _shared:
+        result = trained(spark, sf)
+        _shared[key] = train.grid_search(result.features.where("split = 'train'"),
+                                         result.prep.features, grid, kind, folds=3,
+                                         categorical=result.prep.categorical)
+    return _shared[key]
+
+
+def _grid_rows(spark, fitted: train.Fitted) -> DataFrame:
+    names = list(fitted.params)
+    rows = [(*[float(p[n]) for n in names], float(s), p == fitted.params)
+            for p, s in fitted.cv_scores]
+    schema = ", ".join(f"{n} double" for n in names) + ", score double, chosen boolean"
+    best = F.max("score").over(Window.partitionBy(F.lit(1)))  # one row per grid point
+    return spark.createDataFrame(rows, schema).select(
+        *names, c("score").between(0.8, 1).alias("useful"),
+        (~c("chosen") | (c("score") == best)).alias("best_if_chosen"))
+
+
+def m2_histogram(spark, sf):
+    result = trained(spark, sf)
+    fitted = train.train(result.features.where("split = 'train'"), result.prep.features,
+                         "histogram", PUBLISHED["params"])
+    return _checked_search(spark, sf, fitted)
+
+
+def m3_leafwise(spark, sf):
+    return _checked_search(spark, sf, _grid(spark, sf, "leafwise", train.GRID_LEAFWISE))
+
+
+def m4_ordered(spark, sf):
+    return _checked_search(spark, sf, _grid(spark, sf, "ordered", train.GRID_ORDERED))
+
+
+def m5_quick(spark, sf):
+    return _grid_rows(spark, _grid(spark, sf, "histogram", train.GRID_QUICK))
+
+
+def m5_quick_model(spark, sf):
+    return _checked_search(spark, sf, _grid(spark, sf, "histogram", train.GRID_QUICK))
+
+
 def m6(spark, sf):
     return rounded(rival_metrics(spark, sf).drop("position"))
 
@@ -679,6 +738,51 @@ def _probability(base, shap_column: str):
     return 1 / (1 + F.exp(-total))
 
 
+def x1_background(spark, sf):
+    """Against the 1,000 background rows of a saved bundle."""
+    result = trained(spark, sf)
+    path = scratch(spark, "bundle")
+    artifacts.save_bundle(result, "boosted", path, background_rows=1000)
+    bundle = artifacts.load_bundle(spark, path)
+    fitted = bundle.fitted
+    trees = shap.read_trees(fitted, spark)
+    found = shap.add_tree_shap(result.features, fitted, trees,
+                               shap.background_of(bundle.background, trees, fitted.features))
+    background = train.score(fitted, bundle.background, ["app_id"])
+    mean = background.agg(F.avg(F.ln(c("p_model") / (1 - c("p_model"))))).first()[0]
+    scored = train.score(fitted, result.features, ["app_id"]).select("app_id", "p_model")
+    return found.join(scored, "app_id").select(
+        "app_id", (F.abs(c("base_value") - F.lit(mean)) < 1e-9).alias("base_is_mean"),
+        (F.abs(_probability(c("base_value"), "shap") - c("p_model")) < 1e-9).alias("adds_up"))
+
+
+def _interactions(spark, sf):
+    result = trained(spark, sf)
+    fitted = result.models["boosted"]
+    trees = shap.read_trees(fitted, spark)
+    df = shap.add_tree_shap(result.features, fitted, trees)
+    return shap.add_interactions(df, fitted, trees), fitted.features
+
+
+def x5_interactions(spark, sf):
+    df, names = _interactions(spark, sf)
+    n = len(names)
+    rows = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.aggregate(
+        F.slice("interactions", i * n + 1, n), F.lit(0.0), lambda a, b: a + b))
+    off = F.zip_with(rows, "shap", lambda a, b: F.abs(a - b))
+    mirrored = F.forall(F.sequence(F.lit(0), F.lit(n * n - 1)), lambda k: F.get(
+        "interactions", k) == F.get("interactions", (k % n) * n + F.floor(k / n).cast("int")))
+    return df.select("app_id", (F.array_max(off) < 1e-9).alias("adds_up"),
+                     mirrored.alias("symmetric"))
+
+
+def x5_partners(spark, sf):
+    df, names = _interactions(spark, sf)
+    found = shap.strongest_partners(df, names)
+    return found.select("feature", (c("partner") != c("feature")).alias("other"),
+                        (c("mean_abs_interaction") >= 0).alias("measured"))
+
+
 def x2(spark, sf):
     df = with_linear_shap(spark, sf)
     return df.select("app_id", r6("base_value").alias("base_value"),
@@ -865,11 +969,15 @@ QUERIES = {
     "R9_batch_assess": r9, "R10_score_applications": r10, "R10_score_with_model": r10_model,
     "M1_stratified_split": m1, "M1_stratified_folds": m1_folds, "M2_train_boosted": m2,
     "M3_train_forest": m3, "M4_train_linear": m4,
-    "M4_train_balanced_boosted": m4_balanced, "M5_grid_search": m5, "M6_evaluate": m6,
+    "M4_train_balanced_boosted": m4_balanced, "M5_grid_search": m5,
+    "M2_histogram_boosted": m2_histogram, "M3_leafwise_grid": m3_leafwise,
+    "M4_ordered_grid": m4_ordered, "M5_quick_grid": m5_quick,
+    "M5_quick_grid_model": m5_quick_model, "M6_evaluate": m6,
     "M6_metrics_long": m6_long, "M7_feature_importance": m7, "M8_probability_class": m8,
     "M9_smote": m9,
     "X1_tree_shap": x1, "X2_linear_shap": x2, "X3_base_value": x3, "X4_force_table": x4,
-    "X5_dependence": x5, "X6_shap_summary": x6, "X6_tree_shap_summary": x6_tree, "X7_lime": x7,
+    "X1_background_shap": x1_background, "X5_interactions": x5_interactions,
+    "X5_strongest_partners": x5_partners, "X5_dependence": x5, "X6_shap_summary": x6, "X6_tree_shap_summary": x6_tree, "X7_lime": x7,
     "X8_counterfactual": x8, "X9_full_explanation": x9, "X9_linear_explanation": x9_linear,
     "X10_direction_label": x10,
     "Z2_score_stream": z2, "Z2_stream_rejects": z2_rejects, "Z3_batch_portfolio": z3,

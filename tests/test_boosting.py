@@ -231,3 +231,86 @@ def test_ordered_boosting_scores_with_whole_statistics(spark):
     assert fitted.cv_score > 0.6
     unseen = spark.createDataFrame([(1, 99.0, 0.5)], "app_id long, k double, x double")
     assert 0 < train.score(fitted, unseen).first().p_model < 1
+
+
+# ---- interactions and interventional values --------------------------------------------------
+
+def shapley(play, n):
+    """Shapley values and halved Shapley interactions of a game by enumeration."""
+    single, pair = np.zeros(n), np.zeros((n, n))
+    for mask in range(1 << n):
+        size = bin(mask).count("1")
+        for i in range(n):
+            if mask >> i & 1:
+                continue
+            w = math.factorial(size) * math.factorial(n - size - 1) / math.factorial(n)
+            single[i] += w * (play(mask | 1 << i) - play(mask))
+            for j in range(n):
+                if j != i and not mask >> j & 1:
+                    w = math.factorial(size) * math.factorial(n - size - 2) / (
+                        2 * math.factorial(n - 1))
+                    pair[i, j] += w * (play(mask | 1 << i | 1 << j) - play(mask | 1 << i)
+                                       - play(mask | 1 << j) + play(mask))
+    np.fill_diagonal(pair, single - pair.sum(axis=1))
+    return single, pair
+
+
+@pytest.fixture(scope="module")
+def small_model(table):
+    model, _, _ = boosting.search(table, NAMES, {"n_estimators": [4], "max_depth": [4],
+                                                 "learning_rate": [0.4]}, "best", 0, ranges=16)
+    return model
+
+
+def test_interactions_equal_enumeration(small_model):
+    trees = small_model.paths()
+    x = np.array([r[1:4] for r in toy()[:25]])
+    found = shap.interaction_matrix(trees, x)
+    for row, ours in zip(x, found):
+        total = np.zeros((3, 3))
+        for tree in trees:
+            for leaf in tree.leaves:
+                held = [all((row[tree.split_feature[k]] <= tree.split_threshold[k]) == left
+                            for k, left in steps) for steps in leaf.steps]
+
+                def play(mask, leaf=leaf, held=held):
+                    out = leaf.value
+                    for f, o, z in zip(leaf.features, held, leaf.shares):
+                        out *= o if mask >> f & 1 else z
+                    return out
+                total += shapley(play, 3)[1]
+        assert np.allclose(ours, total, atol=1e-10)
+    assert np.allclose(found.sum(axis=2), shap.shap_matrix(trees, x), atol=1e-10)
+
+
+def test_interventional_values_equal_enumeration(small_model):
+    trees = small_model.paths()
+    rows = np.array([r[1:4] for r in toy()])
+    x, others = rows[:20], rows[20:60]
+    background = shap.Background(trees, others)
+    found = shap.shap_matrix(trees, x, background=background)
+    for row, ours in zip(x, found):
+        def play(mask, row=row):
+            mixed = others.copy()
+            for f in range(3):
+                if mask >> f & 1:
+                    mixed[:, f] = row[f]
+            return small_model.margin(mixed).mean()
+        assert np.allclose(ours, shapley(play, 3)[0], atol=1e-10)
+        assert abs(background.base - play(0)) < 1e-10
+
+
+def test_interaction_columns(spark, table, small_model):
+    fitted = train.Fitted("histogram", small_model, NAMES, {})
+    df = shap.add_interactions(table, fitted)
+    partners = {r.feature: r for r in shap.strongest_partners(df, NAMES).collect()}
+    x = np.array([r[1:4] for r in toy()])
+    mean = np.abs(shap.interaction_matrix(small_model.paths(), x)).mean(axis=0)
+    np.fill_diagonal(mean, -1)
+    for i, n in enumerate(NAMES):
+        assert partners[n].partner == NAMES[int(mean[i].argmax())]
+        assert abs(partners[n].mean_abs_interaction - mean[i].max()) < 1e-12
+    rows = shap.interaction_dependence(df, NAMES, "a").collect()
+    assert len(rows) == len(x) and {r.partner for r in rows} == {partners["a"].partner}
+    empty = shap.add_interactions(table.limit(0), fitted)
+    assert empty.count() == 0
