@@ -9,17 +9,24 @@ verified with a banded bit-parallel edit distance. Linked lines form classes; th
 class (by doc_id, then position) stays, all others are removed.
 
 Keys travel as packed arrays, so Spark shuffles a few rows per task and bucket. A first pass
-counts the entries of each key from per-task totals. Keys with more than ``busy`` entries are
-split: their lines are dealt into blocks, and pairs of blocks join on the segments of what is
-left of a line without the shared segment. Tasks return spanning forests, never all pairs.
+counts the entries of each key from per-task totals; keys with more than ``busy`` entries count
+as shared, the others are looked up bucket by bucket. Only lines under a shared key travel as
+text, one row per line and shared key, and meet under that key: candidates are compared where
+they meet, and a task returns a spanning forest of its links, never pairs. A key with more than
+``block_rows`` lines is dealt again by (key, segment of what is left of a line without the shared
+one), up to ``LEVELS`` times; what is still together then meets as pairs of blocks.
 
 Defined results: lines are trimmed; blank lines are kept and not counted; lines shorter than
 ``min_length`` code points are linked only to equal lines; a null text has no lines; rows are
-ordered by doc_id (null last), repeated ids by their place in the input.
+ordered by doc_id (null last), repeated ids by their place in the input; lines of any length are
+compared whole; an empty table gives an empty table; extra columns stay, also under names that
+the operator uses itself.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -283,120 +290,198 @@ def busy_keys(texts: DataFrame, distance: int, min_length: int, buckets: int,
         .groupBy("bucket").applyInArrow(total, "gram bigint")
 
 
+LEVELS = 3        # how often a large key is dealt again by a further segment
+SMALL = 24        # lines of a key that are compared all with all
+
+
+def _names(lines: list[str]) -> np.ndarray:
+    return np.array([int.from_bytes(identity(x)[:8], "little") for x in lines], np.uint64)
+
+
+def _under_keys(lines, index, probe, wanted) -> pa.RecordBatch:
+    """(key, rest, body): each line under its wanted keys, once per place of the shared segment;
+    the rest is the line without it. ``wanted`` takes keys."""
+    row, key, at, length = (np.concatenate([index[k], probe[k]]) for k in range(4))
+    hot = wanted(key)
+    found = np.unique(np.stack([key[hot], row[hot].astype(np.uint64), at[hot].astype(np.uint64),
+                                length[hot].astype(np.uint64)]), axis=1)
+    body = [lines[int(r)] for r in found[1]]
+    rest = [x[:int(p)] + x[int(p) + int(n):] for x, p, n in zip(body, found[2], found[3])]
+    return pa.RecordBatch.from_arrays([pa.array(found[0].view(np.int64)), pa.array(
+        rest, pa.string()), pa.array(body, pa.string())], names=["key", "rest", "body"])
+
+
 def entries(texts: DataFrame, distance: int, min_length: int, buckets: int,
             bits: np.ndarray) -> DataFrame:
-    """Packed entries by bucket, and one row (key, line) per line and busy key."""
-    names = ["bucket", "ikeys", "irows", "pkeys", "prows", "key", "at", "length", "body"]
+    """Packed entries by bucket, and one row (key, rest, body) per line and busy key."""
+    names = ["bucket", "ikeys", "irows", "pkeys", "prows", "key", "rest", "body"]
 
     def run(batches):
         rolling = Rolling()
         for lines in _distinct(batches, min_length):
             index, probe = _keys(lines, distance, rolling)
-            name = np.array([int.from_bytes(identity(x)[:8], "little") for x in lines], np.uint64)
+            name = _names(lines)
+            busy = lambda key: present(bits, key >> np.uint64(32) << np.uint64(32))
             packed = {}
-            for which, (row, key, at, length) in (("i", index), ("p", probe)):
-                upper = key >> np.uint64(32)
-                hot = present(bits, upper << np.uint64(32))
-                cool = ~hot
+            for which, (row, key, _, _) in (("i", index), ("p", probe)):
+                cool = ~busy(key)
                 for b, *blobs in _split((key % np.uint64(buckets))[cool],
-                                        upper[cool].astype("<u4"), name[row[cool]]):
+                                        (key[cool] >> np.uint64(32)).astype("<u4"),
+                                        name[row[cool]]):
                     packed.setdefault(b, {})[which] = blobs
-                if hot.any():
-                    # a line enters a busy key once per place of the shared segment
-                    found = np.unique(np.stack([key[hot], row[hot].astype(np.uint64),
-                                                at[hot].astype(np.uint64),
-                                                length[hot].astype(np.uint64)]), axis=1)
-                    none = pa.nulls(found.shape[1], pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(found.shape[1], pa.int32()), none, none, none, none,
-                         pa.array(found[0].view(np.int64)), pa.array(found[2].astype(np.int32)),
-                         pa.array(found[3].astype(np.int32)),
-                         pa.array([lines[int(r)] for r in found[1]], pa.string())], names=names)
+            hot = _under_keys(lines, index, probe, busy)
+            if hot.num_rows:
+                none = pa.nulls(hot.num_rows, pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(hot.num_rows, pa.int32()), none, none, none, none, *hot.columns],
+                    names=names)
             rows = [(b, *(x.get("i") or (b"", b"")), *(x.get("p") or (b"", b"")))
                     for b, x in packed.items()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()),
                  *[pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 5)],
-                 pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int32()),
-                 pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.string())], names=names)
+                 pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.string()),
+                 pa.nulls(len(rows), pa.string())], names=names)
 
     return texts.mapInArrow(run, "bucket int, ikeys binary, irows binary, pkeys binary, "
-                                 "prows binary, key bigint, at int, length int, body string")
+                                 "prows binary, key bigint, rest string, body string")
 
 
-def candidates(packed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of line names that share a key that is not busy."""
+def shared(packed: DataFrame) -> DataFrame:
+    """(gram, name): the lines under keys that several lines share, one of them with its own
+    segment; ``gram`` is the key's upper half. Linear in the entries."""
     def run(table):
         read = lambda k, t: np.frombuffer(b"".join(table.column(k).to_pylist()), t)
-        ikey, irow = read("ikeys", "<u4"), read("irows", "<u8")
-        pkey, prow = read("pkeys", "<u4"), read("prows", "<u8")
-        a, b = matches(*_once(ikey, irow), *_once(pkey, prow))
-        pair = np.unique(np.stack([a, b]), axis=1) if len(a) else np.zeros((2, 0), np.uint64)
-        return pa.table({"a": pair[0].view(np.int64), "b": pair[1].view(np.int64)})
-
-    return packed.groupBy("bucket").applyInArrow(run, "a bigint, b bigint").distinct()
-
-
-def named_lines(texts: DataFrame, min_length: int, bits: np.ndarray) -> DataFrame:
-    """(name, body) of the lines whose name the bitmap lets through."""
+        ikey, irow = _once(read("ikeys", "<u4"), read("irows", "<u8"))
+        pkey, prow = _once(read("pkeys", "<u4"), read("prows", "<u8"))
+        key, row = _once(np.concatenate([ikey, pkey]), np.concatenate([irow, prow]))
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) \
+            else np.zeros(0, np.int64)
+        size = np.diff(np.append(heads, len(key)))
+        many = (size > 1) & np.isin(key[heads], ikey)
+        keep = np.repeat(many, size)
+        return pa.table({"gram": (key[keep].astype(np.uint64) << np.uint64(32)).view(np.int64),
+                         "name": row[keep].view(np.int64)})
+
+    return packed.groupBy("bucket").applyInArrow(run, "gram bigint, name bigint")
+
+
+def under_keys(texts: DataFrame, distance: int, min_length: int, names: np.ndarray,
+               grams: np.ndarray) -> DataFrame:
+    """(key, rest, body) of the lines and keys that two bitmaps let through."""
     def run(batches):
+        rolling = Rolling()
         for lines in _distinct(batches, min_length):
-            name = np.array([int.from_bytes(identity(x)[:8], "little") for x in lines], np.uint64)
-            keep = np.flatnonzero(present(bits, name))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(name[keep].view(np.int64)),
-                 pa.array([lines[int(i)] for i in keep], pa.string())], names=["name", "body"])
-
-    return texts.mapInArrow(run, "name bigint, body string").distinct()
+            keep = np.flatnonzero(present(names, _names(lines)))
+            if len(keep):
+                lines = [lines[int(i)] for i in keep]
+                index, probe = _keys(lines, distance, rolling)
+                yield _under_keys(lines, index, probe, lambda key: present(
+                    grams, key >> np.uint64(32) << np.uint64(32)))
+
+    return texts.mapInArrow(run, "key bigint, rest string, body string")
+
+
+def _all_pairs(start: np.ndarray, size: np.ndarray):
+    """Pairs of places inside each group of a few places."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n in np.unique(size[size > 1]):
+        first = start[size == n][:, None]
+        x, y = np.triu_indices(int(n), 1)
+        a.append((first + x).ravel())
+        b.append((first + y).ravel())
+    return np.concatenate(a), np.concatenate(b)
+
+
+def forest(table: pa.Table, distance: int) -> pa.RecordBatch:
+    """Links (u, v) that connect the lines within the distance, of whole keys in key order."""
+    key = table.column("key").to_numpy()
+    lines, place = np.unique(np.array(table.column("body").to_pylist(), object),
+                             return_inverse=True)
+    lines = list(lines)
+    whole = Points(lines)
+    label = np.arange(len(lines))
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(heads, len(key)))
+
+    def link(a, b):
+        """Pairs already in one class need no check."""
+        nonlocal label
+        for lo in range(0, len(a), 1 << 18):
+            x, y = place[a[lo:lo + (1 << 18)]], place[b[lo:lo + (1 << 18)]]
+            todo = label[x] != label[y]
+            x, y = np.minimum(x[todo], y[todo]), np.maximum(x[todo], y[todo])
+            if len(x):
+                x, y = np.unique(np.stack([x, y]), axis=1)
+            ok = within(whole, x, whole, y, distance)
+            label = roots(len(lines), np.concatenate([label, x[ok]]),
+                          np.concatenate([np.arange(len(lines)), y[ok]]))
+
+    little = size <= SMALL
+    link(*_all_pairs(heads[little], size[little]))
+    for start, n in zip(heads[~little], size[~little]):
+        rest = Points(table.column("rest").slice(int(start), int(n)).to_pylist())
+        index, probe = signatures(rest, distance, np.arange(int(n)))
+        a, b = matches(index[1], index[0], probe[1], probe[0])
+        link(start + a, start + b)
+    j = np.flatnonzero(label != np.arange(len(lines)))
+    u, v = [identity(lines[int(i)]) for i in label[j]], [identity(lines[int(i)]) for i in j]
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())],
+                                      names=["u", "v"])
 
 
-def verified(pairs: DataFrame, distance: int) -> DataFrame:
-    """(u, v) identities of the pairs (x, y) of lines that are within the distance."""
+def key_links(rows: DataFrame, distance: int) -> DataFrame:
+    """Forests of the links under each key; a task takes whole keys, some at a time."""
     def run(batches):
+        held, size = [], 0
         for batch in batches:
-            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            rows = np.arange(len(x))
-            ok = np.flatnonzero(within(Points(x), rows, Points(y), rows, distance)) if x else []
+            table = pa.Table.from_batches([batch])
+            key = table.column("key").to_numpy()
+            last = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
+            # the last key may go on in the next batch
+            if last and size + last >= STEP // 64:
+                yield forest(pa.concat_tables([*held, table.slice(0, last)]), distance)
+                held, size = [table.slice(last)], len(key) - last
+            else:
+                held.append(table)
+                size += len(key)
+        if size:
+            yield forest(pa.concat_tables(held), distance)
+
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "u binary, v binary")
+
+
+def further(rows: DataFrame, distance: int) -> DataFrame:
+    """Rows dealt again: (key and a segment of the rest, what is left of the rest, body)."""
+    def run(batches):
+        rolling = Rolling()
+        for batch in batches:
+            rest, body = batch.column("rest").to_pylist(), batch.column("body").to_pylist()
+            own = batch.column("key").to_numpy().view(np.uint64)
+            index, probe = _keys(rest, distance, rolling)
+            row, key, at, length = (np.concatenate([index[k], probe[k]]) for k in range(4))
+            key = mix(key ^ mix(own[row]))
+            left = [rest[r][:p] + rest[r][p + n:] for r, p, n in zip(
+                row.tolist(), at.tolist(), length.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([identity(x[int(i)]) for i in ok], pa.binary()),
-                 pa.array([identity(y[int(i)]) for i in ok], pa.binary())], names=["u", "v"])
+                [pa.array(key.view(np.int64)), pa.array(left, pa.string()),
+                 pa.array([body[r] for r in row.tolist()], pa.string())],
+                names=["key", "rest", "body"])
 
-    return pairs.mapInArrow(run, "u binary, v binary")
+    return rows.mapInArrow(run, rows.schema).distinct()
 
 
-def busy_links(rows: DataFrame, distance: int, block_rows: int) -> DataFrame:
-    """Forests (u, v) of the links inside busy keys; rows are (key, at, length, body)."""
-    rows = materialise(rows.distinct(), "lines-busy")
+def block_links(rows: DataFrame, distance: int, block_rows: int) -> DataFrame:
+    """Forests of the links under keys whose lines agree in all segments dealt by: pairs of
+    blocks, each row once for every block of its key."""
     blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     dealt = rows.join(blocks, "key").withColumn(
-        "own", F.pmod(F.xxhash64("body", "at"), F.col("blocks")).cast("int"))
-    # each row goes to all pairs of blocks with its own: linear in rows times blocks of its key
+        "own", F.pmod(F.xxhash64("body", "rest"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.withColumn("other", other).select(
-        "key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
-        "at", "length", "body")
-
-    def run(table):
-        body = table.column("body").to_pylist()
-        at, length = table.column("at").to_pylist(), table.column("length").to_pylist()
-        whole = Points(body)
-        rest = Points([x[:p] + x[p + n:] for x, p, n in zip(body, at, length)])
-        index, probe = signatures(rest, distance, np.arange(len(body)))
-        a, b = matches(index[1], index[0], probe[1], probe[0])
-        label = np.arange(len(body))
-        # equal keys first; pairs already in one class need no check
-        for lo in range(0, len(a), 1 << 18):
-            x, y = a[lo:lo + (1 << 18)], b[lo:lo + (1 << 18)]
-            todo = label[x] != label[y]
-            x, y = x[todo], y[todo]
-            ok = within(whole, x, whole, y, distance)
-            label = roots(len(body), np.concatenate([label, x[ok]]),
-                          np.concatenate([np.arange(len(body)), y[ok]]))
-        j = np.flatnonzero(label != np.arange(len(body)))
-        u, v = [identity(body[int(i)]) for i in label[j]], [identity(body[int(i)]) for i in j]
-        return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
-
-    return dealt.groupBy("key", "a", "b").applyInArrow(run, "u binary, v binary")
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
+        "rest", "body")
+    return key_links(dealt, distance)
 
 
 def links(docs: DataFrame, count: int, distance: int = 2, min_length: int = 24, busy: int = 256,
@@ -408,16 +493,25 @@ def links(docs: DataFrame, count: int, distance: int = 2, min_length: int = 24,
     # bounded by the bitmap's size, however many keys are busy
     bits = bitmap(busy_keys(texts, distance, min_length, buckets, busy))
     found = materialise(entries(texts, distance, min_length, buckets, bits), "lines-entries")
-    pairs = materialise(candidates(found.where("bucket is not null")
-                                   .select("bucket", "ikeys", "irows", "pkeys", "prows")),
-                        "lines-pairs")
-    needed = bitmap(pairs.select(F.explode(F.array("a", "b")).alias("gram")))
-    lines = materialise(named_lines(texts, min_length, needed), "lines-text")
-    both = pairs.join(lines.select(F.col("name").alias("a"), F.col("body").alias("x")), "a") \
-        .join(lines.select(F.col("name").alias("b"), F.col("body").alias("y")), "b")
-    busy_rows = found.where("bucket is null").select("key", "at", "length", "body")
-    return verified(both.select("x", "y"), distance).union(
-        busy_links(busy_rows, distance, block_rows))
+    meet = materialise(shared(found.where("bucket is not null")
+                              .select("bucket", "ikeys", "irows", "pkeys", "prows")), "lines-shared")
+    names, grams = bitmap(meet.select(F.col("name").alias("gram"))), bitmap(meet.select("gram"))
+    rows = found.where("bucket is null").select("key", "rest", "body").union(
+        under_keys(texts, distance, min_length, names, grams)).distinct()
+    out = []
+    for level in range(LEVELS + 1):
+        rows = materialise(rows, "lines-keys")
+        sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
+        large = materialise(sizes.where(F.col("n") > block_rows).select("key"), "lines-large")
+        out.append(key_links(rows.join(large, "key", "left_anti"), distance))
+        if large.isEmpty():
+            break
+        rows = rows.join(large, "key")
+        if level < LEVELS:
+            rows = further(rows, distance)
+        else:
+            out.append(block_links(rows, distance, block_rows))
+    return reduce(DataFrame.union, out)
 
 
 def judged(docs: DataFrame, distance: int = 2, min_length: int = 24, doc_id: str = "doc_id",

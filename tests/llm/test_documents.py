@@ -270,6 +270,38 @@ def test_line_dedup_equals_brute_force(spark, busy):
         sum(len(x) for x in lines.pieces(kept[i])) == want[i][3] for i in want)
 
 
+@pytest.mark.parametrize("busy,block_rows", [(256, 2000), (16, 60)])
+def test_lines_of_one_template(spark, busy, block_rows):
+    """A hot key: all lines agree but for a number and a word in the middle."""
+    rng = random.Random(5)
+    made = list(dict.fromkeys(
+        f"the same beginning {rng.randrange(10 ** 7):07d} and {rng.choice(['one', 'other'])} end of it"
+        for _ in range(1500)))
+    points = lines.Points(made)
+    a, b = np.triu_indices(len(made), 1)
+    near = lines.within(points, a, points, b, 2)
+    want = lines.roots(len(made), a[near], b[near])
+    table = spark.createDataFrame([(i, x) for i, x in enumerate(made)], "doc_id bigint, text string")
+    found = lines.cleaned(table.repartition(6), busy=busy, block_rows=block_rows)
+    kept = {r.doc_id for r in found.collect() if r.text}
+    assert kept == set(want.tolist())
+    assert 10 < len(kept) < len(made) - 10
+
+
+def test_long_lines_and_clashing_columns(spark):
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(300_000)).strip()
+    data = [(1, long), (2, long[:150_000] + "Z" + long[150_000:]), (3, long + "four"), (4, "a\nb")]
+    table = spark.createDataFrame([(*r, "x", 7, "k", b"l") for r in data],
+                                  "doc_id bigint, text string, _row string, _gone int, "
+                                  "key string, line binary")
+    found = {r.doc_id: r for r in lines.cleaned(table).collect()}
+    assert found[1].text == long and found[2].text == "" and found[3].text == long + "four"
+    assert all(r._row == "x" and r._gone == 7 and r.key == "k" for r in found.values())
+    counts = {r[0]: tuple(r[1:]) for r in lines.summary(table).collect()}
+    assert counts[2] == (1, 0, 1, 0) and counts[4] == (2, 0, 0, 2)
+
+
 def test_lines_empty(empty):
     assert lines.summary(empty).count() == 0
 
