@@ -14,7 +14,8 @@ as shared, the others are looked up bucket by bucket. Only lines under a shared
 text, one row per line and shared key, and meet under that key: candidates are compared where
 they meet, and a task returns a spanning forest of its links, never pairs. A key with more than
 ``block_rows`` lines is dealt again by (key, segment of what is left of a line without the shared
-one), up to ``LEVELS`` times; what is still together then meets as pairs of blocks.
+one); what is still together then meets as pairs of blocks, the only step whose work grows
+faster than its rows (lines that agree in two segments, in blocks of ``block_rows``).
 
 Defined results: lines are trimmed; blank lines are kept and not counted; lines shorter than
 ``min_length`` code points are linked only to equal lines; a null text has no lines; rows are
@@ -290,7 +291,7 @@ def busy_keys(texts: DataFrame, distance: int, min_length: int, buckets: int,
         .groupBy("bucket").applyInArrow(total, "gram bigint")
 
 
-LEVELS = 3        # how often a large key is dealt again by a further segment
+LEVELS = 1        # how often a large key is dealt again by a further segment
 SMALL = 24        # lines of a key that are compared all with all
 
 
