@@ -290,8 +290,8 @@ def test_lines_of_one_template(spark, busy, block_rows):
 
 def test_long_lines_and_clashing_columns(spark):
     rng = random.Random(6)
-    long = "".join(rng.choice("abcdefgh ") for _ in range(40_000)).strip()
-    data = [(1, long), (2, long[:20_000] + "Z" + long[20_000:]), (3, long + "four"), (4, "a\nb")]
+    long = "".join(rng.choice("abcdefgh ") for _ in range(12_000)).strip()
+    data = [(1, long), (2, long[:6_000] + "Z" + long[6_000:]), (3, long + "four"), (4, "a\nb")]
     table = spark.createDataFrame([(*r, "x", 7, "k", b"l") for r in data],
                                   "doc_id bigint, text string, _row string, _gone int, "
                                   "key string, line binary")
