@@ -549,6 +549,11 @@ ORACLES = {
             r(f"least(greatest(CAST({n} AS DOUBLE), (SELECT avg({n}) - 3 * stddev_samp({n}) FROM apps)), "
               f"(SELECT avg({n}) + 3 * stddev_samp({n}) FROM apps))", n) for n in REQUEST_NUMERIC)
         + " FROM apps"),
+    "T3_merged_bounds": q(" UNION ALL ".join(
+        f"SELECT '{n}' AS feature, {r(f'avg({n}) - 3 * stddev_samp({n})', 'low')}, "
+        f"{r(f'avg({n}) + 3 * stddev_samp({n})', 'high')} FROM apps" for n in REQUEST_NUMERIC)),
+    "T6_pipeline_stage": q("SELECT app_id, TRUE AS same FROM apps"),
+    "X8_scored_moves": q("SELECT app_id, TRUE AS is_prediction, TRUE AS told_right FROM apps"),
     "T4_label_encode": q(
         "SELECT app_id, " + ", ".join(
             f"CAST(coalesce((SELECT code FROM c_{n} WHERE v = t.{n}), 0) AS INT) AS {n}"

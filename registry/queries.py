@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendmill.config import LimeSpec
 from lendmill.functions import finance, policy
-from lendmill.operators import (evaluate, explain, lime, portfolio, prep, profile, ranking, shap,
-                                smote, split, train, validate)
+from lendmill.operators import (evaluate, explain, fitstate, lime, portfolio, prep, profile,
+                                ranking, recourse, shap, smote, split, train, validate)
+from lendmill.operators.stages import Preprocessor
 from lendmill.plans import artifacts, explaining, scoring, training
 from lendmill.schema import CATEGORICAL, NUMERIC, PREDICTORS, REQUEST
 from lendmill.session import materialise, scratch
@@ -332,6 +334,27 @@ def t6(spark, sf):
     return _wide_features(model, out)
 
 
+def t3_merged(spark, sf):
+    """Clip bounds of the whole table from states of its parts, fitted apart."""
+    df = requests(spark, sf)
+    columns = [n for n in REQUEST.names if n in NUMERIC]
+    parts = [fitstate.fit_state(df.where(F.pmod(c("app_id"), F.lit(4)) == k), columns, CATEGORICAL)
+             for k in range(4)]
+    bounds = fitstate.bounds_of(fitstate.merge(parts))
+    return rounded(spark.createDataFrame([(n, float(b[0]), float(b[1])) for n, b in bounds.items()],
+                                         "feature string, low double, high double"))
+
+
+def t6_stage(spark, sf):
+    """The pipeline stage beside the plain preprocessing: the same vectors."""
+    df = applications(spark, sf)
+    stage = Preprocessor().fit(df)
+    vectors = stage.transform(df).select("app_id", vector_to_array("features").alias("v"))
+    values = shap.feature_array(stage.features)
+    plain = stage.prep.transform(df).select("app_id", values.alias("x"))
+    return vectors.join(plain, "app_id").select("app_id", (c("v") == c("x")).alias("same"))
+
+
 def t7(spark, sf):
     model = _fitted_on_all(spark, sf)
     return _wide_features(model, model.transform(_dirty(spark, sf)))
@@ -853,6 +876,25 @@ def x8(spark, sf):
         "app_id", "rank", "feature", "current_value", "suggested_value", "direction"))
 
 
+def x8_scored(spark, sf):
+    """Every suggestion's probability is the model's own for the moved row, and it reaches the
+    target where it says so."""
+    result = trained(spark, sf)
+    fitted = result.models["boosted"]
+    moves = materialise(recourse.scored_moves(result.features, fitted, result.features), "moves")
+    first = moves.select("app_id", "target", c("suggestions")[0].alias("m"),
+                         (c("probability") > 0.5).alias("down"))
+    rows = result.features.join(first, "app_id")
+    moved = rows.select("app_id", "target", "m", "down", *[
+        F.when(c("m.feature") == n, c("m.suggested_value")).otherwise(c(n)).alias(n)
+        for n in fitted.features])
+    again = train.score(fitted, moved, ["app_id", "target", "m", "down"])
+    beyond = F.when(c("down"), c("m.probability") <= c("target")).otherwise(
+        c("m.probability") >= c("target"))
+    return again.select("app_id", (F.abs(c("p_model") - c("m.probability")) < 1e-12)
+                        .alias("is_prediction"), (c("m.reaches") == beyond).alias("told_right"))
+
+
 def x9(spark, sf):
     result = trained(spark, sf)
     fitted = result.models["boosted"]
@@ -957,7 +999,8 @@ QUERIES = {
     "F5_values_beyond": f5, "J1_pair_scores": j1,
     "T1_median_impute": t1, "T2_mode_impute": t2, "T3_outlier_clip": t3, "T4_label_encode": t4,
     "T5_standard_scale": t5, "T6_fit_transform": t6, "T7_transform": t7,
-    "T7_transform_batch_stats": t7_batch,
+    "T7_transform_batch_stats": t7_batch, "T3_merged_bounds": t3_merged,
+    "T6_pipeline_stage": t6_stage,
     "A1_portfolio_metrics": a1, "A1_portfolio_by_segment": a1_segments, "A2_feature_profile": a2,
     "A3_table_summary": a3, "A3_table_shape": a3_shape, "A3_dtype_counts": a3_dtypes, "A4_target_distribution": a4, "A4_base_rates": a4_rates,
     "A5_class_counts": a5, "A6_class_weights": a6, "A7_confusion_matrix": a7,
@@ -981,7 +1024,7 @@ QUERIES = {
     "X1_tree_shap": x1, "X2_linear_shap": x2, "X3_base_value": x3, "X4_force_table": x4,
     "X1_background_shap": x1_background, "X5_interactions": x5_interactions,
     "X5_strongest_partners": x5_partners, "X5_dependence": x5, "X6_shap_summary": x6, "X6_tree_shap_summary": x6_tree, "X7_lime": x7,
-    "X8_counterfactual": x8, "X9_full_explanation": x9, "X9_linear_explanation": x9_linear,
+    "X8_counterfactual": x8, "X8_scored_moves": x8_scored, "X9_full_explanation": x9, "X9_linear_explanation": x9_linear,
     "X10_direction_label": x10,
     "Z2_score_stream": z2, "Z2_stream_rejects": z2_rejects, "Z3_batch_portfolio": z3,
 }
