@@ -2,8 +2,8 @@
 
 Per feature the candidates are the quantiles of a population. All candidates of a row are scored
 at once inside the task, and per feature the one nearest in rank that reaches the target
-probability is suggested, with the probability it leads to. One narrow stage; the quantile grid
-(features x steps numbers) and the model travel with the function.
+probability is suggested, with the probability it leads to. The narrow input is spread once;
+the quantile grid (features x steps numbers) and the model travel with the function.
 """
 
 from __future__ import annotations
@@ -63,7 +63,7 @@ def moves_of(row: np.ndarray, grid: np.ndarray, score, change: float, most: int,
 
 
 def scored_moves(df: DataFrame, fitted: Fitted, population: DataFrame, change: float = 0.1,
-                 most: int = 3, steps: int = 41, id_col: str = "app_id",
+                 most: int = 3, steps: int = 21, id_col: str = "app_id",
                  movable: list[str] | None = None) -> DataFrame:
     """(id, probability, target, suggestions) for every row of a feature table; ``movable``
     limits the features that suggestions may change."""
@@ -90,6 +90,11 @@ def scored_moves(df: DataFrame, fitted: Fitted, population: DataFrame, change: f
             out = pa.Table.from_pylist(made, schema=schema).add_column(0, id_col, batch.column(id_col))
             yield from out.combine_chunks().to_batches()
 
-    return df.select(id_col, feature_array(names).alias("x")).mapInArrow(run, T.StructType([
+    # every row costs features x steps model calls: spread the narrow input evenly first
+    spark = df.sparkSession
+    tasks = 4 * max(spark.sparkContext.defaultParallelism,
+                    int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = df.select(id_col, feature_array(names).alias("x")).repartition(tasks, id_col)
+    return rows.mapInArrow(run, T.StructType([
         T.StructField(id_col, df.schema[id_col].dataType), T.StructField("probability", T.DoubleType()),
         T.StructField("target", T.DoubleType()), T.StructField("suggestions", MOVES)]))
