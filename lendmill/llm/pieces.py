@@ -38,7 +38,8 @@ from pyspark.sql import types as T
 from lendmill.llm.names import unused
 
 MARK = "▁"  # fixed value: how a space is written inside pieces
-KEPT = 500_000   # words and pairs that one task remembers
+KEPT = 300_000   # words (twice, with the older ones) and pairs that one task remembers
+ROWS = 512       # texts whose ids are held at once, besides the batch they came in
 LONGEST = 200    # words above this many characters are encoded anew each time
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # fixed values: kinds of pieces
 
@@ -238,21 +239,32 @@ class Encoder:
 
 
 class Words(dict):
-    """Ids of the words met so far; a new word is encoded when it is asked for."""
+    """Ids of the words met so far; a new word is encoded when it is asked for. A full table
+    becomes the older one, from which words that come again are taken over."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
         self.encoder = encoder
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        found = self.encoder.encode(word)
+        found = self.older.get(word)
+        if found is None:
+            found = self.encoder.encode(word)
         if len(word) <= LONGEST:
             if len(self) >= KEPT:
+                self.older = dict(self)
                 self.clear()
             self[word] = found
         return found
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
            ids: str = "ids", end: bool = True) -> DataFrame:
     """The columns of ``docs`` without the text, and ``ids`` (array of ids; with the end id)."""
@@ -264,7 +276,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Words(Encoder(vocabulary, usable)).__getitem__
         cut = vocabulary.words().findall
-        for batch in batches:
+        for batch in slices(batches):
             values, sizes = [], [0]
             for value in batch.column(whole):  # one text at a time
                 value = value.as_py() or ""
@@ -348,7 +360,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(vocabulary)
-        for batch in batches:
+        for batch in slices(batches):
             made = [decoder.decode(v.values.to_numpy() if v.is_valid else ())
                     for v in batch.column(ids)]
             yield pa.RecordBatch.from_arrays(
