@@ -135,6 +135,7 @@ class Encoder:
         self.shorter = [next((place[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in place),
                              -1) for p in self.usable]
         self.ids = [self._ids(p) for p in self.usable]
+        self.one = [i[0] if len(i) == 1 else None for i in self.ids]
         self.score = {p: vocabulary.scores[i] for p, i in vocabulary.place.items()}
         self.compatible = lru_cache(KEPT)(self._compatible)
         self.left, self.right = lru_cache(None)(self._left), lru_cache(None)(self._right)
@@ -194,7 +195,9 @@ class Encoder:
         for end, i in self.automaton.iter(word):  # later matches of a start are longer
             longest[end - size[i] + 1] = i
         if -1 not in longest:
-            return tuple([k for i in self._walk(longest, 0, len(word)) for k in self.ids[i]])
+            taken = self._walk(longest, 0, len(word))
+            single = tuple([self.one[i] for i in taken])
+            return single if None not in single else tuple([k for i in taken for k in self.ids[i]])
         out: list[int] = []
         start = 0
         while start < len(word):
@@ -211,30 +214,36 @@ class Encoder:
         return tuple(out)
 
     def _walk(self, longest: list[int], start: int, stop: int) -> list[int]:
-        """Compatible pieces from ``start`` to ``stop``, where every character is known."""
+        """Compatible pieces from ``start`` to ``stop``, where every character is known; no match
+        crosses ``stop``."""
         size, shorter, compatible = self.size, self.shorter, self.compatible
-        open_ = bytearray(b"\xff") * ((stop - start) // 8 + 1)  # bit: may still be gone through
+        # bit: the place has failed; one number for a word, bytes for a long stretch
+        failed = 0 if stop - start <= LONGEST else bytearray((stop - start) // 8 + 1)
+        short = isinstance(failed, int)
         taken: list[int] = []
-        at, now = start, longest[start]
+        at, now, last = start, longest[start], -1
         while at < stop:
-            last = taken[-1] if taken else -1
             while now >= 0:
-                end = at + size[now]
-                bit = end - start
-                if (end <= stop and open_[bit >> 3] >> (bit & 7) & 1
-                        and (last < 0 or compatible(last, now))):
+                bit = at + size[now] - start
+                gone = failed >> bit & 1 if short else failed[bit >> 3] >> (bit & 7) & 1
+                if not gone and (last < 0 or compatible(last, now)):
                     break
                 now = shorter[now]
             if now >= 0:
                 taken.append(now)
-                at = end
+                at += size[now]
+                last = now
                 now = longest[at] if at < stop else -1
-            else:  # nothing fits here: clear the place and shorten the piece before it
+            else:  # nothing fits here: the place has failed, shorten the piece before it
                 bit = at - start
-                open_[bit >> 3] &= ~(1 << (bit & 7)) & 0xFF
+                if short:
+                    failed |= 1 << bit
+                else:
+                    failed[bit >> 3] |= 1 << (bit & 7)
                 now = taken.pop()
                 at -= size[now]
                 now = shorter[now]
+                last = taken[-1] if taken else -1
         return taken
 
 
