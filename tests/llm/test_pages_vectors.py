@@ -1,5 +1,7 @@
 """Main text of pages and nearest neighbours."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -78,6 +80,100 @@ def test_code_keeps_its_comments():
     assert html.main_text(page) == "x = 1 # one\nText goes on."
 
 
+@pytest.mark.parametrize("name", [
+    "related-work", "comment-syntax", "search-trees", "share-prices", "form-follows-function",
+    "menu-design", "social-policy", "subscription-models", "alert-levels", "widget-api",
+    "related", "comments", "discussion"])
+def test_headings_are_not_judged_by_their_ids(name):
+    body = "<p>Some sentences about the subject of this part, long enough to be text.</p>"
+    page = f"<article><h1>Title</h1>{body}<h2 id='{name}'>Part</h2>{body}</article>"
+    assert html.main_text(page).split("\n")[2] == "Part"
+    if "-" in name:
+        page = f"<article><h1>Title</h1>{body}<section id='{name}'><h2>Part</h2>{body}</section>"
+        assert len(html.main_text(page).split("\n")) == 4
+
+
+@pytest.mark.parametrize("name", [
+    "cookie-notice", "share", "post-comments", "sidebar-left", "ad-slot-1", "newsletter-box",
+    "article__share", "discussion-thread", "reactions", "commentList"])
+def test_names_of_boilerplate_only_hide(name):
+    page = f"<article>{ARTICLE}<div class='{name}'><p>Like it.</p></div></article>"
+    assert html.main_text(page) == html.main_text(f"<article>{ARTICLE}</article>")
+
+
+def test_link_lists_with_doubtful_names_are_hidden():
+    links = "<ul>" + "<li><a href=1>A long name of another page of the site</a>" * 5 + "</ul>"
+    page = f"<article>{ARTICLE}<div id='related-things'>{links}</div></article>"
+    assert html.main_text(page) == html.main_text(f"<article>{ARTICLE}</article>")
+
+
+def test_doubtful_classes_are_judged_by_their_own_ratio():
+    text = "<p>" + "A long paragraph of text that goes on and on. " * 4 + "</p>"
+    page = f"<article>{text * 4}{{}}{text * 4}</article>"
+    plain = html.main_text(page.format(""))
+    assert html.main_text(page.format("<div class='promo-v2-inline'><b>Buy it.</b></div>")) == plain
+    assert len(html.main_text(page.format(f"<div class='menu-design'>{text}</div>"))) > len(plain)
+
+
+def test_header_of_an_article_keeps_its_headings():
+    page = "<header><h2>Site</h2></header><article><header><h1>Title</h1><div>By me</div>" \
+           "<nav><h3>Go</h3></nav></header><p>A paragraph of text.</p></article>"
+    assert html.main_text(page) == "Title\nA paragraph of text."
+
+
+def test_sibling_articles_belong_together():
+    cards = "<article><a href=1>Another story of this site that is worth a look</a></article>"
+    page = f"<main><article>{ARTICLE}</article><article><p>A second part of the text, as long " \
+           f"as the first.</p></article>{cards}</main>"
+    assert html.main_text(page).split("\n")[1:] == [
+        "A long paragraph of text.", "Another one that goes on.",
+        "A second part of the text, as long as the first."]
+
+
+def test_unseen_blocks_are_dropped():
+    page = f"<article>{ARTICLE}<p hidden>One</p><p style='display: none'>Two</p>" \
+           "<p hidden=until-found>Three</p></article>"
+    assert html.main_text(page).split("\n")[3:] == ["Three"]
+
+
+@pytest.mark.parametrize("remark", [
+    "<li><cite>Ann</cite><time>noon</time><p>I do not think that this is right.</p></li>",
+    "<li><p>I do not think that this is right.</p><a href=1>Reply</a></li>",
+    "<li><span class=username>Ann</span> <span class=date>noon</span><p>It is not so.</p></li>"])
+def test_comments_without_a_name_are_known_by_their_build(remark):
+    page = f"<div><h1>Title</h1>{'<p>A long paragraph of text that goes on.</p>' * 9}" \
+           f"<ol>{remark * 3}</ol></div>"
+    assert html.main_text(page).split("\n") == \
+        ["Title"] + ["A long paragraph of text that goes on."] * 9
+    once = html.main_text(page.replace(remark * 3, remark))
+    assert len(once.split("\n")) > 10  # one alone is no list of comments
+
+
+def test_nested_articles_are_comments_beside_a_longer_text():
+    page = f"<article>{ARTICLE * 3}<article><p>I like it.</p></article></article>"
+    assert html.main_text(page) == html.main_text(f"<article>{ARTICLE * 3}</article>")
+    parts = "<article><p>Part of a text in parts.</p></article>" * 3
+    assert len(html.main_text(f"<article><h1>All</h1>{parts}</article>").split("\n")) == 4
+
+
+def test_cluster_finds_the_text_without_named_region():
+    menu = "<div>" + "<div><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></div>" * 8
+    page = f"<body><div>{menu}</div><div><div>{ARTICLE}</div></div>" \
+           "<div><a href=1>Imprint</a></div></body>"
+    assert html.main_text(page) == "Title\nA long paragraph of text.\nAnother one that goes on."
+
+
+@pytest.mark.parametrize("page", [
+    "<article><p>kept</p>" + "<div class=x>" * 200_000 + "deep",
+    "<article><p>kept</p><div>" + "<span class=ad>" * 100_000 + "</b></section>" * 100_000 + "x",
+    "<article>" * 100_000 + "<p>kept</p>", "<div class=sidebar>" * 50_000 + "<main>" * 50_000
+    + "<p>kept</p>", "<article><p>kept</p>" + "<p hidden>" * 100_000])
+def test_deep_nesting_takes_linear_time(page):
+    began = time.process_time()
+    assert html.main_text(page).split("\n")[0] == "kept"
+    assert time.process_time() - began < 30
+
+
 def test_extract_rows(spark):
     data = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "", "y")]
     table = spark.createDataFrame(data, "page_id bigint, url string, html string, text string")
