@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from lendmill.config import PREP, PrepSpec
 from lendmill.functions.finance import engineer
+from lendmill.operators import gram
 from lendmill.operators.quantiles import exact_quantiles
 from lendmill.schema import numeric_columns, string_columns
 from lendmill.session import materialise
@@ -180,9 +181,14 @@ def correlation_matrix(df: DataFrame, columns: list[str]):
 
 
 def highest_earlier_correlation(df: DataFrame, columns: list[str]) -> dict[str, float]:
-    """For each column, its largest absolute correlation with any column before it."""
+    """For each column, its largest absolute correlation with any column before it.
+
+    One Gram matrix while it is one tile, tiles that stay in the tasks beyond that.
+    """
     if len(columns) < 2:
         return {c: 0.0 for c in columns}
+    if len(columns) > gram.BLOCK:
+        return gram.highest_earlier(df, columns, gram.BLOCK)
     m = correlation_matrix(df, columns)
     return {c: max((abs(float(m[i][j])) for i in range(j) if m[i][j] == m[i][j]), default=0.0)
             for j, c in enumerate(columns)}

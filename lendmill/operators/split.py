@@ -21,7 +21,7 @@ from lendmill.operators.quantiles import value_at
 from lendmill.session import materialise
 
 BUCKET_ROWS = 1_000
-MOST_STRATA = 1_000  # a split is a projection with a literal per class and position
+LITERAL_STRATA = 1_000  # up to here a split is a projection, beyond it a join on the class
 
 
 def prefix_digits(rows: int) -> int:
@@ -34,8 +34,11 @@ def hash_key(id_col: str, seed: int) -> Column:
 
 
 def _cuts(df: DataFrame, stratum: str | None, id_col: str, seed: int,
-          positions: Callable[[int], list[int]]) -> dict:
-    """{stratum value: [(hash, id) of the row at each position]}; None for position 0."""
+          positions: Callable[[int], list[int]]) -> dict | None:
+    """{stratum value: [(hash, id) of the row at each position]}; None for position 0.
+
+    None instead of the whole if there are more than LITERAL_STRATA strata.
+    """
     keyed = df.select((F.col(stratum) if stratum else F.lit(0)).alias("s"),
                       F.col(id_col).alias("id"), hash_key(id_col, seed).alias("h"))
     keyed = keyed.withColumn("b", F.substring("h", 1, prefix_digits(df.count())))
@@ -43,9 +46,9 @@ def _cuts(df: DataFrame, stratum: str | None, id_col: str, seed: int,
     counts = materialise(keyed.groupBy("s", "b").agg(F.count("*").alias("n")), "split-counts")
     before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     ranked = counts.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    strata = counts.groupBy("s").agg(F.sum("n").alias("n")).limit(MOST_STRATA + 1).collect()
-    if len(strata) > MOST_STRATA:
-        raise ValueError(f"more than {MOST_STRATA} classes in {stratum}")
+    strata = counts.groupBy("s").agg(F.sum("n").alias("n")).limit(LITERAL_STRATA + 1).collect()
+    if len(strata) > LITERAL_STRATA:
+        return None
     totals = {r.s: r["n"] for r in strata}
 
     at = {s: positions(n) for s, n in totals.items()}
@@ -93,22 +96,77 @@ def _segment(df: DataFrame, stratum: str | None, id_col: str, seed: int, cuts: d
     return out
 
 
+def _joined_segment(df: DataFrame, stratum: str, id_col: str, seed: int,
+                    positions: Callable[[Column], list[Column]], names: list,
+                    out: str) -> DataFrame:
+    """Add column ``out`` for any number of strata: the cuts are a table joined on the stratum.
+
+    The same segments as ``_segment``. Buckets of hash values find the cuts here too, so a window
+    orders the rows of a bucket that holds a cut, never those of a stratum.
+    """
+    keyed = df.select(F.col(stratum).alias("s"), F.col(id_col).alias("id"),
+                      hash_key(id_col, seed).alias("h"))
+    sizes = materialise(keyed.groupBy("s").agg(F.count("*").alias("total")), "split-strata")
+    digits = prefix_digits(sizes.agg(F.max("total")).first()[0] or 0)
+    keyed = keyed.withColumn("b", F.substring("h", 1, digits))
+    counts = materialise(keyed.groupBy("s", "b").agg(F.count("*").alias("n")), "split-counts")
+    before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    ranked = ranked.alias("c").join(sizes.alias("z"), F.expr("c.s <=> z.s")).select(
+        "c.*", F.array(*[p.cast("long") for p in positions(F.col("total"))]).alias("cuts"))
+    edges = materialise(ranked.where(F.exists(
+        "cuts", lambda k: (k > F.col("below")) & (k <= F.col("below") + F.col("n")))), "split-edges")
+    placed = keyed.alias("k").join(edges.alias("e"), F.expr("k.s <=> e.s AND k.b = e.b")).select(
+        "k.s", "k.b", "k.h", "k.id", "e.below", "e.cuts")
+    place = Window.partitionBy("s", "b").orderBy("h", "id")
+    placed = placed.withColumn("at", F.col("below") + F.row_number().over(place)).withColumn(
+        "times", F.size(F.filter("cuts", lambda k: k == F.col("at")))).where("times > 0")
+    found = placed.groupBy("s").agg(F.collect_list(  # one entry per position at most
+        F.struct(F.struct("h", "id").alias("key"), "times")).alias("found"))
+    cuts = sizes.alias("z").join(found.alias("f"), F.expr("z.s <=> f.s"), "left").select(
+        F.col("z.s").alias("_split_s"), F.col("f.found").alias("_split_found"),
+        F.size(F.filter(F.array(*[p.cast("long") for p in positions(F.col("total"))]),
+                        lambda k: k == 0)).alias("_split_none"))
+    cuts = materialise(cuts, "split-cuts")
+    key = F.struct(hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+    passed = F.aggregate(
+        F.coalesce("_split_found", F.array()), F.col("_split_none"),
+        lambda n, c: n + F.when(c["key"] < key, c["times"]).otherwise(0))
+    joined = df.join(cuts, df[stratum].eqNullSafe(cuts["_split_s"]))
+    return joined.withColumn(out, F.get(F.array(*[F.lit(n) for n in names]), passed)) \
+        .drop("_split_s", "_split_found", "_split_none")
+
+
 def stratified_split(df: DataFrame, label: str = "default", id_col: str = "app_id",
                      spec: SplitSpec = SPLIT) -> DataFrame:
     """Add ``split`` (test / validation / train) with exact shares inside every class."""
+    names = ["test", "validation", "train"]
+
     def positions(n: int) -> list[int]:
         test = math.floor(spec.test * n + 0.5)
         return [test, test + math.floor(spec.validation * n + 0.5)]
+
+    def columns(n: Column) -> list[Column]:
+        test = F.floor(F.lit(spec.test) * n + 0.5)
+        return [test, test + F.floor(F.lit(spec.validation) * n + 0.5)]
+
     cuts = _cuts(df, label, id_col, spec.seed, positions)
-    return df.withColumn("split", _segment(df, label, id_col, spec.seed, cuts,
-                                           ["test", "validation", "train"]))
+    if cuts is None:
+        return _joined_segment(df, label, id_col, spec.seed, columns, names, "split")
+    return df.withColumn("split", _segment(df, label, id_col, spec.seed, cuts, names))
 
 
 def stratified_folds(df: DataFrame, k: int, label: str = "default", id_col: str = "app_id",
                      seed: int = 42) -> DataFrame:
     """Add ``fold`` 0..k-1; class counts of two folds differ by at most one."""
+    names = list(range(k))
     cuts = _cuts(df, label, id_col, seed, lambda n: [n * (i + 1) // k for i in range(k - 1)])
-    return df.withColumn("fold", _segment(df, label, id_col, seed, cuts, list(range(k))))
+    if cuts is None:
+        return _joined_segment(
+            df, label, id_col, seed,
+            lambda n: [F.floor((n * (i + 1) - n * (i + 1) % k) / k) for i in range(k - 1)],
+            names, "fold")
+    return df.withColumn("fold", _segment(df, label, id_col, seed, cuts, names))
 
 
 def seeded_sample(df: DataFrame, n: int, id_col: str = "app_id", seed: int = 42) -> DataFrame:

@@ -1,13 +1,14 @@
 """Quantiles, single fitted steps and the preprocessing model."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lendmill.config import PrepSpec
-from lendmill.operators import prep
+from lendmill.operators import gram, prep
 from lendmill.operators.quantiles import exact_quantiles
 from lendmill.session import scratch
 from registry import variants
@@ -131,3 +132,37 @@ def test_save_and_load(spark, apps):
     assert again.features == model.features
     a, b = (m.transform(apps).orderBy("app_id").collect() for m in (model, again))
     assert a == b
+
+
+def test_tiled_correlations_equal_the_matrix(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((500, 40)) + 1e6
+    x[:, 7] = x[:, 3] * 2 + 0.01 * x[:, 9]
+    x[:, 20], x[3, 21], x[4, 22] = 5.0, np.nan, np.inf
+    x[:, 39] = -x[:, 0]
+    names = [f"f{i}" for i in range(40)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names)).withColumn(
+        "f23", F.when(F.col("f0") < 1e6, F.col("f23"))).repartition(5)
+    x[~(x[:, 0] < 1e6), 23] = np.nan
+    with np.errstate(all="ignore"):
+        r = np.nan_to_num(np.abs(np.corrcoef(x.T)), nan=0.0)
+    want = [r[:j, j].max(initial=0) for j in range(40)]
+    monkeypatch.setattr(gram, "CHUNK_BYTES", 8 * 40 * 7)
+    monkeypatch.setattr(gram, "FAN", 4)
+    for block in (9, 40):
+        got = gram.highest_earlier(df, names, block)
+        assert np.allclose(list(got.values()), want, atol=1e-9)
+    assert got["f39"] > 0.999999 and got["f20"] == got["f21"] == got["f22"] == got["f23"] == 0
+    assert set(gram.highest_earlier(df.limit(0), names, 9).values()) == {0.0}
+
+
+def test_wide_tables_take_tiles(spark, monkeypatch):
+    x = np.random.default_rng(5).standard_normal((60, 30))
+    x[:, 25] = x[:, 2]
+    names = [f"f{i}" for i in range(30)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names))
+    whole = prep.highest_earlier_correlation(df, names)
+    monkeypatch.setattr(gram, "BLOCK", 10)
+    tiled = prep.highest_earlier_correlation(df, names)
+    assert np.allclose(list(whole.values()), list(tiled.values()), atol=1e-9)
+    assert prep.correlated(df, names) == ["f25"]

@@ -60,10 +60,38 @@ def test_repeated_ids_do_not_change_sample_sizes(spark):
     assert {r[0] for r in split.first_rows(rows, 600).distinct().collect()} == {0, 1}
 
 
-def test_too_many_classes_are_refused(spark):
-    with pytest.raises(ValueError):
-        split.stratified_split(spark.range(1500).select(
-            F.col("id").alias("app_id"), F.col("id").alias("default")))
+def test_any_number_of_classes(spark):
+    rows = spark.range(260_000).select(
+        F.col("id").alias("app_id"),
+        # a hundred thousand classes of two rows, one of 60,000 and rows without a class
+        F.when(F.col("id") < 200_000, F.floor(F.col("id") / 2)).when(
+            F.col("id") < 259_000, F.lit(-1)).alias("default"))
+    counts = split.stratified_split(rows).groupBy("default", "split").count().collect()
+    sizes = {}
+    for r in counts:
+        sizes.setdefault(r.default, {})[r.split] = r["count"]
+    assert len(sizes) == 100_002 and sum(r["count"] for r in counts) == 260_000
+    for found in sizes.values():
+        n = sum(found.values())
+        test, val = math.floor(0.2 * n + 0.5), math.floor(0.1 * n + 0.5)
+        assert found.get("test", 0) == test and found.get("validation", 0) == val
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 7])
+def test_joined_cuts_equal_literal_cuts(spark, monkeypatch, k):
+    rows = spark.createDataFrame(
+        [(i, f"c{min(i % 12, i % 5)}" if i % 9 else None) for i in range(997)]
+        + [(5, "c1"), (5, "c1"), (1000, "alone")], "app_id long, default string")
+
+    def both():
+        a = split.stratified_split(rows.repartition(3))
+        return sorted(map(str, split.stratified_folds(a, k).collect()))
+
+    literal = both()
+    monkeypatch.setattr(split, "LITERAL_STRATA", 1)
+    monkeypatch.setattr(split, "BUCKET_ROWS", 5)
+    assert both() == literal
+    assert split.stratified_folds(rows.limit(0), 3).count() == 0
 
 
 def test_missing_scores_are_negative_predictions(spark):
