@@ -1,18 +1,26 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Texts are lower-cased and read as tokens: runs of letters and digits, so case, punctuation and
-line breaks do not matter. Test items are cut into passages of at most ``passage`` tokens. Every
-n-gram of a passage is a seed, however common, so a leaked part finds its passage wherever it
-stands in it. A scan cuts the regions around seed hits out of the documents, seeds join them to
-passages, and every joined pair is aligned whose region holds enough of the passage's tokens to
-reach the threshold at all. Score: best local alignment (match 2, mismatch and gap -1) as a share
-of the passage's perfect score.
+line breaks do not matter. Test items are cut into passages of at most ``passage`` tokens that
+overlap by half, so a leaked part that straddles two passages fills enough of one.
 
-The scan tests n-grams against a bitmap of fixed size before anything is shuffled; the join on
-the n-gram itself is exact. Whole texts are read; a region is as long as its hits make it.
+Seeds are the rare n-grams of a passage: those found in at most the square root of the number of
+documents, and of any ``window`` neighbouring ones that occur at all the rarest (ties all). A
+copy is thus seeded if it keeps one rare n-gram, or n + window - 1 tokens in a row however common
+they are; an item that leaked into very many documents keeps its seeds, while phrases that every
+text has yield to their rarer neighbours. A scan counts the documents of the benchmark's n-grams,
+a second one cuts the regions around seed hits out of the documents, seeds join them to passages,
+and every joined pair is aligned whose region holds enough of the passage's tokens to reach the
+threshold at all. Score: best local alignment (match 2, mismatch and gap -1) as a share of the
+passage's perfect score.
+
+The scans test n-grams against bitmaps of fixed size before anything is shuffled; the join on
+the n-gram itself is exact, and an n-gram of very many documents is dealt over several tasks.
+Whole texts are read; a region is as long as its hits make it.
 
 Defined results: null and empty texts and items hit nothing; items with fewer tokens than n use
-all their tokens as one seed; repeated rows give one result per (doc_id, item_id).
+all their tokens as one seed; repeated rows give one result per (doc_id, item_id); empty tables
+give none; other columns of either table are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendmill.llm.names import unused
@@ -28,6 +36,10 @@ from lendmill.llm.prefilter import bitmap, present
 from lendmill.llm.text import Rolling, mix, steps, utf8, words
 from lendmill.session import materialise
 
+DEAL_DOCS = 20_000    # regions of one n-gram that meet its passages in one task, about
+MOST_DEALT = 100_000  # n-grams listed for dealing; the others are in fewer documents
+
+
 def separators() -> np.ndarray:
     """Per byte value: true for ASCII that is neither a letter nor a digit."""
     code = np.arange(256)
@@ -70,7 +82,9 @@ def passages(items: DataFrame, n: int, passage: int, item_id: str, text: str) ->
                     own = token[row == i]
                     if not len(own):
                         continue
-                    for k, part in enumerate(np.array_split(own, -(-len(own) // passage))):
+                    last = max(0, len(own) - passage)
+                    for k, at in enumerate([*range(0, last, max(1, passage // 2)), last]):
+                        part = own[at:at + passage]
                         width = min(n, len(part))
                         out["item_id"].append(ids[i])
                         out["passage"].append(k)
@@ -88,6 +102,43 @@ def passages(items: DataFrame, n: int, passage: int, item_id: str, text: str) ->
         run, f"item_id {kind}, passage int, tokens array<bigint>, grams array<bigint>, width int")
 
 
+def documents_with(docs: DataFrame, bits: np.ndarray, widths: list[int], text: str) -> DataFrame:
+    """(gram, docs): number of rows that hold each n-gram of the bitmap."""
+    def run(batches):
+        rolling, between = Rolling(), separators()
+        for batch in batches:
+            for _, _, row, token in tokens(batch.column("text"), rolling, between):
+                for width in widths:
+                    at, gram = grams(row, token, width)
+                    known = present(bits, gram)
+                    own, gram = row[at[known]], gram[known]
+                    order = np.lexsort((own, gram))
+                    own, gram = own[order], gram[order]
+                    new = np.ones(len(gram), bool)
+                    new[1:] = (gram[1:] != gram[:-1]) | (own[1:] != own[:-1])
+                    found, times = np.unique(gram[new], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found.view(np.int64)), pa.array(times.astype(np.int64))],
+                        names=["gram", "docs"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "gram bigint, docs bigint") \
+        .groupBy("gram").agg(F.sum("docs").alias("docs"))
+
+
+def rare_seeds(items: DataFrame, counts: DataFrame, rare: float, window: int) -> DataFrame:
+    """(item_id, passage, gram, docs): the n-grams of each passage that serve as its seeds."""
+    at = items.select("item_id", "passage", F.posexplode("grams").alias("pos", "gram")) \
+        .join(counts, "gram")
+    along = Window.partitionBy("item_id", "passage").orderBy("pos")  # a passage's n-grams
+    ahead = along.rowsBetween(0, window - 1)
+    at = at.withColumn("least", F.when(
+        (F.count("*").over(ahead) == window) | (F.row_number().over(along) == 1),
+        F.min("docs").over(ahead)))
+    at = at.withColumn("least", F.max("least").over(along.rowsBetween(1 - window, 0)))
+    return at.where((F.col("docs") <= rare) | (F.col("docs") == F.col("least"))) \
+        .select("item_id", "passage", "gram", "docs").distinct()
+
+
 def regions(docs: DataFrame, bits: np.ndarray, widths: list[int], reach: int,
             doc_id: str, text: str) -> DataFrame:
     """Token ranges around seed hits: (doc_id, row, start, tokens, grams).
@@ -185,26 +236,43 @@ def aligned(pairs: DataFrame, keep: list[str], threshold: float) -> DataFrame:
     return pairs.mapInArrow(run, ", ".join([*schema, "score double"]))
 
 
+def seeded(found: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(row, start, item_id, passage) of regions and passages that share a seed."""
+    deals = F.ceil(F.col("docs") / DEAL_DOCS).cast("bigint")
+    often = seeds.where(F.col("docs") > DEAL_DOCS).select("gram", "docs").distinct() \
+        .orderBy(F.desc("docs"), "gram").limit(MOST_DEALT).select("gram", deals.alias("deals"))
+    often = materialise(often, "bench-often")  # a proven bound for the broadcasts below
+    left = found.select("row", "start", F.explode("grams").alias("gram")) \
+        .join(F.broadcast(often), "gram", "left") \
+        .withColumn("deal", F.pmod(F.xxhash64("row", "start"), F.coalesce("deals", F.lit(1))))
+    right = seeds.join(F.broadcast(often), "gram", "left").select(
+        "gram", "item_id", "passage", F.explode(F.sequence(
+            F.lit(0).cast("bigint"), F.coalesce("deals", F.lit(1)) - 1)).alias("deal"))
+    return left.join(right, ["gram", "deal"]).select("row", "start", "item_id", "passage") \
+        .distinct()
+
+
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, n: int = 3,
                  passage: int = 64, doc_id: str = "doc_id", text: str = "text",
-                 item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+                 item_id: str = "item_id", item_text: str = "text",
+                 window: int = 2) -> DataFrame:
     """(doc_id, item_id, score) of every document that holds a passage of an item."""
     items = materialise(passages(items, n, passage, item_id, item_text), "bench-passages")
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # 1 to n
-    every = items.select("item_id", "passage", F.explode("grams").alias("gram"))
     kind = docs.schema[doc_id].dataType.simpleString()
     if not widths:
         return docs.sparkSession.createDataFrame(
             [], f"doc_id {kind}, item_id {items.schema['item_id'].dataType.simpleString()}, "
                 "score double")
-    seeds = materialise(every.distinct(), "bench-seeds")
-    found = materialise(regions(docs, bitmap(seeds), widths, passage + passage // 4, doc_id, text),
-                        "bench-regions")
+    every = materialise(items.select(F.explode("grams").alias("gram")).distinct(), "bench-grams")
+    counts = materialise(documents_with(docs, bitmap(every), widths, text), "bench-counts")
+    seeds = materialise(rare_seeds(items, counts, docs.count() ** 0.5, window), "bench-seeds")
+    found = materialise(regions(docs, bitmap(seeds.select("gram").distinct()), widths,
+                                passage + passage // 4, doc_id, text), "bench-regions")
     key = ["row", "start"]
-    pairs = found.select(*key, F.explode("grams").alias("gram")).join(seeds, "gram") \
-        .select(*key, "item_id", "passage").distinct()
-    pairs = pairs.join(items.select("item_id", "passage", F.col("tokens").alias("wanted")),
-                       ["item_id", "passage"]).join(found.drop("grams"), key)
+    pairs = seeded(found, seeds) \
+        .join(items.select("item_id", "passage", F.col("tokens").alias("wanted")),
+              ["item_id", "passage"]).join(found.drop("grams"), key)
     return aligned(pairs.select("doc_id", "item_id", "wanted", "tokens"), ["doc_id", "item_id"],
                    threshold) \
         .where(F.col("score") >= threshold) \
@@ -214,7 +282,9 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.4, n: i
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that hold no passage of an item, all columns."""
     row = unused(docs, "_row")
-    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    # the id beside the hash: two rows go together only if they are equal in both
+    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64("doc_id", "text").alias("hash"))
+    keyed = docs.withColumn(row, key)
     marked = contaminated(keyed, items, doc_id=row, **options).select(
         F.col("doc_id").alias(row)).distinct()
     return keyed.join(marked, row, "left_anti").drop(row)

@@ -403,6 +403,107 @@ def test_decontamination_finds_the_half_that_leaked_most(spark):
     assert found == {**{i: 0.5 for i in range(1, 30)}, 50: 34 / 64}
 
 
+def plain_contamination(data, items, threshold=0.4, passage=64):
+    """Every document against every passage that it shares an n-gram with, over its whole
+    length."""
+    def shingles(x, width):
+        return {tuple(x[a:a + width]) for a in range(len(x) - width + 1)}
+
+    number = {}
+    read = lambda text: np.array([number.setdefault(w, len(number)) for w in
+                                  re.findall("[a-z0-9]+", (text or "").lower())], int)
+    parts = []
+    for k, text in items:
+        own = read(text)
+        ends = {*range(passage, len(own), passage // 2), len(own)} if len(own) else ()
+        parts += [(k, own[max(0, e - passage):e]) for e in ends]
+    best = {}
+    for i, text in data:
+        have = read(text)
+        if not len(have):
+            continue
+        for (k, wanted), score in zip(parts, decontaminate.align(
+                [w for _, w in parts], [have] * len(parts))):
+            width = min(3, len(wanted))
+            if score / (2 * len(wanted)) >= threshold \
+                    and shingles(wanted, width) & shingles(have, width):
+                best[i, k] = max(best.get((i, k), 0), score / (2 * len(wanted)))
+    return best
+
+
+def test_decontamination_equals_all_pairs(spark, monkeypatch):
+    rng = random.Random(21)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    common = "it is one of the most and so on".split()
+    say = lambda n: [rng.choice(vocabulary) if rng.random() < 0.7
+                     else rng.choice(common) for _ in range(n)]
+    items = [(k, " ".join(say(rng.choice([2, 5, 20, 64, 65, 96, 130, 250])))) for k in range(25)]
+    data = []
+    for i in range(400):
+        body = say(rng.randint(0, 200))
+        if i % 2:
+            copy = items[i % 7 if i % 5 else i % 25][1].split()  # some items leak widely
+            a = rng.randrange(len(copy))
+            copy = copy[a:a + rng.randint(5, 80)] if i % 3 else copy
+            copy = [w if rng.random() > 0.12 else rng.choice(vocabulary) for w in copy]
+            at = rng.randint(0, len(body))
+            body[at:at] = copy
+        data.append((i, " ".join(body)))
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(4)
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    want = plain_contamination(data, items)
+    assert len(want) > 100
+    monkeypatch.setattr(decontaminate, "DEAL_DOCS", 3)  # deals n-grams over tasks
+    monkeypatch.setattr(decontaminate, "MOST_DEALT", 40)
+    got = {(r[0], r[1]): r[2] for r in rows(decontaminate.contaminated(docs, table))}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+@pytest.mark.parametrize("at", range(0, 89, 8))
+def test_a_leak_across_two_passages_fills_enough_of_one(at):
+    starts = [*range(0, 64, 32), 64]
+    assert max(min(at + 40, s + 64) - max(at, s) for s in starts) >= 0.5 * 64
+
+
+def test_straddling_leak_is_found(spark):
+    item = [f"t{k}" for k in range(128)]
+    fill = lambda i: " ".join(f"f{i}x{k}" for k in range(90))
+    data = [(i, f"{fill(i)} {' '.join(item[a:a + 40])} {fill(-i)}")
+            for i, a in enumerate(range(0, 89, 8))]
+    docs = spark.createDataFrame([*data, (99, fill(99))], "doc_id bigint, text string")
+    table = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    found = {r[0]: r[2] for r in rows(decontaminate.contaminated(docs, table))}
+    assert found.keys() == {i for i, _ in data} and min(found.values()) >= 0.5
+
+
+def test_common_ngrams_yield_to_rarer_neighbours(spark):
+    """Phrases of every document are no seeds beside n-grams that few documents hold."""
+    phrase = "and so it is one of the most"
+    data = [(i, f"{phrase} w{i} x{i} y{i} z{i}") for i in range(200)]
+    leak = "a rare question that nobody else would ever think of asking here"
+    data.append((500, f"before {phrase} {leak} after"))
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    items = decontaminate.passages(spark.createDataFrame(
+        [(1, f"{phrase} {leak}")], "item_id bigint, text string"), 3, 64, "item_id", "text")
+    every = items.selectExpr("explode(grams) AS gram").distinct()
+    counts = decontaminate.documents_with(docs, decontaminate.bitmap(every), [3], "text")
+    seeds = decontaminate.rare_seeds(items, counts, 201 ** 0.5, 2).collect()
+    assert [r["docs"] for r in seeds].count(1) == 12 and len(seeds) < 19
+    found = decontaminate.contaminated(docs, spark.createDataFrame(
+        [(1, f"{phrase} {leak}")], "item_id bigint, text string"))
+    assert (500, 1, 1.0) in rows(found)
+
+
+def test_decontamination_of_a_very_long_text(spark):
+    item = " ".join(f"t{k}" for k in range(60))
+    body = " ".join(f"w{k % 9973}" for k in range(300_000))
+    docs = spark.createDataFrame([(1, f"{body} {item} {body}"), (2, body)],
+                                 "doc_id bigint, text string")
+    table = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    assert rows(decontaminate.contaminated(docs, table)) == [(1, 7, 1.0)]
+
+
 # ---- quality ---------------------------------------------------------------------------------
 
 def test_quality_is_accurate_on_held_out_rows(spark, sf_dir):
