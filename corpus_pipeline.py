@@ -49,8 +49,9 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-# Fingerprint components, alignments, the classifier and the cube method have no SQL form;
-# tests/llm holds run() against a brute-force version.
+# Fingerprint components, alignments, the classifier and the cube method have no SQL form.
+# tests/llm holds each stage against its operator's results on the stage's input: components against
+# brute force, the mix against its targets, the shards against their gapless slots.
 ORACLE_SQL = None
 
 
