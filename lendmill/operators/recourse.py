@@ -1,7 +1,8 @@
 """Suggestions that the model has scored: the smallest single move that reaches the target.
 
-Per feature the candidates are the quantiles of a population. All candidates of a row are scored
-at once inside the task, and per feature the one nearest in rank that reaches the target
+Per feature the candidates are the quantiles of a population. All candidates of a block of rows
+are scored at once inside the task (a tree only turns where it splits the moved feature), and per
+feature the one nearest in rank that reaches the target
 probability is suggested, with the probability it leads to. The narrow input is spread once;
 the quantile grid (features x steps numbers) and the model travel with the function.
 """
@@ -16,10 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lendmill.operators.quantiles import exact_quantiles
-from lendmill.operators.scorer import scorer_of
+from lendmill.operators.scorer import moved_by, scorer_of
 from lendmill.operators.shap import feature_array
 from lendmill.operators.train import Fitted
 
+SCORED_ROWS = 512
 MOVE = [("feature", pa.string()), ("current_value", pa.float64()),
         ("suggested_value", pa.float64()), ("steps", pa.int32()), ("probability", pa.float64()),
         ("reaches", pa.bool_())]
@@ -29,37 +31,52 @@ MOVES = T.ArrayType(T.StructType([
     T.StructField("probability", T.DoubleType()), T.StructField("reaches", T.BooleanType())]))
 
 
-def moves_of(row: np.ndarray, grid: np.ndarray, score, change: float, most: int,
-             names: list[str]) -> tuple[float, float, list[dict]]:
-    """(probability, target, suggestions) of one row; ``grid``: features x steps, ascending.
+def moves_of(x: np.ndarray, grid: np.ndarray, movable: np.ndarray, score, change: float,
+             most: int, names: list[str]) -> pa.RecordBatch:
+    """(probability, target, suggestions) of rows x features ``x``; ``grid``: features x steps,
+    ascending. A feature that is not movable only "moves" to its own value.
 
     Above one half the target lies ``change`` lower, otherwise higher. Moves that reach it come
     first, by steps in rank, then by feature order; if none does, the one that comes closest.
     """
-    width, steps = grid.shape
-    p = float(score(row[:, None])[0])
+    (rows, width), steps = x.shape, grid.shape[1]
+    columns = np.ascontiguousarray(x.T)
+    p = score(columns)
     down = p > 0.5
-    target = p - change if down else p + change
-    tried = np.repeat(row[:, None], width * steps, axis=1)
-    tried[np.repeat(np.arange(width), steps), np.arange(width * steps)] = grid.ravel()
-    found = score(tried).reshape(width, steps)
-    reaches = found <= target if down else found >= target
-    place = (grid < row[:, None]).sum(axis=1)
-    away = np.where(grid >= row[:, None], np.arange(steps) - place[:, None] + (
-        grid != row[:, None]), place[:, None] - np.arange(steps))
+    target = np.where(down, p - change, p + change)
+    found = moved_by(score, columns, grid, movable)       # features x steps x rows
+    reaches = np.where(down, found <= target, found >= target)
+    away = np.empty(found.shape, np.int32)
+    step = np.arange(steps, dtype=np.int32)[:, None]
+    for j in range(width):
+        values = grid[j][:, None] if movable[j] else np.broadcast_to(columns[j], (steps, rows))
+        place = (values < columns[j]).sum(axis=0, dtype=np.int32)
+        away[j] = np.where(values >= columns[j], step - place + (values != columns[j]),
+                           place - step)
     cost = np.where(reaches, away, steps + 2)
-    best = cost.argmin(axis=1)
-    ok = [j for j in range(width) if reaches[j, best[j]]]
-    order = sorted(ok, key=lambda j: (cost[j, best[j]], j))[:most]
-    if not order:
-        gain = -found if down else found
-        j, b = np.unravel_index(int(gain.argmax()), gain.shape)
-        order, best[j] = [int(j)], b
-    return p, target, [{
-        "feature": names[j], "current_value": float(row[j]),
-        "suggested_value": float(grid[j, best[j]]), "steps": int(away[j, best[j]]),
-        "probability": float(found[j, best[j]]), "reaches": bool(reaches[j, best[j]])}
-        for j in order]
+    best = cost.argmin(axis=1)                            # features x rows
+    least = np.take_along_axis(cost, best[:, None], axis=1)[:, 0]
+    ok = np.take_along_axis(reaches, best[:, None], axis=1)[:, 0]
+    order = np.argsort(np.where(ok, least, np.iinfo(np.int32).max), axis=0, kind="stable")[:most]
+    taken = np.minimum(ok.sum(axis=0), most)
+    none = np.flatnonzero(taken == 0)
+    if len(none):
+        gain = np.where(down[none], -found[:, :, none], found[:, :, none])
+        j, b = np.unravel_index(gain.reshape(-1, len(none)).argmax(axis=0), (width, steps))
+        order[0, none], best[j, none], taken[none] = j, b, 1
+    # the suggestions of all rows one after another
+    row = np.repeat(np.arange(rows), taken)
+    starts = np.concatenate([[0], np.cumsum(taken)])
+    j = order[np.arange(len(row)) - starts[row], row]
+    b = best[j, row]
+    own = columns[j, row]
+    parts = [pa.array(np.array(names, object)[j], pa.string()), pa.array(own),
+             pa.array(np.where(movable[j], grid[j, b], own)), pa.array(away[j, b, row]),
+             pa.array(found[j, b, row]), pa.array(reaches[j, b, row])]
+    moves = pa.StructArray.from_arrays(parts, fields=[pa.field(n, t) for n, t in MOVE])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(p), pa.array(target), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), moves)],
+        names=["probability", "target", "suggestions"])
 
 
 def scored_moves(df: DataFrame, fitted: Fitted, population: DataFrame, change: float = 0.1,
@@ -73,22 +90,18 @@ def scored_moves(df: DataFrame, fitted: Fitted, population: DataFrame, change: f
     free = [n for n in (movable or names) if cuts[n][0] is not None]
     grid = np.array([cuts[n] if n in free else [np.nan] * steps for n in names], np.float64)
     make = scorer_of(fitted, df.sparkSession)
-    fixed = np.array([n not in free for n in names])
-    schema = pa.schema([("probability", pa.float64()), ("target", pa.float64()),
-                        ("suggestions", pa.list_(pa.struct(MOVE)))])
+    movable_at = np.array([n in free for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(names))
-            made = []
-            for row in x:
-                # a fixed feature only "moves" to its own value
-                own = np.where(fixed[:, None], row[:, None], grid)
-                p, target, moves = moves_of(row, own, score, change, most, names)
-                made.append({"probability": p, "target": target, "suggestions": moves})
-            out = pa.Table.from_pylist(made, schema=schema).add_column(0, id_col, batch.column(id_col))
-            yield from out.combine_chunks().to_batches()
+            # as many rows at once as keep their candidates' scores in the processor's cache
+            for a in range(0, len(x), SCORED_ROWS):
+                made = moves_of(x[a:a + SCORED_ROWS], grid, movable_at, score, change, most, names)
+                ids = batch.column(id_col).slice(a, SCORED_ROWS)
+                yield pa.RecordBatch.from_arrays([ids, *made.columns],
+                                                 names=[id_col, *made.schema.names])
 
     # every row costs features x steps model calls: spread the narrow input evenly first
     spark = df.sparkSession

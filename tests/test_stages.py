@@ -135,3 +135,38 @@ def test_fixed_features_do_not_move(spark, result):
     assert {m.feature for r in found for m in r.suggestions if m.reaches} <= {"foir"}
     none = recourse.scored_moves(result.features.limit(0), fitted, result.features)
     assert none.count() == 0
+
+
+@pytest.mark.parametrize("kind", ["boosted", "deep"])
+def test_moves_of_many_rows_are_scored_at_once(spark, result, kind):
+    """Every candidate's score is that of the moved row, bit for bit, from one call a block."""
+    rows = result.features.where("split = 'train'").limit(150)
+    fitted = result.models["boosted"] if kind == "boosted" else train.train(
+        rows, result.prep.features, "histogram", {"n_estimators": 4, "max_depth": 7,
+                                                  "min_child_weight": 0.1})
+    names = fitted.features
+    x = np.array([r.x for r in rows.select(shap.feature_array(names).alias("x")).collect()])
+    grid = np.quantile(x, np.linspace(0, 1, 9), axis=0, method="lower").T
+    movable = np.arange(len(names)) % 4 != 1
+    score = scorer_of(fitted, spark)()
+    assert kind == "boosted" or any(t is None for t in score.ensemble.tables)
+    found = score.moved(x.T, grid, movable)
+    for j in range(len(names)):
+        for b in range(9):
+            moved = x.T.copy()
+            if movable[j]:
+                moved[j] = grid[j, b]
+            assert (found[j, b] == score(moved)).all()
+    calls = []
+
+    class Counted:
+        moved = score.moved
+
+        def __call__(self, columns):
+            calls.append(columns.shape[1])
+            return score(columns)
+
+    made = recourse.moves_of(x, grid, movable, Counted(), 0.1, 3, names)
+    assert calls == [len(x)] and made.num_rows == len(x)
+    plain = recourse.moves_of(x, grid, movable, lambda columns: score(columns), 0.1, 3, names)
+    assert made.equals(plain)
