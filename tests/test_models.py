@@ -418,3 +418,33 @@ def test_scorer_of_own_trees(spark, result, kind, params):
     ours = scorer_of(fitted, spark)()(np.ascontiguousarray(x.T))
     theirs = np.array([r.p_model for r in train.score(fitted, rows).collect()])
     assert np.allclose(np.sort(ours), np.sort(theirs), atol=1e-12)
+
+
+def test_samples_are_scored_by_shared_splits(spark, result):
+    """Equal splits of several trees are compared once, with the sums of trees walked one by one."""
+    fitted = result.models["boosted"]
+    ensemble = scorer_of(fitted, spark)().ensemble
+    splits = [(int(f), float(v)) for tree in ensemble.trees
+              for f, v in zip(tree.split_feature, tree.split_threshold)]
+    assert len(ensemble.feature) == len(set(splits)) < len(splits)
+    bins = lime.fit_bins(result.features, fitted.features)
+    sampler = lime.Sampler.of(bins)
+    x = np.array([r.x for r in result.features.limit(3).select(
+        shap.feature_array(fitted.features).alias("x")).collect()])
+    rows, flags = sampler.perturb(x, [5, 6, 7], 6_001)
+    for i in range(3):   # a row's samples do not depend on those drawn before
+        again, same = lime.Sampler.of(bins).perturb(x[i:i + 1], [5 + i], 6_001)
+        assert (again[0] == rows[i]).all() and (same[0] == flags[i]).all()
+    columns = np.ascontiguousarray(rows[0].T)
+    walked = np.zeros(6_001)
+    for tree in ensemble.trees:
+        turns = columns[tree.split_feature] <= tree.split_threshold[:, None]
+        value = np.zeros(6_001)
+        for leaf in tree.leaves:
+            met = np.ones(6_001, bool)
+            for steps in leaf.steps:
+                for k, left in steps:
+                    met &= turns[k] == left
+            value[met] = leaf.value
+        walked += value
+    assert (ensemble.total(columns) == walked).all()
