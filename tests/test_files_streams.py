@@ -97,3 +97,19 @@ def test_replayed_batches_overwrite_themselves(spark, sf_dir):
     row = got.agg(F.sum("total_applicants"), F.sum("total_expected_profit")).first()
     assert row[0] == whole.total_applicants
     assert row[1] == pytest.approx(whole.total_expected_profit)
+
+
+def test_streamed_requests_are_dealt_over_files(spark, sf_dir, monkeypatch):
+    """Many files a remainder, one micro-batch a remainder, and no row of a task is sorted."""
+    from registry import queries
+    one = [queries.rounded(q(spark, sf_dir)) for q in (queries.z2, queries.z3)]
+    monkeypatch.setattr(queries, "FILE_ROWS", 60)
+    path, n = queries._request_files(spark, sf_dir)
+    assert n > 1
+    for part in range(4):
+        rows = spark.read.schema(REQUEST).json(f"{path}/part={part}")
+        held = [r["count"] for r in rows.groupBy(F.input_file_name()).count().collect()]
+        assert len(held) == n and max(held) < 60 * 3
+        assert rows.where(F.col("app_id") % 4 != part).count() == 0
+    for before, query in zip(one, (queries.z2, queries.z3)):
+        assert same(before, queries.rounded(query(spark, sf_dir)))
