@@ -17,9 +17,10 @@ sum of a child, least gain of a split, L2 penalty. Runs that differ only in thei
 are one run, scored at each of the numbers.
 
 Work is dealt as (run, block). While the table is one block of ``block_rows``, a task holds a
-run's only block and all sums are complete in it, so its rounds follow each other there, runs in
-parallel. A larger table takes one aggregation per round over all blocks and runs, and writes the
-margins once a tree, so a lost executor costs one tree. Both give the same trees.
+run's only block (about 100 bytes a row) and all sums are complete in it, so its rounds follow
+each other there, runs in parallel, and of two siblings only the smaller one is summed. A larger
+table takes one aggregation per round over all blocks and runs, and writes the margins once a
+tree, so a lost executor costs one tree. Both give the same trees.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ from lendmill.operators.shap import Tree, _leaf
 from lendmill.session import materialise
 
 GRAIN = float(1 << 20)    # gradients and hessians are multiples of 1 / GRAIN
-BLOCK_ROWS = 200_000
+BLOCK_ROWS = 2_000_000
+CHUNK_ROWS = 16_384       # rows whose sums are taken at once
 STATE_BYTES = 64 << 20    # margins of a block, where there are several blocks
 LEAST_GAIN = 1e-6
 
@@ -75,23 +77,27 @@ class Nodes:
     cover: np.ndarray    # hessian sum
     gain: np.ndarray
 
-    def step(self, cells: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    def step(self, cells: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Move rows one node down; rows in leaves stay."""
-        f = self.feature[at]
-        inner = np.flatnonzero(f >= 0)
-        if len(inner) == 0:
-            return at
         out = at.copy()
-        here = at[inner]
-        low = cells[f[inner], rows[inner]] <= self.limit[here]
-        out[inner] = np.where(low, self.left[here], self.right[here])
-        return out
+        moved = False
+        first = self.feature.astype(np.int64) * cells.shape[1]   # of a feature in the flat cells
+        flat = cells.reshape(-1)
+        for a in range(0, len(at), CHUNK_ROWS):
+            here = at[a:a + CHUNK_ROWS]
+            inner = np.flatnonzero((self.feature >= 0).take(here))
+            if len(inner) == 0:
+                continue
+            moved, here = True, here[inner]
+            low = flat.take(first.take(here) + (inner + a)) <= self.limit.take(here)
+            out[inner + a] = np.where(low, self.left.take(here), self.right.take(here))
+        return out if moved else at
 
     def leaf_of(self, cells: np.ndarray) -> np.ndarray:
-        rows = np.arange(cells.shape[1])
+        cells = np.ascontiguousarray(cells)
         at = np.zeros(cells.shape[1], np.int32)
         while True:
-            new = self.step(cells, at, rows)
+            new = self.step(cells, at)
             if new is at:
                 return at
             at = new
@@ -172,6 +178,13 @@ class Growing:
             for c in self.child[n]:
                 number[c] = len(order)
                 order.append(c)
+        # a split that a better one pushed out belongs to the leaf above it
+        self.place = np.zeros(len(self.depth), np.int32)
+        for n, children in enumerate(self.child):
+            self.place[n] = number.get(n, self.place[n])
+            for c in children:
+                if c >= 0:
+                    self.place[c] = self.place[n]
         taken = set(self.taken)
         total = {0: self.best[0][5:7] if 0 in self.best else root or (0.0, 0.0)}
         for n in self.taken:
@@ -195,17 +208,45 @@ def sums_of(cells: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray, s
             ranges: int) -> np.ndarray:
     """(2, features, slots, ranges) sums of the rows with a slot (0 or more)."""
     inside = np.flatnonzero(slot >= 0)
-    width = len(cells)
-    if len(inside) == 0:
-        return np.zeros((2, width, slots, ranges))
-    if len(inside) < len(slot):
-        cells, slot, g, h = cells[:, inside], slot[inside], g[inside], h[inside]
-    at = cells + (slot.astype(np.int64) * ranges
-                  + (np.arange(width, dtype=np.int64) * (slots * ranges))[:, None])
-    at = at.ravel()
-    out = [np.bincount(at, np.broadcast_to(v, (width, len(v))).ravel(), width * slots * ranges)
-           for v in (g, h)]
-    return np.stack(out).reshape(2, width, slots, ranges)
+    width, size = len(cells), slots * ranges
+    out = np.zeros((2, width, size))
+    whole = len(inside) == len(slot)
+    # a feature of some rows at a time: the ranges and the weights stay in the processor's cache
+    for a in range(0, len(inside), CHUNK_ROWS):
+        some = slice(a, a + CHUNK_ROWS) if whole else inside[a:a + CHUNK_ROWS]
+        part, gs, hs = cells[:, some], g[some], h[some]
+        first = slot[some].astype(np.int64) * ranges
+        for j in range(width):
+            at = first + part[j]
+            out[0, j] += np.bincount(at, gs, size)
+            out[1, j] += np.bincount(at, hs, size)
+    return out.reshape(2, width, slots, ranges)
+
+
+def sums_by_sibling(wanted: list[int], parent: dict[int, int], held: dict[int, np.ndarray],
+                    cells: np.ndarray, at: np.ndarray, g: np.ndarray, h: np.ndarray,
+                    ranges: int) -> np.ndarray:
+    """``sums_of`` the wanted nodes where ``at`` gives the rows' nodes (-1: none). Of two
+    siblings the one with fewer rows is summed, the other is the parent's sum less it; sums of
+    multiples of 1 / GRAIN are exact, so that is the same. ``held`` keeps the open nodes' sums."""
+    rows = np.bincount(at[at >= 0], minlength=max(wanted) + 1)
+    sibling: dict[int, int] = {}
+    for n in wanted:
+        other = [m for m in wanted if m != n and parent.get(m) == parent.get(n)]
+        if other and parent[n] in held:
+            sibling[n] = other[0]
+    summed = [n for n in wanted if n not in sibling or (rows[n], n) < (rows[sibling[n]], sibling[n])]
+    slot = np.full(len(rows) + 1, -1, np.int32)    # the last one is that of rows in no node
+    slot[summed] = np.arange(len(summed))
+    found = sums_of(cells, slot.take(at, mode="wrap"), g, h, len(summed), ranges)
+    own = {n: found[:, :, i] for i, n in enumerate(summed)}
+    for n in wanted:
+        if n not in own:
+            own[n] = held[parent[n]] - own[sibling[n]]
+    for n in wanted:
+        held.pop(parent.get(n), None)
+    held.update(own)
+    return np.stack([own[n] for n in wanted], axis=2)
 
 
 def best_splits(sums: np.ndarray, s: Settings, features: np.ndarray) -> list[tuple]:
@@ -304,20 +345,19 @@ def fit_block(run: Run, block: Block) -> tuple[list[Nodes], dict[int, np.ndarray
     trees, at_mark = [], {}
     for t in range(s.n_estimators):
         g, h = gradients(margin, block.label, run.weights)
-        use = np.flatnonzero(run.rows(block, t))
+        use = run.rows(block, t)
         mine = tree_columns(run.columns, t, s.colsample_bytree, run.seed)
-        own = cells[:, use]
-        part, gu, hu = own[mine], g[use], h[use]
+        part = cells if len(mine) == len(cells) else cells[mine]
         growing, at = Growing(s), np.zeros(len(use), np.int32)
-        rows = np.arange(len(use))
+        held: dict[int, np.ndarray] = {}
         while wanted := growing.wanted():
-            slot = np.full(len(growing.depth), -1, np.int32)
-            slot[wanted] = np.arange(len(wanted))
-            sums = sums_of(part, slot[at], gu, hu, len(wanted), run.ranges)
+            parent = {c: n for n in growing.taken for c in growing.child[n]}
+            sums = sums_by_sibling(wanted, parent, held, part, np.where(use, at, -1), g, h,
+                                   run.ranges)
             growing.take(dict(zip(wanted, best_splits(sums, s, mine))))
-            at = growing.skeleton().step(own, at, rows)
+            at = growing.skeleton().step(cells, at)
         tree = growing.finished()
-        margin = margin + tree.value[tree.leaf_of(cells)]
+        margin = margin + tree.value[growing.place][at]
         trees.append(tree)
         if t + 1 in run.marks:
             at_mark[t + 1] = margin
@@ -381,10 +421,12 @@ def blocks_of(df: DataFrame, columns: list[str], cuts: list[np.ndarray], label:
     rows = df.select(values.alias("x"), F.xxhash64(id_col).alias("key"),
                      F.col(label).cast("int").alias("label"),
                      (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"))
-    # a table that fits one block is one block; others are cut by hash, a margin per run and row
+    # a table that fits one block is one block; others are cut by hash, a margin per run and row,
+    # into blocks enough for all cores
     total = rows.count()
     if total > block_rows:
-        block_rows = min(block_rows, max(1_000, STATE_BYTES // (8 * runs)))
+        evenly = -(-total // df.sparkSession.sparkContext.defaultParallelism)
+        block_rows = min(block_rows, max(1_000, min(evenly, STATE_BYTES // (8 * runs))))
     parts = max(1, -(-total // block_rows))
     return materialise(rows.repartition(parts, "key").mapInArrow(run, BLOCK), "boosting-blocks")
 

@@ -314,3 +314,42 @@ def test_interaction_columns(spark, table, small_model):
     assert len(rows) == len(x) and {r.partner for r in rows} == {partners["a"].partner}
     empty = shap.add_interactions(table.limit(0), fitted)
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("changes", [{}, {"num_leaves": 6}, {"growth": "symmetric"}])
+def test_of_two_siblings_the_smaller_one_is_summed(monkeypatch, changes):
+    rng = np.random.default_rng(3)
+    n, depth = 40_000, 5
+    cells = rng.integers(0, 16, (4, n)).astype(np.uint8)
+    label = (rng.random(n) < cells[0] * cells[1] / 300 + 0.1).astype(np.uint8)
+    block = boosting.Block(cells, np.arange(n), label, (np.arange(n) % 3).astype(np.int8))
+    run = boosting.Run(boosting.Settings(n_estimators=3, max_depth=depth, subsample=0.9, **changes),
+                       1, [0, 1, 2, 3], (1.0, 2.0), 42, 16, [3])
+    sums_of, rows = boosting.sums_of, []
+
+    def counted(cells, slot, *rest):
+        rows.append(int((slot >= 0).sum()))
+        return sums_of(cells, slot, *rest)
+
+    monkeypatch.setattr(boosting, "sums_of", counted)
+    trees, margins = boosting.fit_block(run, block)
+    used = max(rows)
+    assert sum(rows) <= 3 * used * (1 + (depth - 1) / 2)
+    # the same trees as sums of every node, and margins of the trees walked from their roots
+    monkeypatch.setattr(boosting, "sums_by_sibling",
+                        lambda wanted, parent, held, cells, at, g, h, ranges: sums_of(
+                            cells, np.select([at == n for n in wanted], range(len(wanted)), -1),
+                            g, h, len(wanted), ranges))
+    plain, again = boosting.fit_block(run, block)
+    assert [t.packed() for t in trees] == [t.packed() for t in plain]
+    assert (margins[3] == again[3]).all()
+    assert (margins[3] == sum(t.value[t.leaf_of(cells)] for t in trees)).all()
+
+
+def test_many_blocks_keep_all_cores_busy(spark):
+    rows = spark.range(30_000).selectExpr("id AS app_id", "CAST(id % 97 AS double) AS a",
+                                          "CAST(id % 2 AS int) AS `default`", "0 AS fold")
+    cuts = boosting.cut_values(rows, ["a"], 8)
+    blocks = boosting.blocks_of(rows, ["a"], cuts, "default", "app_id", "fold", 20_000)
+    wanted = min(30, spark.sparkContext.defaultParallelism)
+    assert blocks.count() >= wanted and blocks.agg(F.sum("n")).first()[0] == 30_000
