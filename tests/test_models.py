@@ -448,3 +448,34 @@ def test_samples_are_scored_by_shared_splits(spark, result):
             value[met] = leaf.value
         walked += value
     assert (ensemble.total(columns) == walked).all()
+
+
+def test_interactions_look_patterns_up_without_sorting(spark, result, monkeypatch):
+    fitted = result.models["boosted"]
+    trees = shap.read_trees(fitted, spark)
+    rows = result.features.limit(40)
+    x = np.array([r.x for r in rows.select(shap.feature_array(fitted.features).alias("x")).collect()])
+    expected = np.zeros((len(x), x.shape[1], x.shape[1]))
+    columns = np.ascontiguousarray(x.T)
+    for tree in trees:
+        turns = shap._turns(tree, columns)
+        for leaf in tree.leaves:
+            pattern = shap._patterns(leaf, turns, len(x)).astype(np.int64)
+            found = shap.pair_table(leaf.value, leaf.shares, pattern)
+            for a, b in itertools.permutations(range(len(leaf.features)), 2):
+                expected[:, leaf.features[a], leaf.features[b]] += found[:, a, b]
+    at = np.arange(x.shape[1])
+    expected[:, at, at] = shap.shap_matrix(trees, x) - expected.sum(axis=2)
+    monkeypatch.setattr(np, "unique", None)   # short paths need no sort of their patterns
+    got = shap.interaction_matrix(trees, x)
+    assert np.allclose(got, expected, atol=1e-12)
+    assert (got == got.transpose(0, 2, 1)).all()
+    monkeypatch.undo()
+    df = shap.add_interactions(result.features.limit(40), fitted, trees)
+    names = fitted.features
+    values = np.abs(np.array([r[0] for r in df.select("interactions").collect()]))
+    mean = values.mean(axis=0).reshape(len(names), -1)
+    for r in shap.strongest_partners(df.repartition(7), names).collect():
+        i, j = names.index(r.feature), names.index(r.partner)
+        assert r.mean_abs_interaction == pytest.approx(mean[i, j])
+        assert mean[i, j] == pytest.approx(max(mean[i, k] for k in range(len(names)) if k != i))
