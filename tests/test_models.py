@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lendmill.config import LimeSpec
-from lendmill.operators import explain, lime, ranking, shap, smote, split, train
+from lendmill.operators import beyond, explain, lime, ranking, shap, smote, split, train
 from lendmill.operators.scorer import scorer_of
 from lendmill.plans import explaining, scoring, training
 from lendmill.schema import CATEGORICAL
@@ -209,6 +209,46 @@ def test_medians_beyond_with_hot_and_foreign_values(spark):
             assert found == (pytest.approx(np.median(part)) if len(part) else None)
 
 
+@pytest.mark.parametrize("bucket_rows", [7, 60, 100_000])
+def test_sided_medians_over_ranges_equal_numpy(spark, bucket_rows):
+    some = [None, -0.0, 0.0, 1.0, 2.5, 7.25, 1e300, float("inf")]
+    rows = [(i, some[i * 7 % 8], float(i * i % 97), None) for i in range(300)]
+    df = spark.createDataFrame(rows, "app_id long, a double, b double, c double")
+    asked = [(f, v, s) for f, vs in {"a": [-1.0, 0.0, 2.0, 7.25, 1e301], "c": [0.0],
+                                     "b": [-5.0, 0.0, 1.0, 40.5, 95.0, 96.0, 200.0]}.items()
+             for v in vs for s in (0, 1)]
+    questions = spark.createDataFrame(asked, "feature string, value double, side int")
+    got = {(r.feature, r.value, r.side): r.median for r in beyond.sided_medians(
+        df, questions.unionByName(questions), ["a", "b", "c"], bucket_rows).collect()}
+    want = {}
+    for f, v, s in asked:
+        held = np.array([r["abc".index(f) + 1] for r in rows if r["abc".index(f) + 1] is not None])
+        beyond_it = np.sort(held[held < v] if s == 0 else held[held > v])
+        if n := len(beyond_it):
+            want[f, v, s] = (beyond_it[(n - 1) // 2] + beyond_it[n // 2]) / 2
+    assert got == want
+
+
+def test_suggestions_shuffle_arrays_instead_of_a_row_per_value(spark):
+    rows = [(i, float(i), i / 7) for i in range(2_000)]
+    df = spark.createDataFrame(rows, "app_id long, a double, b double").withColumns(
+        {"shap": F.array(F.lit(0.5), -F.col("a"))})
+    asked = []
+    original = beyond._pack_population
+
+    def packed(rows, width, cuts):
+        found = original(rows, width, cuts)
+        asked.append(found.count())
+        return found
+
+    beyond._pack_population = packed
+    try:
+        assert explain.counterfactual(df, ["a", "b"], df).count() == 4_000
+    finally:
+        beyond._pack_population = original
+    assert asked and asked[0] < 100
+
+
 def test_counterfactual_falls_back_without_population(spark):
     df = spark.createDataFrame([(1, 10.0, 20.0, [1.0, -2.0])],
                                "app_id long, a double, b double, shap array<double>")
