@@ -17,7 +17,7 @@ from lendmill.plans import explaining, scoring, training
 from lendmill.schema import CATEGORICAL
 from lendmill.session import scratch
 from lendmill.sources import models
-from registry import variants
+from registry import queries, variants
 from registry.mapping import requests
 
 
@@ -209,6 +209,13 @@ def test_medians_beyond_with_hot_and_foreign_values(spark):
             assert found == (pytest.approx(np.median(part)) if len(part) else None)
 
 
+def test_force_table_is_checked_without_an_expanded_exchange(spark, sf_dir):
+    # counting the different features by their names sent every cell through the exchange
+    plan = queries.QUERIES["X4_force_table"](spark, sf_dir)._jdf.queryExecution().executedPlan() \
+        .toString()
+    assert "Expand" not in plan and plan.count("Exchange") == 1
+
+
 @pytest.mark.parametrize("bucket_rows", [7, 60, 100_000])
 def test_sided_medians_over_ranges_equal_numpy(spark, bucket_rows):
     some = [None, -0.0, 0.0, 1.0, 2.5, 7.25, 1e300, float("inf")]
