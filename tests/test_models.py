@@ -4,14 +4,16 @@ import itertools
 import math
 import subprocess
 import sys
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lendmill.config import LimeSpec
-from lendmill.operators import beyond, explain, lime, ranking, shap, smote, split, train
+from lendmill.operators import beyond, explain, forest, lime, ranking, shap, smote, split, train
 from lendmill.operators.scorer import scorer_of
 from lendmill.plans import explaining, scoring, training
 from lendmill.schema import CATEGORICAL
@@ -193,6 +195,43 @@ def test_top_contributions_are_sorted_and_labelled(spark, apps):
 
 # ---- counterfactuals ----------------------------------------------------------------------------
 
+
+def test_smaller_forests_of_a_fitted_one(spark, result):
+    """Cut at its own depth a forest scores as MLlib does; a point's area is that of its forest."""
+    rows = result.features.where("split = 'train'").limit(700)
+    names = result.prep.features
+    fitted = train.train(rows, names, "forest", {"n_estimators": 7, "max_depth": 4})
+    trees = forest.cut_trees(shap.node_table(fitted, spark).collect(), [1, 2, 4])
+    found = rows.select("app_id", forest.share_column(
+        trees, [(7, 4), (3, 2)], len(names), shap.feature_array(names)).alias("s"))
+    both = found.join(train.score(fitted, rows, ["app_id"]), "app_id").collect()
+    assert max(abs(r.s[0] - r.p_model) for r in both) < 1e-12 and len(both) == rows.count()
+    # cut by hand: leaves of one parent and class are one leaf
+    split = lambda f: SimpleNamespace(featureIndex=f, numCategories=-1,
+                                      leftCategoriesOrThreshold=[0.5])
+    node = lambda t, i, a, b, y, s, f=0: SimpleNamespace(
+        treeID=t, id=i, leftChild=a, rightChild=b, prediction=y, impurityStats=s, split=split(f))
+    tree = [node(0, 0, 1, 4, 0.0, [6, 4]), node(0, 1, 2, 3, 0.0, [5, 1], 1),
+            node(0, 2, -1, -1, 0.0, [5, 0]), node(0, 3, -1, -1, 1.0, [0, 1]),
+            node(0, 4, -1, -1, 0.0, [3, 1])]
+    x = np.array([[0.0, 0.0], [0.0, 1.0], [1.0, 0.0]])
+    got = forest.shares(forest.cut_trees(tree, [1, 2]), [(1, 1), (1, 2)], x)
+    assert got[:, 0].tolist() == [0.4, 0.4, 0.4]      # both sides predict 0
+    assert got[:, 1].tolist() == [0.0, 1.0, 0.25]
+
+
+def test_forest_grid_fits_one_forest_a_fold(spark, result, monkeypatch):
+    fits = []
+    original = RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit",
+                        lambda self, df: fits.append(self.getNumTrees()) or original(self, df))
+    rows = result.features.where("split = 'train'")
+    found = train.grid_search(rows, result.prep.features,
+                              {"max_depth": [2, 4], "n_estimators": [3, 6]}, "forest", folds=2)
+    assert fits == [6, 6, found.params["numTrees"]]
+    assert len(found.cv_scores) == 4 and all(0.6 < s < 1 for _, s in found.cv_scores)
+
+
 def test_medians_beyond_with_hot_and_foreign_values(spark):
     rng = np.random.default_rng(5)
     a = [0.0] * 400 + rng.integers(1, 9, 200).astype(float).tolist()      # one hot value
