@@ -415,6 +415,32 @@ def test_neighbours_are_exact(spark, result):
     assert np.mean([near[i][0] <= expected[i][-1] + 1e-6 for i in near]) > 0.5
 
 
+@pytest.mark.parametrize("columns,values", [(3, 50), (64, 4), (700, 10_000), (900, 3), (1_000, 40)])
+def test_smallest_numbers_of_rows(columns, values):
+    d = np.random.default_rng(columns).integers(0, values, (40, columns)).astype(float)
+    d[np.arange(40), np.arange(40) % columns] = np.inf
+    rows, cols = smote.smallest(d, 5)
+    most = min(5, columns)
+    assert rows.tolist() == np.repeat(np.arange(40), most).tolist()
+    assert all(len(set(c)) == most for c in cols.reshape(40, most).tolist())
+    assert np.array_equal(np.sort(d[rows, cols].reshape(40, most)), np.sort(d)[:, :most])
+
+
+def test_hyperplane_sides_are_found_in_one_pass_of_arrays(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(6).tolist()) for i in range(500)]
+    df = spark.createDataFrame(rows, "app_id long, x array<double>")
+    codes = smote._codes(df, 3, 2, 42)   # was one interpreted lambda a plane
+    planes = np.random.default_rng(42).standard_normal((6, 6))
+    found = df.select("app_id", codes.alias("c")).collect()
+    values = np.array([r[1] for r in rows]) @ planes.T
+    middle = np.median(values, axis=0)
+    clear = (np.abs(values - middle) > 0.2).all(axis=1)
+    want = ((values > middle).reshape(-1, 2, 3) << np.arange(3)).sum(axis=2)
+    assert clear.sum() > 50
+    assert all(r.c == want[r.app_id].tolist() for r in found if clear[r.app_id])
+
+
 def test_smote_refuses_missing_features_and_keeps_its_promise(spark):
     rng = np.random.default_rng(4)
     rows = [(i, int(i < 40), float(rng.normal()), 1.0) for i in range(400)]
