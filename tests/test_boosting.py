@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lendmill.operators import boosting, shap, train
+from lendmill.operators import boosting, evaluate, shap, train
 from lendmill.operators.target_codes import ordered_codes
 from lendmill.sources.models import load_classifier, save_classifier
 
@@ -353,3 +353,48 @@ def test_many_blocks_keep_all_cores_busy(spark):
     blocks = boosting.blocks_of(rows, ["a"], cuts, "default", "app_id", "fold", 20_000)
     wanted = min(30, spark.sparkContext.defaultParallelism)
     assert blocks.count() >= wanted and blocks.agg(F.sum("n")).first()[0] == 30_000
+
+
+def test_leaf_limits_beyond_the_depth_share_a_run(table, monkeypatch):
+    """Depth 2 has at most 4 leaves: limits of 4 and 9 are one run, a limit of 3 is another."""
+    seen, fit_many = [], boosting.fit_many
+    monkeypatch.setattr(boosting, "fit_many", lambda b, runs: seen.extend(runs) or fit_many(b, runs))
+    grid = {"n_estimators": [3], "max_depth": [2], "num_leaves": [3, 4, 9]}
+    model, best, scores = boosting.search(table, NAMES, grid, "best", 3)
+    assert len(seen) == 2 * 4
+    assert [p["num_leaves"] for p, _, _ in scores] == [3, 4, 9]
+    assert scores[1][1:] == scores[2][1:]
+    alone = [boosting.search(table, NAMES, {k: [v] for k, v in p.items()}, "best", 3)
+             for p, _, _ in scores]
+    assert [a[2][0][1:] for a in alone] == [s[1:] for s in scores]
+    assert model.settings["num_leaves"] == best["num_leaves"]
+
+
+@pytest.mark.parametrize("asked", [[0, 1, 2, 3, 4, 5], [4, 0, 5]])
+def test_sums_of_packed_features_equal_sums_by_feature(asked):
+    rng = np.random.default_rng(5)
+    n, ranges, slots = 40_000, 64, 3
+    cells = np.stack([rng.integers(0, k, n) for k in (64, 3, 64, 5, 64, 17)]).astype(np.uint8)
+    slot = rng.integers(-1, slots, n)
+    g, h = (np.round(rng.normal(size=n) * boosting.GRAIN) / boosting.GRAIN for _ in range(2))
+    packs = boosting.Packs.of(cells).only(np.array(asked))
+    assert len(packs.numbers) < len(asked)     # several features are counted at once
+    found = boosting.sums_of(packs, slot, g, h, slots, ranges)
+    for i, f in enumerate(asked):
+        for s in range(slots):
+            at = slot == s
+            for part, weight in zip(found, (g, h)):
+                assert (part[i, s] == np.bincount(cells[f][at], weight[at], ranges)).all()
+    assert boosting.sums_of(packs, np.full(n, -1), g, h, 1, ranges).sum() == 0
+
+
+def test_areas_are_found_with_the_margins(spark, table, monkeypatch):
+    """One block: no margins are written or ordered again, and the area is that of roc_auc."""
+    monkeypatch.setattr(boosting, "margins_long", None)
+    _, _, ((_, mean, _),) = boosting.search(table, NAMES, {"n_estimators": [3]}, "best", 3)
+    assert 0.5 < mean < 1
+    rng = np.random.default_rng(2)
+    label, score = rng.integers(0, 2, 500), rng.integers(0, 40, 500) / 7
+    rows = spark.createDataFrame(list(zip(label.tolist(), score.tolist())), "y int, s double")
+    assert boosting.area(label, score) == evaluate.roc_auc(rows, "y", "s").first().roc_auc
+    assert boosting.area(np.zeros(5), np.arange(5.0)) is None
