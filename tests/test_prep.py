@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lendmill.config import PrepSpec
-from lendmill.operators import gram, prep
+from lendmill.operators import gram, prep, quantiles
 from lendmill.operators.quantiles import exact_quantiles
 from lendmill.session import scratch
 from registry import variants
@@ -166,3 +166,36 @@ def test_wide_tables_take_tiles(spark, monkeypatch):
     tiled = prep.highest_earlier_correlation(df, names)
     assert np.allclose(list(whole.values()), list(tiled.values()), atol=1e-9)
     assert prep.correlated(df, names) == ["f25"]
+
+
+def test_quantile_passes_count_whole_columns(spark, monkeypatch):
+    """No row per value leaves a task, and few bins a column (a wide table) give the same values."""
+    rng = np.random.default_rng(6)
+    x = np.stack([rng.normal(size=2_000), rng.integers(0, 9, 2_000) * 1.0,
+                  np.exp(rng.normal(size=2_000) * 20)], axis=1)
+    x[::17, 0], x[:3, 2] = np.nan, [np.inf, -np.inf, np.inf]
+    names = ["a", "b", "c"]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names)).repartition(5)
+    kind, seen = type(df), []
+    run = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **k: seen.append(self.columns)
+                        or run(self, *a, **k))
+    for counts in (1 << 20, 64):
+        monkeypatch.setattr(quantiles, "COUNTS", counts)
+        got = exact_quantiles(df, names, [0.25, 0.5, 0.999])
+        for j, n in enumerate(names):
+            want = np.nanquantile(x[:, j], [0.25, 0.5, 0.999])
+            assert np.allclose(got[n], want, rtol=1e-12)
+    assert seen[0] == names and all(set(s) <= set(names) for s in seen) and len(seen) > 4
+
+
+def test_narrow_tables_are_one_tile(spark, monkeypatch):
+    x = np.random.default_rng(7).standard_normal((200, 4))
+    x[:, 3] = x[:, 1] - x[:, 0]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abcd")))
+    tiles, seen = gram._tiles, []
+    monkeypatch.setattr(gram, "_tiles", lambda *a: seen.append(a[1]) or tiles(*a))
+    got = prep.highest_earlier_correlation(df, list("abcd"))
+    r = np.abs(np.corrcoef(x.T))
+    assert seen == [4]
+    assert np.allclose(list(got.values()), [r[:j, j].max(initial=0) for j in range(4)], atol=1e-12)
