@@ -591,3 +591,13 @@ def test_interactions_look_patterns_up_without_sorting(spark, result, monkeypatc
         i, j = names.index(r.feature), names.index(r.partner)
         assert r.mean_abs_interaction == pytest.approx(mean[i, j])
         assert mean[i, j] == pytest.approx(max(mean[i, k] for k in range(len(names)) if k != i))
+
+
+def test_the_split_is_stored_before_the_fit_reads_it(apps):
+    """Passes of the fit and of the features read the stored split instead of hashing ids."""
+    from lendmill.plans.training import prepare
+    _, features = prepare(apps)
+    assert "md5" not in features._jdf.queryExecution().optimizedPlan().toString()
+    counts = {(r.split, r.default): r["count"] for r in features.groupBy("split", "default")
+              .count().collect()}
+    assert sum(counts.values()) == apps.count() and len(counts) == 6
