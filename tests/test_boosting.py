@@ -398,3 +398,45 @@ def test_areas_are_found_with_the_margins(spark, table, monkeypatch):
     rows = spark.createDataFrame(list(zip(label.tolist(), score.tolist())), "y int, s double")
     assert boosting.area(label, score) == evaluate.roc_auc(rows, "y", "s").first().roc_auc
     assert boosting.area(np.zeros(5), np.arange(5.0)) is None
+
+
+def test_a_block_in_pieces_gives_the_same_models(table, monkeypatch):
+    """The only block is stored and read in pieces, and no task but a run's own ever holds it."""
+    grid = {"n_estimators": [2, 4], "max_depth": [3], "subsample": [0.7], "learning_rate": [0.3]}
+    one = boosting.search(table.coalesce(1), NAMES, grid, "best", 3)
+    dealt, fit_many = [], boosting.fit_many
+    monkeypatch.setattr(boosting, "fit_many", lambda b, runs: dealt.append(b) or fit_many(b, runs))
+    monkeypatch.setattr(boosting, "_fit_rounds", None)
+    monkeypatch.setattr(boosting, "PIECE_ROWS", 50)
+    many = boosting.search(table.coalesce(1), NAMES, grid, "best", 3)
+    assert dealt[0].count() == 5 and dealt[0].agg(F.max("n")).first()[0] <= 50
+    assert one[0].state() == many[0].state()
+    assert one[1:] == many[1:]
+
+
+def test_rows_step_down_as_the_tree_walks_them():
+    rng = np.random.default_rng(4)
+    cells = rng.integers(0, 16, (3, boosting.CHUNK_ROWS + 5_000)).astype(np.uint8)
+    growing, at = boosting.Growing(boosting.Settings(max_depth=3)), np.zeros(cells.shape[1], np.int16)
+    while wanted := growing.wanted():
+        before = len(growing.depth)
+        # the third node asked for is never worth a split
+        growing.take({n: (float(n != 2), int(n) % 3, 7, 1.0, 1.0, 2.0, 2.0) for n in wanted})
+        new = [n for n, c in enumerate(growing.child) if c[0] >= before]
+        boosting.step_down(cells, at, growing, new)
+    tree = growing.finished()
+    assert len(tree.feature) > 7
+    assert (growing.place[at] == tree.leaf_of(cells)).all()
+
+
+def test_sums_of_more_nodes_than_are_taken_at_once():
+    rng = np.random.default_rng(6)
+    n, slots = 90_000, 2 * boosting.CHUNK_SLOTS + 3
+    cells, slot = rng.integers(0, 8, (2, n)).astype(np.uint8), rng.integers(-1, slots, n)
+    g, h = boosting.gradients(rng.normal(size=n), rng.integers(0, 2, n), (1.0, 2.0))
+    found = boosting.sums_of(boosting.Packs.of(cells), slot, g, h, slots, 8)
+    for s in range(slots):
+        for f in range(2):
+            at = slot == s
+            assert (found[0, f, s] == np.bincount(cells[f][at], g[at], 8)).all()
+            assert (found[1, f, s] == np.bincount(cells[f][at], h[at], 8)).all()
