@@ -601,3 +601,30 @@ def test_the_split_is_stored_before_the_fit_reads_it(apps):
     counts = {(r.split, r.default): r["count"] for r in features.groupBy("split", "default")
               .count().collect()}
     assert sum(counts.values()) == apps.count() and len(counts) == 6
+
+
+def test_lime_scores_samples_from_their_draws(result, spark):
+    """Split outcomes found from the draws alone are those of the values, to the last bit."""
+    fitted = result.models["boosted"]
+    bins = lime.fit_bins(result.features, fitted.features)
+    bins[0].shares[:] = np.eye(len(bins[0].shares))[-1]     # bins without rows are never drawn
+    sampler, score = lime.Sampler.of(bins), scorer_of(fitted, spark)()
+    drawn = lime.DrawnScorer(score, sampler)
+    rows = np.array([list(r) for r in result.features.select(*fitted.features).limit(4).collect()],
+                    float)
+    for i, (row, own) in enumerate(zip(rows, sampler.bin_of(rows))):
+        draws = sampler.draw(i, 4_000)
+        draws[:, 1], draws[:, 2] = 0, lime.DRAWS - 1
+        values, same = sampler.around(row, own, draws)
+        assert (drawn(row, draws) == score(values)).all()
+        assert (same == sampler.same_bin(draws, own)).all()
+        inside = sampler.bin_of(values.T).T == own[:, None]
+        assert (same == inside).mean() > 0.99     # a draw on a cut belongs to the bin above it
+    for j in range(len(bins)):
+        draws = np.sort(sampler.draw(9, 4_000)[j])
+        assert (np.diff(sampler.values_of(j, draws)) >= 0).all()
+        thresholds = sampler.values_of(j, draws[::500])
+        below = sampler.draws_below(j, thresholds)
+        assert (sampler.values_of(j, np.maximum(below - 1, 0)) <= thresholds).all()
+        assert (sampler.values_of(j, np.minimum(below, lime.DRAWS - 1))[below < lime.DRAWS]
+                > thresholds[below < lime.DRAWS]).all()
